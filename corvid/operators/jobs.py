@@ -26,7 +26,7 @@ def top_customers_by_revenue(lineitem: DataFrame, orders: DataFrame, customer: D
     per_customer = (orders.select("o_orderkey", "o_custkey")
                     .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
                     .groupBy(F.col("o_custkey").alias("c_custkey"))
-                    .agg(F.round(F.sum("order_revenue"), 2).alias("revenue"),
+                    .agg(F.round(F.sum("order_revenue"), 4).alias("revenue"),
                          F.count("*").alias("n_orders")))
     best = top_k(per_customer, k, [F.col("revenue").desc(), F.col("c_custkey").asc()])
     dims = (customer.select("c_custkey", "c_name", "c_nationkey")

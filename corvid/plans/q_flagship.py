@@ -8,7 +8,7 @@ from corvid.sources.tables import Tables
 @query("job_top_customers", sql="""
     WITH rev AS (
       SELECT o.o_custkey AS c_custkey,
-             round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue,
+             round(sum(l.l_extendedprice * (1 - l.l_discount)), 4) AS revenue,
              count(DISTINCT o.o_orderkey) AS n_orders
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
       GROUP BY o.o_custkey),
