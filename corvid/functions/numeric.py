@@ -21,3 +21,9 @@ def money(c) -> Column:
 def exact_money_sum(expr: Column, scale: int = 2) -> Column:
     """Exact decimal sum, rounded half-up to ``scale`` decimals, returned as double."""
     return F.round(F.sum(expr), scale).cast("double")
+
+
+def exact_mean(expr: Column) -> Column:
+    """Mean of a DECIMAL expression: exact decimal sum, one conversion to double, one
+    division. The result does not depend on summation order or engine."""
+    return F.sum(expr).cast("double") / F.count(expr)
