@@ -31,3 +31,10 @@ def to_int_id(text) -> Column:
 def birth_year(age, as_of: str) -> Column:
     """Year of birth from an age at a fixed reference date (repeatable, unlike current_date)."""
     return F.year(F.lit(as_of).cast("date")) - _c(age)
+
+
+def to_ts_two_digit_year(text, fmt: str, pivot: int = 2050) -> Column:
+    """Parse a pattern with a two-digit year (``yy``). Spark maps ``yy`` to 2000-2099; years
+    at or after ``pivot`` are moved back a century (``95`` -> 1995 with the default pivot)."""
+    ts = to_ts(text, fmt)
+    return F.when(F.year(ts) >= pivot, ts - F.expr("INTERVAL 100 YEARS")).otherwise(ts)
