@@ -37,8 +37,11 @@ def test_stock_windows_append_emits_closed_windows(spark):
 
 
 def test_late_rows_within_threshold_kept_older_dropped(spark):
+    # Late rows are judged against the watermark of the batch before the previous one
+    # (Spark keeps one watermark for late input and one for eviction), so a neutral
+    # on-time batch separates the first file from the late one.
     late = [("10:22", "BUY", 50), ("10:01", "BUY", 999)]
-    got = _stock_windows(spark, [DAY1, late, DAY1_LATE])
+    got = _stock_windows(spark, [DAY1, [("10:51", "SELL", 0)], late, DAY1_LATE])
     assert got["10:15"] == (850, 400)
     assert got["10:00"] == (800, 0)
 

@@ -22,7 +22,8 @@ def skewed(spark):
 
 
 def _pairs(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
 def test_running_matches_window(spark, skewed):
