@@ -104,3 +104,18 @@ def from_local(spark: SparkSession, rows: list, schema: StructType | str, num_pa
     fixtures and lookup lists only, never for data that grows."""
     df = spark.createDataFrame(rows, schema)
     return df.repartition(num_partitions) if num_partitions else df
+
+
+def to_pandas_guarded(df: DataFrame, max_rows: int = 100_000):
+    """``toPandas()`` for small results only: fails instead of pulling a large frame into the
+    driver (fetches at most ``max_rows + 1`` rows)."""
+    head = df.limit(max_rows + 1).toPandas()
+    if len(head) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it to storage instead")
+    return head
+
+
+def for_each_partition(df: DataFrame, fn) -> None:
+    """Run a side-effecting function once per partition (``foreachPartition``) on the
+    executors, e.g. to push rows to an external system in batches."""
+    df.foreachPartition(fn)

@@ -27,7 +27,22 @@ def trigger_kwargs(kind: str = "available_now", interval: str | None = None) ->
 
 def start(df: DataFrame, mode: str, checkpoint: str, fmt: str | None = None, path: str | None = None,
           foreach_batch: Callable | None = None, name: str | None = None, trigger: dict | None = None,
-          partition_by: list[str] | None = None, options: dict | None = None) -> StreamingQuery:
+          partition_by: list[str] | None = None, options: dict | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start a streaming query. The number of state-store partitions is fixed by the first
+    run of a checkpoint; it is taken from ``state_partitions`` or, by default, the cluster's
+    core count (``defaultParallelism``) rather than the batch shuffle setting."""
+    spark = df.sparkSession
+    n_state = state_partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n_state))
+    try:
+        return _start(df, mode, checkpoint, fmt, path, foreach_batch, name, trigger, partition_by, options)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
+def _start(df, mode, checkpoint, fmt, path, foreach_batch, name, trigger, partition_by, options) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)

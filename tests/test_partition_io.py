@@ -59,3 +59,17 @@ def test_checkpoint_dir_is_shared_setting(spark):
     d = ensure_checkpoint_dir(spark)
     assert d and spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(d.rstrip("/"))
+
+
+def test_pandas_export_guard_and_foreach_partition(spark):
+    import pytest
+    df = spark.range(20)
+    assert len(files.to_pandas_guarded(df, 20)) == 20
+    with pytest.raises(ValueError):
+        files.to_pandas_guarded(df, 5)
+    acc = spark.sparkContext.accumulator(0)
+
+    def count_rows(rows):
+        acc.add(sum(1 for _ in rows))
+    files.for_each_partition(df.repartition(3), count_rows)
+    assert acc.value == 20

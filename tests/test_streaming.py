@@ -95,3 +95,18 @@ def test_encode_record_json_value(spark):
     df = from_local(spark, [("w", 3)], "word string, n long")
     r = sinks.encode_record(df, "word", value_cols=["word", "n"]).first()
     assert r.key == "w" and r.value == '{"word":"w","n":3}'
+
+
+def test_rate_source_and_console_sink(spark):
+    import time
+    base = scratch_path(spark, "rate")
+    q = run.start(sources.rate_stream(spark, rows_per_second=50, num_partitions=1), "append", f"{base}/_ck",
+                  fmt="memory", name="rate_mem", trigger=run.trigger_kwargs("processing_time", "1 second"))
+    try:
+        time.sleep(4)
+    finally:
+        q.stop()
+    assert spark.sql("SELECT count(*) AS n FROM rate_mem").first().n > 0
+    _write(spark, f"{base}/in/b000", DAY1)
+    s = sources.file_stream(spark, f"{base}/in/b*", "json", STOCK_SCHEMA)
+    run.await_done(run.start(s, "append", f"{base}/_ck2", fmt="console"), 120)
