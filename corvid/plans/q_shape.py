@@ -310,3 +310,18 @@ def fn_array(spark, d):
         "vec_id", F.size(e).alias("dims"), F.array_max(e).alias("max_val"),
         F.size(F.filter(e, lambda x: x > 0)).alias("n_pos"),
         F.array_contains(e, F.lit(0.0).cast("float")).alias("has_zero"))
+
+
+@query("fn_parse_ids", sql="""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderkey END AS invoice_no,
+           o_custkey AS customer_id FROM orders""")
+def fn_parse_ids(spark, d):
+    """Identifiers exported as text: cancelled invoices carry a ``C`` prefix and customer ids
+    a ``.0`` suffix. Parsed with try-casts: the prefixed ones become NULL, the rest bigint."""
+    o = Tables(spark, d).orders
+    raw = o.select("o_orderkey",
+                   F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("C"), F.col("o_orderkey").cast("string")))
+                   .otherwise(F.col("o_orderkey").cast("string")).alias("invoice_text"),
+                   F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("customer_text"))
+    return raw.select("o_orderkey", parse.to_int_id("invoice_text").alias("invoice_no"),
+                      parse.to_int_id("customer_text").alias("customer_id"))
