@@ -27,9 +27,25 @@ def join_using(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.join(right, keys, how)
 
 
+def full_outer_using(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``FULL OUTER JOIN ... USING (keys)`` that tolerates a hot key.
+
+    AQE cannot split skewed partitions of a full outer sort-merge join. The same rows are
+    produced as ``(right LEFT JOIN left)`` — matched pairs plus unmatched right rows, where
+    AQE may split the right side's hot partitions — plus ``left LEFT ANTI right`` for
+    unmatched left rows, against the distinct right keys (partial aggregation collapses a
+    hot key before that shuffle). Valid for any key multiplicities and NULL keys.
+    """
+    right_keys = right.select(*keys).distinct()
+    matched_or_right = right.join(left, keys, "left")
+    only_left = left.join(right_keys, keys, "left_anti")
+    cols = keys + [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    return matched_or_right.select(*cols).unionByName(only_left, allowMissingColumns=True).select(*cols)
+
+
 def full_outer_chain(dfs: list[DataFrame], key: str) -> DataFrame:
-    """Chained ``full_outer`` USING joins: the key column is the coalesce of all sides."""
-    return reduce(lambda a, b: a.join(b, key, "full_outer"), dfs)
+    """Chained full outer USING joins: the key column is the coalesce of all sides."""
+    return reduce(lambda a, b: full_outer_using(a, b, [key]), dfs)
 
 
 def dimension_with_counts(dim: DataFrame, dim_key: str, facts: dict[str, tuple[DataFrame, str]]) -> DataFrame:

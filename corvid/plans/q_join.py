@@ -118,7 +118,9 @@ for _how, _sqlhow in [("inner", "JOIN"), ("full", "FULL OUTER JOIN"), ("left", "
     def _make(how=_how):
         def fn(spark, d):
             a, b = _kv_pairs(Tables(spark, d))
-            return joins.join_using(a, b, ["k"], "full_outer" if how == "full" else how).select("k", "a", "b")
+            if how == "full":
+                return joins.full_outer_using(a, b, ["k"]).select("k", "a", "b")
+            return joins.join_using(a, b, ["k"], how).select("k", "a", "b")
         return fn
     query(f"kv_join_{_how}", sql=f"""
         SELECT {'coalesce(x.k, y.k)' if _how == 'full' else ('y.k' if _how == 'right' else 'x.k')} AS k, x.a, y.b

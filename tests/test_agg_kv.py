@@ -50,3 +50,13 @@ def test_argmax_reports_all_ties(spark):
 def test_word_count_variants(spark, clean, expected):
     df = spark.createDataFrame([("Hola, hola  mundo.",)], "text string")
     assert {r.word: r.n for r in kv.word_count(df, clean=clean).collect()} == expected
+
+
+def test_full_outer_rewrite_equals_full_outer(spark):
+    from corvid.operators.joins import full_outer_using
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "n"), (4, "d"), (4, "e")], "k int, a string")
+    b = spark.createDataFrame([(2, 10), (2, 11), (3, 12), (None, 13), (4, 14)] + [(9, i) for i in range(50)],
+                              "k int, b int")
+    got = sorted(map(tuple, full_outer_using(a, b, ["k"]).collect()), key=str)
+    want = sorted(map(tuple, a.join(b, ["k"], "full_outer").select("k", "a", "b").collect()), key=str)
+    assert got == want
