@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.text import clean_tokens, tokens
@@ -70,10 +70,11 @@ def tagged_union(parts: dict[str, DataFrame], key: str, value: str) -> DataFrame
 def argmax_categories(counts: DataFrame, value: str, flag: str = "is_max") -> DataFrame:
     """Flag every category whose count equals the maximum (all ties reported).
 
-    ``counts`` is already one row per category (small); the unpartitioned window runs over
-    that aggregate only.
+    The maximum is a scalar subquery (one global aggregate, evaluated once and used as a
+    literal), so categories are neither gathered into one task nor cross-joined.
     """
-    return counts.withColumn(flag, F.col(value) == F.max(value).over(Window.partitionBy()))
+    top = counts.select(F.max(value)).scalar()
+    return counts.withColumn(flag, F.col(value) == top)
 
 
 def fail_counts(df: DataFrame, category: str, cond: Column, name: str = "n_fail") -> DataFrame:

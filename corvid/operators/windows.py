@@ -14,6 +14,11 @@ running aggregates here use a two-level scan instead:
 Ranks are derived from per-(key, order value) counts, which partial aggregation shrinks
 before any shuffle; a running sum over those counts gives ``rank`` and ``dense_rank``.
 
+A plain window is still the cheapest plan when no key is large. ``running`` and ``ranks``
+therefore first count rows per key (a partial aggregate over the key columns only) and use
+the single-shuffle ``Window`` when the largest key fits one task (``max_group_rows``); the
+two-level scan is used beyond that, and always for windows without partition keys.
+
 Order specs are strings: ``"col"`` or ``"col desc"``. Running frames are ROWS frames; give a
 total order (add tie-breakers) for deterministic results.
 """
@@ -63,6 +68,26 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest key (one partially aggregated pass over the key columns)."""
+    top = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def _plain_ok(df: DataFrame, keys: list[str], max_group_rows: int | None) -> bool:
+    if not keys:
+        return False
+    limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    return limit > 0 and largest_group(df, keys) <= limit
+
+
+def _fn(fn: str, c: str) -> Column:
+    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}[fn](F.col(c))
+
+
 def dense_index(df: DataFrame, order, name: str = "row_idx", start: int = 0) -> DataFrame:
     """Consecutive 0/1-based positions along ``order`` (``zipWithIndex``), distributed.
 
@@ -84,11 +109,21 @@ def dense_index(df: DataFrame, order, name: str = "row_idx", start: int = 0) ->
     return out.drop(_PID, "_mid", "_off")
 
 
-def running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+def running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple[str, str]],
+            max_group_rows: int | None = None) -> DataFrame:
     """Running aggregates over ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
 
     ``aggs`` maps an output name to ``(fn, column)``, ``fn`` in sum, count, min, max, avg.
+    ``max_group_rows``: largest key size handled by a plain window (0 forces the two-level
+    scan; default ``DEFAULT_MAX_GROUP_ROWS``).
     """
+    for fn, _c in aggs.values():
+        if fn not in ("sum", "count", "min", "max", "avg"):
+            raise ValueError(f"unsupported running aggregate {fn}")
+    if _plain_ok(df, list(partition_by), max_group_rows):
+        w = (Window.partitionBy(*partition_by).orderBy(*order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumns({out: _fn(fn, c).over(w) for out, (fn, c) in aggs.items()})
     keys = list(partition_by)
     base = df
     if not keys:
@@ -186,7 +221,7 @@ def running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple
 
 
 def ranks(df: DataFrame, partition_by: list[str], order, rank: str | None = "rank",
-          dense_rank: str | None = "dense_rank") -> DataFrame:
+          dense_rank: str | None = "dense_rank", max_group_rows: int | None = None) -> DataFrame:
     """``rank()`` and ``dense_rank()`` over ``partition_by`` ordered by ``order``.
 
     Rows are first counted per distinct (key, order value) — partial aggregation collapses
@@ -195,10 +230,19 @@ def ranks(df: DataFrame, partition_by: list[str], order, rank: str | None = "ran
     (key, order value) null-safely, where AQE splits a hot join partition.
     """
     keys = list(partition_by)
+    if _plain_ok(df, keys, max_group_rows):
+        w = Window.partitionBy(*keys).orderBy(*order_cols(order))
+        cols = {}
+        if rank:
+            cols[rank] = F.rank().over(w)
+        if dense_rank:
+            cols[dense_rank] = F.dense_rank().over(w)
+        return df.withColumns(cols)
     onames = _order_names(order)
     dims = keys + [c for c in onames if c not in keys]
     counts = df.groupBy(*dims).agg(F.count("*").alias("_cnt"), F.lit(1).alias("_one"))
-    cum = running(counts, keys, order, {"_upto": ("sum", "_cnt"), "_dense": ("sum", "_one")})
+    cum = running(counts, keys, order, {"_upto": ("sum", "_cnt"), "_dense": ("sum", "_one")},
+                  max_group_rows=max_group_rows)
     sel = [F.col(c).alias(f"_rk_{c}") for c in dims]
     if rank:
         sel.append((F.col("_upto") - F.col("_cnt") + 1).alias(rank))

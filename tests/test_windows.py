@@ -30,7 +30,8 @@ def test_running_matches_window(spark, skewed):
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         got = windows.running(skewed, ["k"], ["v desc", "seq"], {
-            "s": ("sum", "v"), "c": ("count", "v"), "mx": ("max", "v"), "mn": ("min", "v"), "a": ("avg", "v")})
+            "s": ("sum", "v"), "c": ("count", "v"), "mx": ("max", "v"), "mn": ("min", "v"), "a": ("avg", "v")},
+            max_group_rows=0)
         w = (Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), "seq")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         want = skewed.select("seq", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("c"),
@@ -50,7 +51,7 @@ def test_running_global_without_keys(spark, skewed):
 
 
 def test_ranks_match_window(spark, skewed):
-    got = windows.ranks(skewed, ["k", "g"], ["v desc"])
+    got = windows.ranks(skewed, ["k", "g"], ["v desc"], max_group_rows=0)
     w = Window.partitionBy("k", "g").orderBy(F.col("v").desc_nulls_last())
     want = skewed.select("seq", F.rank().over(w).alias("rank"), F.dense_rank().over(w).alias("dense_rank"))
     cols = ["seq", "rank", "dense_rank"]
@@ -75,3 +76,13 @@ def test_top_one_per_group(spark, skewed):
     want = (skewed.where("v IS NOT NULL").withColumn("rn", F.row_number().over(w)).where("rn = 1")
             .select("k", "seq", "v"))
     assert _pairs(got, ["k", "seq", "v"]) == _pairs(want, ["k", "seq", "v"])
+
+
+def test_plain_path_below_threshold_agrees(spark, skewed):
+    assert windows.largest_group(skewed, ["k"]) == 2500
+    plain = windows.running(skewed, ["k"], ["seq"], {"s": ("sum", "v")}, max_group_rows=10_000)
+    split = windows.running(skewed, ["k"], ["seq"], {"s": ("sum", "v")}, max_group_rows=0)
+    assert _pairs(plain, ["seq", "s"]) == _pairs(split, ["seq", "s"])
+    r1 = windows.ranks(skewed, ["k"], ["v desc"], max_group_rows=10_000)
+    r2 = windows.ranks(skewed, ["k"], ["v desc"], max_group_rows=0)
+    assert _pairs(r1, ["seq", "rank", "dense_rank"]) == _pairs(r2, ["seq", "rank", "dense_rank"])
