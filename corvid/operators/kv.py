@@ -38,8 +38,10 @@ def text_stats(docs: DataFrame, text_col: str = "text", needle: str = "data", lo
     and then merged, so lines and words never need to be joined.
     """
     lines = docs.select(F.explode(F.split(text_col, "\n")).alias("line"))
-    toks = tokens("line")
-    per_line = lines.select(
+    # tokens are materialised once per line and then read three times
+    tokenised = lines.select("line", tokens("line").alias("toks"))
+    toks = F.col("toks")
+    per_line = tokenised.select(
         "line", F.size(toks).alias("nw"),
         F.size(F.filter(toks, lambda w: F.length(w) > long_word)).alias("nlong"),
         F.array_min(F.transform(toks, lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w")))).alias("best"))
