@@ -9,6 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def at_least(df: DataFrame, n: int) -> DataFrame:
+    """Ensure at least ``n`` partitions (e.g. several output files) without reshuffling data
+    that is already spread wider; the partition count is metadata, no job runs."""
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
+def cluster_parallelism(df: DataFrame) -> int:
+    """Cores of the cluster (``defaultParallelism``): the scale-aware partition count used
+    where an example in the survey names a small fixed number."""
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
     """Stable bucket 0..buckets-1 from the md5 of the key text (same in every run and engine)."""
     k = F.col(key) if isinstance(key, str) else key
@@ -73,12 +85,26 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 
 def sorted_within_buckets(df: DataFrame, bucket: Column, n: int, order: list[str], pos: str = "pos") -> DataFrame:
     """``repartitionAndSortWithinPartitions``: rows go to partition ``bucket`` (an int in
-    0..n-1) and are sorted inside it; ``pos`` is the 1-based position inside the partition."""
+    0..n-1) and are sorted inside it; ``pos`` is the 1-based position inside the partition.
+
+    This is the literal physical layout (one task per bucket). For large data use
+    ``positions_within_buckets``, which gives the same (bucket, position) answer with the
+    skew-safe scan."""
     parted = df.withColumn("_b", bucket).repartitionById(n, F.col("_b")).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     return parted.withColumn("partition", F.spark_partition_id()).withColumn(pos, mid + 1).drop("_b")
 
 
+def positions_within_buckets(df: DataFrame, bucket: Column, order: list[str], bucket_name: str = "partition",
+                             pos: str = "pos") -> DataFrame:
+    """Bucket of every row and its 1-based position in the bucket's sort order — the logical
+    result of ``repartitionAndSortWithinPartitions`` — as a running count per bucket, which
+    spreads a bucket holding half of all rows over many tasks."""
+    from corvid.operators.windows import running
+    tagged = df.withColumn(bucket_name, bucket).withColumn("_one", F.lit(1))
+    return running(tagged, [bucket_name], order, {pos: ("count", "_one")}).drop("_one")
+
+
 def partial_sums(df: DataFrame, col: str) -> DataFrame:
     """``mapPartitions``: one (rows, sum) record per partition, computed with pandas on the
     Arrow batches of the partition (one running state per task)."""

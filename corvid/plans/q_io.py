@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corvid.functions.numeric import exact_mean, money
 from corvid.operators import kv, shape
 from corvid.operators.joins import dimension_with_counts
+from corvid.operators.partition import at_least
 from corvid.session import scratch_path
 from corvid.sources import files
 from corvid.plans.registry import query
@@ -88,7 +89,7 @@ def src_csv_date(spark, d):
 
 @query("src_csv_glob", sql="SELECT * FROM lineitem")
 def src_csv_glob(spark, d):
-    path = files.write_csv(Tables(spark, d).lineitem.repartition(4), scratch_path(spark, "csv-glob"))
+    path = files.write_csv(at_least(Tables(spark, d).lineitem, 4), scratch_path(spark, "csv-glob"))
     return files.read_csv(spark, path + "/*.csv", header=True, schema=LINEITEM_SCHEMA)
 
 
@@ -217,7 +218,7 @@ def flt_header_rows(spark, d):
     """CSV parts written with a header each, read as plain rows: the repeated header lines
     become data and are removed."""
     c = Tables(spark, d).customer
-    path = files.write_csv(c.repartition(4), scratch_path(spark, "csv-headers"), header=True)
+    path = files.write_csv(at_least(c, 4), scratch_path(spark, "csv-headers"), header=True)
     raw = files.read_csv(spark, path, header=False, names=c.columns)
     return shape.drop_repeated_headers(raw)
 

@@ -39,17 +39,19 @@ def par_sample_by_key(spark, d):
 
 @query("par_coalesce", sql="SELECT * FROM lineitem")
 def par_coalesce(spark, d):
-    return Tables(spark, d).lineitem.coalesce(2)
+    li = Tables(spark, d).lineitem
+    return li.coalesce(max(1, li.rdd.getNumPartitions() // 2))
 
 
 @query("par_repartition", sql="SELECT * FROM orders")
 def par_repartition(spark, d):
-    return Tables(spark, d).orders.repartition(4)
+    o = Tables(spark, d).orders
+    return o.repartition(2 * par.cluster_parallelism(o))
 
 
 @query("par_by_key", sql="SELECT l_suppkey, 1 AS n_partitions, count(*) AS n FROM lineitem GROUP BY l_suppkey")
 def par_by_key(spark, d):
-    parted = Tables(spark, d).lineitem.repartition(5, "l_suppkey").withColumn("pid", F.spark_partition_id())
+    parted = Tables(spark, d).lineitem.repartition("l_suppkey").withColumn("pid", F.spark_partition_id())
     return parted.groupBy("l_suppkey").agg(F.count_distinct("pid").alias("n_partitions"), F.count("*").alias("n"))
 
 
@@ -58,30 +60,30 @@ def par_by_key(spark, d):
            row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS pos FROM orders""")
 def par_sort_within(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey")
-    return par.sorted_within_buckets(o, (F.col("o_orderkey") % 2).cast("int"), 2, ["o_orderkey"]) \
-        .select("o_orderkey", "partition", "pos")
+    return par.positions_within_buckets(o, (F.col("o_orderkey") % 2).cast("int"), ["o_orderkey"]) \
+        .select("o_orderkey", "partition", F.col("pos").cast("bigint").alias("pos"))
 
 
 @query("par_count")
 def par_count(spark, d):
-    li = Tables(spark, d).lineitem.repartition(6)
+    li = par.at_least(Tables(spark, d).lineitem, 6)
     return par.partition_sizes(li).agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_rows"))
 
 
 @query("par_glom")
 def par_glom(spark, d):
-    return par.partition_sizes(Tables(spark, d).orders.repartition(3))
+    return par.partition_sizes(par.at_least(Tables(spark, d).orders, 3))
 
 
 @query("par_map_partitions", sql="SELECT count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem")
 def par_map_partitions(spark, d):
-    parts = par.partial_sums(Tables(spark, d).lineitem.repartition(4), "l_quantity")
+    parts = par.partial_sums(par.at_least(Tables(spark, d).lineitem, 4), "l_quantity")
     return parts.agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))
 
 
 @query("par_pipe", sql="SELECT count(*) AS n_lines FROM documents")
 def par_pipe(spark, d):
-    sizes = par.partition_sizes(Tables(spark, d).documents.select("doc_id").repartition(4))
+    sizes = par.partition_sizes(par.at_least(Tables(spark, d).documents.select("doc_id"), 4))
     return sizes.agg(F.sum("n").alias("n_lines"))
 
 
