@@ -2,9 +2,11 @@
 
 Join strategy is left to Catalyst and AQE: a side is broadcast only when its size is known
 to be small (file statistics under ``spark.sql.autoBroadcastJoinThreshold``, or AQE's
-runtime sizes), otherwise sort-merge with AQE splitting skewed partitions. The operators
-below pre-aggregate to one row per key before joining wherever only per-key figures are
-needed, so a hot key never multiplies across the join.
+runtime sizes), otherwise sort-merge with AQE splitting skewed partitions. Outer joins are
+decomposed into an inner join plus anti joins (``outer_join``) because AQE cannot split a
+hot key on the non-preserved side; semi and anti joins probe the other side's distinct
+keys. The operators below pre-aggregate to one row per key before joining wherever only
+per-key figures are needed, so a hot key never multiplies across the join.
 """
 
 from __future__ import annotations
@@ -17,30 +19,74 @@ from pyspark.sql import functions as F
 from corvid.operators.windows import dense_index
 
 
+def _keys(left_keys, right_keys):
+    lk = [left_keys] if isinstance(left_keys, str) else list(left_keys)
+    rk = [right_keys] if isinstance(right_keys, str) else list(right_keys)
+    if len(lk) != len(rk):
+        raise ValueError("left and right key lists differ in length")
+    return lk, rk
+
+
+def _distinct_keys(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    # partial aggregation collapses a hot key map-side before the shuffle
+    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]).distinct()
+
+
+def _unmatched(df: DataFrame, keys: list[str], other: DataFrame, other_keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key has no partner in ``other`` (NULL keys never match)."""
+    dk = _distinct_keys(other, other_keys, "_uk")
+    cond = reduce(lambda a, b: a & b, [df[k] == dk[f"_uk{i}"] for i, k in enumerate(keys)])
+    return df.join(dk, cond, "left_anti")
+
+
+def outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys, how: str,
+               using: bool = False) -> DataFrame:
+    """Left, right or full outer equi-join that tolerates a hot key on either side.
+
+    AQE splits skewed partitions only on the preserved side of a left/right outer join and
+    not at all for a full outer join. The same rows are produced as the inner join (AQE can
+    split either side) plus, per preserved side, its rows without partner — an anti join
+    against the other side's distinct keys. With ``using`` the key columns are merged as in
+    ``JOIN ... USING``; otherwise both key columns are kept (NULL on the unmatched side).
+    """
+    how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full"}.get(how, how)
+    if how not in ("left", "right", "full"):
+        raise ValueError(f"not an outer join: {how}")
+    lk, rk = _keys(left_keys, right_keys)
+    if using:
+        if lk != rk:
+            raise ValueError("USING joins need the same key names on both sides")
+        matched = left.join(right, lk, "inner")
+    else:
+        cond = reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in zip(lk, rk)])
+        matched = left.join(right, cond, "inner")
+    parts = [matched]
+    if how in ("left", "full"):
+        parts.append(_unmatched(left, lk, right, rk))
+    if how in ("right", "full"):
+        parts.append(_unmatched(right, rk, left, lk))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return out.select(*matched.columns)
+
+
 def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
-    """Join on an expression; both key columns are kept."""
+    """Join on an expression; both key columns are kept. Outer joins go through the
+    skew-tolerant ``outer_join``."""
+    if how in ("left", "right", "full", "left_outer", "right_outer", "outer", "full_outer"):
+        return outer_join(left, right, left_key, right_key, how)
     return left.join(right, F.col(left_key) == F.col(right_key), how)
 
 
 def join_using(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``USING`` join: one key column in the output (coalesced for full outer joins)."""
+    if how in ("left", "right", "full", "left_outer", "right_outer", "outer", "full_outer"):
+        return outer_join(left, right, keys, keys, how, using=True)
     return left.join(right, keys, how)
 
 
 def full_outer_using(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """``FULL OUTER JOIN ... USING (keys)`` that tolerates a hot key.
-
-    AQE cannot split skewed partitions of a full outer sort-merge join. The same rows are
-    produced as ``(right LEFT JOIN left)`` — matched pairs plus unmatched right rows, where
-    AQE may split the right side's hot partitions — plus ``left LEFT ANTI right`` for
-    unmatched left rows, against the distinct right keys (partial aggregation collapses a
-    hot key before that shuffle). Valid for any key multiplicities and NULL keys.
-    """
-    right_keys = right.select(*keys).distinct()
-    matched_or_right = right.join(left, keys, "left")
-    only_left = left.join(right_keys, keys, "left_anti")
-    cols = keys + [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
-    return matched_or_right.select(*cols).unionByName(only_left, allowMissingColumns=True).select(*cols)
+    """``FULL OUTER JOIN ... USING (keys)`` that tolerates a hot key (see ``outer_join``)."""
+    return outer_join(left, right, keys, keys, "full", using=True)
 
 
 def full_outer_chain(dfs: list[DataFrame], key: str) -> DataFrame:
@@ -90,9 +136,15 @@ def join_no_duplicates(left: DataFrame, right: DataFrame, keys: list[str], how:
     return left.join(right, keys, how).dropDuplicates()
 
 
-def semi(left: DataFrame, right: DataFrame, cond: Column) -> DataFrame:
-    return left.join(right, cond, "left_semi")
+def semi(left: DataFrame, right: DataFrame, left_keys, right_keys) -> DataFrame:
+    """Rows of ``left`` with a partner in ``right`` (EXISTS), against the distinct right keys."""
+    lk, rk = _keys(left_keys, right_keys)
+    dk = _distinct_keys(right, rk, "_sk")
+    return left.join(dk, reduce(lambda a, b: a & b, [left[k] == dk[f"_sk{i}"] for i, k in enumerate(lk)]),
+                     "left_semi")
 
 
-def anti(left: DataFrame, right: DataFrame, cond: Column) -> DataFrame:
-    return left.join(right, cond, "left_anti")
+def anti(left: DataFrame, right: DataFrame, left_keys, right_keys) -> DataFrame:
+    """Rows of ``left`` without partner in ``right`` (NOT EXISTS), against the distinct right keys."""
+    lk, rk = _keys(left_keys, right_keys)
+    return _unmatched(left, lk, right, rk)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corvid.functions.numeric import exact_money_sum, money
 from corvid.operators import agg
 from corvid.operators.jobs import net_revenue
+from corvid.operators.joins import equi_join
 from corvid.plans.registry import query
 from corvid.sources.tables import Tables
 
@@ -17,7 +18,7 @@ from corvid.sources.tables import Tables
 def agg_count(spark, d):
     t = Tables(spark, d)
     o = t.orders.where("o_orderstatus = 'P'").select("o_custkey", "o_orderkey")
-    j = t.customer.join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    j = equi_join(t.customer, o, "c_custkey", "o_custkey", "left")
     return j.groupBy("c_mktsegment").agg(F.count("*").alias("n_rows"), F.count("o_orderkey").alias("n_orders"))
 
 

@@ -93,14 +93,14 @@ def join_right(spark, d):
     SELECT c_custkey, c_name FROM {_AUTO} c WHERE EXISTS (SELECT 1 FROM {_PEND} o WHERE o.o_custkey = c.c_custkey)""")
 def join_semi(spark, d):
     t = Tables(spark, d)
-    return joins.semi(_auto_customers(t), _pending_orders(t), F.col("c_custkey") == F.col("o_custkey"))
+    return joins.semi(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey")
 
 
 @query("join_anti", sql=f"""
     SELECT c_custkey, c_name FROM {_AUTO} c WHERE NOT EXISTS (SELECT 1 FROM {_PEND} o WHERE o.o_custkey = c.c_custkey)""")
 def join_anti(spark, d):
     t = Tables(spark, d)
-    return joins.anti(_auto_customers(t), _pending_orders(t), F.col("c_custkey") == F.col("o_custkey"))
+    return joins.anti(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey")
 
 
 _KV_A = "(SELECT c_custkey AS k, c_name AS a FROM customer WHERE c_mktsegment = 'BUILDING')"

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import nested, parse, text
 from corvid.operators import shape
+from corvid.operators.joins import equi_join
 from corvid.operators.windows import dense_index
 from corvid.plans.registry import query
 from corvid.sources.tables import Tables
@@ -75,7 +76,7 @@ def flt_col(spark, d):
 def flt_null(spark, d):
     t = Tables(spark, d)
     o = t.orders.select("o_custkey", "o_orderkey")
-    j = t.customer.join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    j = equi_join(t.customer, o, "c_custkey", "o_custkey", "left")
     return j.where(F.col("o_orderkey").isNull()).select("c_custkey", "c_name")
 
 
@@ -126,8 +127,8 @@ def prj_rowid(spark, d):
     LEFT JOIN orders o ON c.c_custkey = o.o_custkey WHERE o.o_orderkey IS NOT NULL""")
 def flt_dropna(spark, d):
     t = Tables(spark, d)
-    j = t.customer.select("c_custkey", "c_name").join(
-        t.orders.select("o_custkey", "o_orderkey"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    j = equi_join(t.customer.select("c_custkey", "c_name"), t.orders.select("o_custkey", "o_orderkey"),
+                  "c_custkey", "o_custkey", "left")
     return shape.drop_null_rows(j.select("c_custkey", "c_name", "o_orderkey"), "any")
 
 

@@ -20,7 +20,9 @@ def nested_orders(orders: DataFrame, lineitem: DataFrame, max_items: int = 1000)
              .withColumn("_block", F.floor((F.col("l_linenumber") - 1) / max_items))
              .groupBy("l_orderkey", "_block")
              .agg(F.sort_array(F.collect_list(F.struct(*ITEM_FIELDS))).alias("items")))
-    return (orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    from corvid.operators.joins import equi_join
+    # an order's blocks may be many (a hot order): the skew-tolerant outer join splits them
+    return (equi_join(orders, items, "o_orderkey", "l_orderkey", "left")
             .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                     "o_orderpriority", F.coalesce("_block", F.lit(0)).alias("block"),
                     F.coalesce("items", F.array().cast(

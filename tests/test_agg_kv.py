@@ -60,3 +60,15 @@ def test_full_outer_rewrite_equals_full_outer(spark):
     got = sorted(map(tuple, full_outer_using(a, b, ["k"]).collect()), key=str)
     want = sorted(map(tuple, a.join(b, ["k"], "full_outer").select("k", "a", "b").collect()), key=str)
     assert got == want
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_decomposition_equals_spark(spark, how):
+    from corvid.operators.joins import outer_join
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "n"), (4, "d"), (4, "e")] + [(7, "h")] * 30,
+                              "ka int, a string")
+    b = spark.createDataFrame([(2, 10), (2, 11), (3, 12), (None, 13), (4, 14)] + [(7, i) for i in range(40)],
+                              "kb int, b int")
+    got = sorted(map(tuple, outer_join(a, b, "ka", "kb", how).select("ka", "a", "kb", "b").collect()), key=str)
+    want = sorted(map(tuple, a.join(b, a.ka == b.kb, how).select("ka", "a", "kb", "b").collect()), key=str)
+    assert got == want
