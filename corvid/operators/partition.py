@@ -39,6 +39,25 @@ def hash_split(df: DataFrame, key: str, weights: list[float]) -> list[DataFrame]
     return [df.where((b >= lo) & (b < hi)) for lo, hi in bounds]
 
 
+def row_hash(id_cols: list[str], buckets: int = 10000) -> Column:
+    """Stable pseudo-random bucket of a row from its identifying columns (md5 based)."""
+    return hash_bucket(F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols]), buckets)
+
+
+def hash_sample_by_key(df: DataFrame, key: str, fractions: dict, id_cols: list[str]) -> DataFrame:
+    """Deterministic stratified sample: a row of stratum ``k`` is kept when its row hash
+    falls below ``fractions[k]``; repeatable across runs, engines and executor losses."""
+    frac = F.coalesce(F.create_map(*[x for k, v in fractions.items() for x in (F.lit(k), F.lit(float(v)))])[F.col(key)],
+                      F.lit(0.0))
+    return df.where(row_hash(id_cols) < frac * 10000)
+
+
+def hash_sample_n(df: DataFrame, n: int, id_cols: list[str]) -> DataFrame:
+    """Deterministic sample of ``n`` rows without replacement: the ``n`` smallest row hashes
+    (ties by the id columns), as a top-k (per-task heaps, no global sort)."""
+    return df.withColumn("_h", row_hash(id_cols, 1 << 30)).orderBy("_h", *id_cols).limit(n).drop("_h")
+
+
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
     return df.randomSplit(weights, seed)
 

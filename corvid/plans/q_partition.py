@@ -37,6 +37,25 @@ def par_sample_by_key(spark, d):
     return par.sample_by_key(li, "l_returnflag", {"A": 0.1, "N": 0.05, "R": 0.2}, seed=6, with_replacement=True)
 
 
+_ROW_HASH = "(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT)"
+
+
+@query("par_sample_by_key_hash", sql=f"""
+    SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+    WHERE {_ROW_HASH} % 10000 < CASE l_returnflag WHEN 'A' THEN 0.1 WHEN 'N' THEN 0.05 WHEN 'R' THEN 0.2 ELSE 0 END * 10000""")
+def par_sample_by_key_hash(spark, d):
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
+    return par.hash_sample_by_key(li, "l_returnflag", {"A": 0.1, "N": 0.05, "R": 0.2}, ["l_orderkey", "l_linenumber"])
+
+
+@query("par_sample_n_hash", sql=f"""
+    SELECT l_orderkey, l_linenumber FROM lineitem
+    ORDER BY {_ROW_HASH} % 1073741824, l_orderkey, l_linenumber LIMIT 100""")
+def par_sample_n_hash(spark, d):
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber")
+    return par.hash_sample_n(li, 100, ["l_orderkey", "l_linenumber"])
+
+
 @query("par_coalesce", sql="SELECT * FROM lineitem")
 def par_coalesce(spark, d):
     li = Tables(spark, d).lineitem

@@ -110,3 +110,18 @@ def test_rate_source_and_console_sink(spark):
     _write(spark, f"{base}/in/b000", DAY1)
     s = sources.file_stream(spark, f"{base}/in/b*", "json", STOCK_SCHEMA)
     run.await_done(run.start(s, "append", f"{base}/_ck2", fmt="console"), 120)
+
+
+def test_continuous_trigger_map_only(spark):
+    import time
+    base = scratch_path(spark, "continuous")
+    # one rate partition: a continuous task holds its core for the query's lifetime
+    s = sources.rate_stream(spark, rows_per_second=20, num_partitions=1).selectExpr("value * 2 AS v")
+    q = run.start(s, "append", f"{base}/_ck", fmt="memory", name="cont_mem",
+                  trigger=run.trigger_kwargs("continuous", "1 second"))
+    try:
+        time.sleep(8)
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT v FROM cont_mem").collect()
+    assert rows and all(r.v % 2 == 0 for r in rows)
