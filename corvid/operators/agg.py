@@ -58,7 +58,10 @@ def collect_bounded(df: DataFrame, keys: list[str], value: str | Column, max_ite
     tagged = (base.join(sizes, keys)
               .withColumn("chunk", F.when(F.col("_n") <= max_items, F.lit(0))
                           .otherwise(F.pmod(F.xxhash64("_v"), chunks))))
-    return (tagged.groupBy(*keys, "chunk")
+    # Shuffle on (key, chunk) explicitly: the join above may leave the rows partitioned by
+    # the key alone, which would satisfy the grouping and keep every chunk of a hot key in
+    # one task.
+    return (tagged.repartition(*keys, "chunk").groupBy(*keys, "chunk")
             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias(out)))
 
 

@@ -18,6 +18,9 @@ def test_collect_bounded_splits_hot_groups(spark):
     assert len(chunks["hot"]) == 5
     assert max(len(r["values"]) for r in chunks["hot"]) < 800
     assert sorted(v for r in chunks["hot"] for v in r["values"]) == list(range(2500))
+    # the hot key's chunks are collected by several tasks, not one
+    tasks = out.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
 
 
 def test_collect_bounded_distinct(spark):
