@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.text import clean_tokens, tokens
+from corvid.operators.partition import spread_small_input
 
 
 def words(df: DataFrame, text_col: str = "text", clean: bool = False, keep: list[str] | None = None) -> DataFrame:
     """One row per token (``flatMap``); streaming explode, nothing gathered per document."""
     toks = clean_tokens(text_col) if clean else tokens(text_col)
-    return df.select(*(keep or []), F.explode(toks).alias("word"))
+    return spread_small_input(df).select(*(keep or []), F.explode(toks).alias("word"))
 
 
 def word_count(df: DataFrame, text_col: str = "text", clean: bool = False) -> DataFrame:
@@ -37,7 +38,7 @@ def text_stats(docs: DataFrame, text_col: str = "text", needle: str = "data", lo
     Word-level figures are computed per line with array functions on the line's tokens
     and then merged, so lines and words never need to be joined.
     """
-    lines = docs.select(F.explode(F.split(text_col, "\n")).alias("line"))
+    lines = spread_small_input(docs).select(F.explode(F.split(text_col, "\n")).alias("line"))
     # tokens are materialised once per line and then read three times
     tokenised = lines.select("line", tokens("line").alias("toks"))
     toks = F.col("toks")

@@ -21,6 +21,19 @@ def cluster_parallelism(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
+def spread_small_input(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Spread rows over the cluster's cores before CPU-heavy per-row work (tokenising,
+    regular expressions) when the input comes from fewer files than there are cores — a
+    small table or a few unsplittable files would otherwise be processed by one task until
+    the first shuffle. Inputs made of many files are returned unchanged (no shuffle)."""
+    n = n or cluster_parallelism(df)
+    try:
+        files = len(df.inputFiles())
+    except Exception:  # not a file-based plan
+        return df
+    return df.repartition(n) if 0 < files < n else df
+
+
 def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
     """Stable bucket 0..buckets-1 from the md5 of the key text (same in every run and engine)."""
     k = F.col(key) if isinstance(key, str) else key
