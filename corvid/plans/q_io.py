@@ -206,9 +206,20 @@ def act_first(spark, d):
     return Tables(spark, d).orders.select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(1)
 
 
-@query("inspect_schema")
+@query("inspect_schema", sql="""
+    SELECT 'l_orderkey' AS "column", 'bigint' AS type, true AS nullable, count(l_orderkey) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_partkey' AS "column", 'bigint' AS type, true AS nullable, count(l_partkey) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_suppkey' AS "column", 'bigint' AS type, true AS nullable, count(l_suppkey) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_linenumber' AS "column", 'int' AS type, true AS nullable, count(l_linenumber) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_quantity' AS "column", 'double' AS type, true AS nullable, count(l_quantity) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_extendedprice' AS "column", 'double' AS type, true AS nullable, count(l_extendedprice) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_discount' AS "column", 'double' AS type, true AS nullable, count(l_discount) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_tax' AS "column", 'double' AS type, true AS nullable, count(l_tax) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_returnflag' AS "column", 'string' AS type, true AS nullable, count(l_returnflag) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_linestatus' AS "column", 'string' AS type, true AS nullable, count(l_linestatus) AS non_null FROM lineitem UNION ALL
+    SELECT 'l_shipdate' AS "column", 'timestamp_ntz' AS type, true AS nullable, count(l_shipdate) AS non_null FROM lineitem""")
 def inspect_schema(spark, d):
-    return files.schema_rows(Tables(spark, d).lineitem)
+    return files.schema_profile(Tables(spark, d).lineitem)
 
 
 @query("flt_header_rows", sql="""

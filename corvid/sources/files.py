@@ -93,6 +93,17 @@ def save_table(df: DataFrame, name: str, path: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """``printSchema`` plus a non-NULL count per column: (column, type, nullable, non_null),
+    computed in one aggregate pass and unpivoted with ``stack``."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)])
+    args = []
+    for i, f in enumerate(fields):
+        args += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.lit(f.nullable), F.col(f"_c{i}")]
+    return counts.select(F.stack(F.lit(len(fields)), *args).alias("column", "type", "nullable", "non_null"))
+
+
 def schema_rows(df: DataFrame) -> DataFrame:
     """``printSchema`` as a DataFrame of (column, type, nullable) — metadata only, no data read."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
