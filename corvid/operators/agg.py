@@ -44,9 +44,10 @@ def collect_bounded(df: DataFrame, keys: list[str], value: str | Column, max_ite
                     distinct: bool = False, out: str = "values") -> DataFrame:
     """Per key, the sorted values as arrays of at most about ``max_items`` elements.
 
-    Group sizes are counted first (partially aggregated, cheap). A group with more than
-    ``max_items`` values is split into ``ceil(n / max_items)`` chunks by a hash of the
-    value, so no task or row ever holds an unbounded list; small groups form one chunk
+    Group sizes are counted first (partially aggregated, cheap). When the largest group fits
+    ``max_items`` the lists are collected with one shuffle on the key. Otherwise a group with
+    more than ``max_items`` values is split into ``ceil(n / max_items)`` chunks by a hash of
+    the value, so no task or row ever holds an unbounded list; small groups form one chunk
     (chunk 0). Output: ``keys..., chunk, n, values``.
     """
     v = F.col(value) if isinstance(value, str) else value
@@ -54,6 +55,12 @@ def collect_bounded(df: DataFrame, keys: list[str], value: str | Column, max_ite
     if distinct:
         base = base.distinct()
     sizes = base.groupBy(*keys).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= max_items:
+        # every group fits one chunk: a single shuffle on the key, no size join
+        return (base.groupBy(*keys)
+                .agg(F.lit(0).cast("long").alias("chunk"), F.count("*").alias("n"),
+                     F.sort_array(F.collect_list("_v")).alias(out)))
     chunks = F.ceil(F.col("_n") / F.lit(max_items)).cast("long")
     tagged = (base.join(sizes, keys)
               .withColumn("chunk", F.when(F.col("_n") <= max_items, F.lit(0))

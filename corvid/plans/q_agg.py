@@ -159,7 +159,7 @@ def agg_group_avg(spark, d):
 
 
 @query("agg_collect", sql="""
-    SELECT l_orderkey, 0 AS chunk, count(*) AS n,
+    SELECT l_orderkey, CAST(0 AS BIGINT) AS chunk, count(*) AS n,
            string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS line_list,
            (SELECT string_agg(f, ',' ORDER BY f) FROM (SELECT DISTINCT unnest(list(l_returnflag)) AS f)) AS flag_set
     FROM lineitem GROUP BY l_orderkey""")

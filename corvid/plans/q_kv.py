@@ -34,7 +34,7 @@ def kv_reduce_by_key(spark, d):
 
 
 @query("kv_group_by_key", sql="""
-    SELECT l_orderkey AS k, 0 AS chunk, count(*) AS n,
+    SELECT l_orderkey AS k, CAST(0 AS BIGINT) AS chunk, count(*) AS n,
            string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
     FROM lineitem GROUP BY l_orderkey""")
 def kv_group_by_key(spark, d):
@@ -67,7 +67,7 @@ def kv_aggregate_by_key(spark, d):
 
 
 @query("kv_combine", sql="""
-    SELECT l_partkey AS k, 0 AS chunk, count(*) AS n, sum(l_quantity) AS total_qty,
+    SELECT l_partkey AS k, CAST(0 AS BIGINT) AS chunk, count(*) AS n, sum(l_quantity) AS total_qty,
            string_agg(CAST(l_quantity AS VARCHAR), ',' ORDER BY l_quantity) AS qtys
     FROM lineitem GROUP BY l_partkey""")
 def kv_combine(spark, d):

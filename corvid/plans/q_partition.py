@@ -68,7 +68,7 @@ def par_repartition(spark, d):
     return o.repartition(2 * par.cluster_parallelism(o))
 
 
-@query("par_by_key", sql="SELECT l_suppkey, 1 AS n_partitions, count(*) AS n FROM lineitem GROUP BY l_suppkey")
+@query("par_by_key", sql="SELECT l_suppkey, CAST(1 AS BIGINT) AS n_partitions, count(*) AS n FROM lineitem GROUP BY l_suppkey")
 def par_by_key(spark, d):
     parted = Tables(spark, d).lineitem.repartition("l_suppkey").withColumn("pid", F.spark_partition_id())
     return parted.groupBy("l_suppkey").agg(F.count_distinct("pid").alias("n_partitions"), F.count("*").alias("n"))

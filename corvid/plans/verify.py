@@ -72,6 +72,17 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> tuple[bool, str]
     return True, f"{len(r1)} rows"
 
 
+def dtype_differences(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
+    """Columns whose pandas dtypes differ between the two results (schema check)."""
+    out = {}
+    for c in spark_pdf.columns:
+        if c in duck_pdf.columns:
+            a, b = str(spark_pdf[c].dtype), str(duck_pdf[c].dtype)
+            if a != b:
+                out[c] = (a, b)
+    return out
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -106,6 +117,9 @@ def main(argv=None) -> int:
             continue
         ok, msg = compare(spdf, dpdf)
         bad += not ok
+        types = dtype_differences(spdf, dpdf)
+        if types:
+            msg += f"; dtypes differ: {types}"
         print(f"{'OK  ' if ok else 'FAIL'}  {name}: {msg} ({t1 - t0:.1f}s)")
     print(f"{len(names) - bad}/{len(names)} passed")
     return 1 if bad else 0

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -16,11 +15,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_ltz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` as a session-zone TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
-    return load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-
-
 class Tables:
     """Lazy accessor: ``t = Tables(spark, sf_dir); t.lineitem``."""
 

@@ -125,3 +125,13 @@ def test_continuous_trigger_map_only(spark):
         q.stop()
     rows = spark.sql("SELECT v FROM cont_mem").collect()
     assert rows and all(r.v % 2 == 0 for r in rows)
+
+
+def test_file_source_options_pass_through(spark):
+    base = scratch_path(spark, "opts")
+    _write(spark, f"{base}/in/b000", DAY1)
+    s = sources.file_stream(spark, f"{base}/in/b*", "json", STOCK_SCHEMA, max_files_per_trigger=1,
+                            latestFirst="true", fileNameOnly="true", maxFileAge="7d")
+    assert s.isStreaming
+    out = run.run_to_table(spark, s, "append", "opts-out")
+    assert out.count() == 7
