@@ -60,22 +60,17 @@ def src_csv_headerless(spark, d):
 
 @query("src_csv_dropmalformed", sql="SELECT * FROM orders")
 def src_csv_dropmalformed(spark, d):
+    """One directory of CSV parts, some with malformed lines (a non-numeric price, a line
+    with missing fields), read with a schema in DROPMALFORMED mode."""
     o = Tables(spark, d).orders
     path = scratch_path(spark, "csv-malformed")
-    files.write_csv(o, path + "/good")
-    # malformed copies of the pending orders: a non-numeric price and a missing field
+    files.write_csv(o, path, header=False)
     bad = o.where("o_orderstatus = 'P'").select(
         F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", F.lit("n/a"),
                     F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "o_orderpriority").alias("line"))
     short = o.where("o_orderstatus = 'P'").select(F.concat_ws(",", "o_orderkey", "o_custkey").alias("line"))
-    files.write_text(bad.unionByName(short), "line", path + "/bad")
-    return _read_dropmalformed(spark, path)
-
-
-def _read_dropmalformed(spark, path):
-    good = files.read_csv(spark, path + "/good", header=True, schema=ORDERS_SCHEMA, mode="DROPMALFORMED")
-    bad = files.read_csv(spark, path + "/bad", header=False, schema=ORDERS_SCHEMA, mode="DROPMALFORMED")
-    return good.unionByName(bad)
+    bad.unionByName(short).write.mode("append").text(path)
+    return files.read_csv(spark, path, header=False, schema=ORDERS_SCHEMA, mode="DROPMALFORMED")
 
 
 @query("src_csv_date", sql="SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders")
