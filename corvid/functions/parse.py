@@ -13,8 +13,8 @@ def _c(c) -> Column:
 def parse_pair(line, sep: str = ",") -> Column:
     """``"key,1.5"`` -> struct(key string, value double); bad numbers become NULL."""
     parts = F.split(_c(line), sep, 2)
-    return F.struct(parts.getItem(0).alias("key"),
-                    parts.getItem(1).try_cast("double").alias("value"))
+    # get() returns NULL past the end of the array (getItem raises under ANSI mode)
+    return F.struct(F.get(parts, 0).alias("key"), F.get(parts, 1).try_cast("double").alias("value"))
 
 
 def to_ts(text, fmt: str | None = None) -> Column:

@@ -79,6 +79,6 @@ def clean_sales(raw: DataFrame) -> DataFrame:
         to_ts_two_digit_year("OrderDate", "MM/dd/yy HH:mm").alias("OrderDate"), "PurchaseAddress")
     clean = drop_null_rows(typed, "any")
     parts = F.split("PurchaseAddress", ", ")
-    return (clean.withColumn("City", F.trim(parts.getItem(1)))
-            .withColumn("State", F.split(F.trim(parts.getItem(2)), " ").getItem(0))
+    return (clean.withColumn("City", F.trim(F.get(parts, 1)))
+            .withColumn("State", F.get(F.split(F.trim(F.get(parts, 2)), " "), 0))
             .withColumn("Month", F.month("OrderDate")).withColumn("Year", F.year("OrderDate")))

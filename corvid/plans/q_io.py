@@ -176,7 +176,7 @@ def sink_text(spark, d):
     path = files.write_text(lines, "line", scratch_path(spark, "sink-text"), compression="gzip")
     back = files.read_lines(spark, path)
     parts = F.split("value", "\t")
-    return back.select(parts.getItem(0).alias("word"), parts.getItem(1).cast("bigint").alias("n"))
+    return back.select(F.get(parts, 0).alias("word"), F.get(parts, 1).try_cast("bigint").alias("n"))
 
 
 @query("sink_binary", sql="SELECT l_orderkey AS k, l_partkey AS v FROM lineitem")

@@ -212,7 +212,8 @@ def fn_address(spark, d):
             .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select("c_custkey", F.concat_ws(", ", "c_name", "n_name", "r_name").alias("address")))
     parts = F.split("address", ", ")
-    return addr.select("c_custkey", F.element_at(parts, -2).alias("city"), F.element_at(parts, -1).alias("state"))
+    return addr.select("c_custkey", F.try_element_at(parts, F.lit(-2)).alias("city"),
+                       F.try_element_at(parts, F.lit(-1)).alias("state"))
 
 
 @query("fn_to_timestamp", sql="SELECT o_orderkey, date_trunc('minute', o_orderdate) AS ts FROM orders")
