@@ -53,9 +53,9 @@ def src_tsv(spark, d):
 def src_csv_headerless(spark, d):
     path = files.write_csv(Tables(spark, d).supplier, scratch_path(spark, "csv-noheader"), header=False)
     raw = files.read_csv(spark, path, header=False, names=["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    return raw.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name",
-                      F.col("s_nationkey").cast("int").alias("s_nationkey"),
-                      F.col("s_acctbal").cast("double").alias("s_acctbal"))
+    return raw.select(F.col("s_suppkey").try_cast("bigint").alias("s_suppkey"), "s_name",
+                      F.col("s_nationkey").try_cast("int").alias("s_nationkey"),
+                      F.col("s_acctbal").try_cast("double").alias("s_acctbal"))
 
 
 @query("src_csv_dropmalformed", sql="SELECT * FROM orders")
