@@ -86,13 +86,19 @@ def dtype_differences(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain-session", action="store_true",
+                    help="use a default SparkSession (no corvid settings), as an external driver would")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
 
     from corvid.plans.registry import all_oracles, all_queries
     from corvid.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if args.plain_session:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     queries, oracles = all_queries(), all_oracles()
     con = duck_connect(args.sf)
     names = args.names or list(queries)
