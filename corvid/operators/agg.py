@@ -8,6 +8,8 @@ The exception is collecting values into arrays, which cannot be combined map-sid
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +64,10 @@ def collect_bounded(df: DataFrame, keys: list[str], value: str | Column, max_ite
                 .agg(F.lit(0).cast("long").alias("chunk"), F.count("*").alias("n"),
                      F.sort_array(F.collect_list("_v")).alias(out)))
     chunks = F.ceil(F.col("_n") / F.lit(max_items)).cast("long")
-    tagged = (base.join(sizes, keys)
+    # null-safe: a NULL key is a group of its own, as in groupBy
+    sz = sizes.select(*[F.col(k).alias(f"_sk_{k}") for k in keys], "_n")
+    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys])
+    tagged = (base.join(sz, cond).drop(*[f"_sk_{k}" for k in keys])
               .withColumn("chunk", F.when(F.col("_n") <= max_items, F.lit(0))
                           .otherwise(F.pmod(F.xxhash64("_v"), chunks))))
     # Shuffle on (key, chunk) explicitly: the join above may leave the rows partitioned by
