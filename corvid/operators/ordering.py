@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def top_k(df: DataFrame, k: int, order: list[Column | str]) -> DataFrame:
