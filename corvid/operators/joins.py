@@ -114,8 +114,10 @@ def cogroup_stats(left: DataFrame, right: DataFrame, key: str, left_value: str,
     a = left.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("left_n"), F.sum(left_value).alias("left_sum"))
     b = right.groupBy(F.col(key if key in right.columns else right.columns[0]).alias("k")) \
         .agg(F.count("*").alias("right_n"), F.sum(right_value).alias("right_sum"))
-    return (a.join(b, "k", "full_outer")
-            .select("k", F.coalesce("left_n", F.lit(0)).alias("left_n"), "left_sum",
+    # one row per key and side, so no key is hot; NULL keys form one group as in cogroup
+    b = b.withColumnRenamed("k", "_k")
+    return (a.join(b, a["k"].eqNullSafe(b["_k"]), "full_outer")
+            .select(F.coalesce("k", "_k").alias("k"), F.coalesce("left_n", F.lit(0)).alias("left_n"), "left_sum",
                     F.coalesce("right_n", F.lit(0)).alias("right_n"), "right_sum"))
 
 

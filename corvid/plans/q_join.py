@@ -147,7 +147,7 @@ def kv_join3(spark, d):
     FROM (SELECT o_custkey AS k, count(*) AS left_n, sum(o_orderkey) AS left_sum FROM orders
           WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) a
     FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS right_n, sum(o_orderkey) AS right_sum FROM orders
-          WHERE o_orderpriority = '5-LOW' GROUP BY o_custkey) b ON a.k = b.k""")
+          WHERE o_orderpriority = '5-LOW' GROUP BY o_custkey) b ON a.k IS NOT DISTINCT FROM b.k""")
 def kv_cogroup(spark, d):
     o = Tables(spark, d).orders
     return joins.cogroup_stats(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderpriority = '5-LOW'"),

@@ -80,3 +80,11 @@ def test_outer_join_decomposition_equals_spark(spark, how):
     got = sorted(map(tuple, outer_join(a, b, "ka", "kb", how).select("ka", "a", "kb", "b").collect()), key=str)
     want = sorted(map(tuple, a.join(b, a.ka == b.kb, how).select("ka", "a", "kb", "b").collect()), key=str)
     assert got == want
+
+
+def test_cogroup_groups_null_keys_once(spark):
+    from corvid.operators.joins import cogroup_stats
+    a = spark.createDataFrame([(None, 1), (None, 2), (1, 5)], "k int, v int")
+    b = spark.createDataFrame([(None, 10), (2, 7)], "k int, v int")
+    out = {r.k: (r.left_n, r.left_sum, r.right_n, r.right_sum) for r in cogroup_stats(a, b, "k", "v", "v").collect()}
+    assert out == {None: (2, 3, 1, 10), 1: (1, 5, 0, None), 2: (0, None, 1, 7)}
