@@ -132,9 +132,9 @@ def flt_dropna(spark, d):
     return shape.drop_null_rows(j.select("c_custkey", "c_name", "o_orderkey"), "any")
 
 
-@query("kv_keyby", sql="SELECT substr(n_name, 1, 1) AS k, n_name AS v FROM nation")
+@query("kv_keyby", sql="SELECT substr(p_name, 1, 1) AS k, p_name AS v FROM part")
 def kv_keyby(spark, d):
-    return shape.key_by(Tables(spark, d).nation, F.substring("n_name", 1, 1), "n_name")
+    return shape.key_by(Tables(spark, d).part, F.substring("p_name", 1, 1), "p_name")
 
 
 @query("kv_lookup", sql="SELECT c_name AS v FROM customer WHERE c_mktsegment = 'MACHINERY'")
@@ -174,9 +174,9 @@ def fn_length(spark, d):
     return Tables(spark, d).documents.select("doc_id", F.length("text").alias("len"), "n_chars")
 
 
-@query("fn_chars", sql="SELECT n_nationkey, unnest(string_split(n_name, '')) AS ch FROM nation")
+@query("fn_chars", sql="SELECT p_partkey, unnest(string_split(p_name, '')) AS ch FROM part")
 def fn_chars(spark, d):
-    return Tables(spark, d).nation.select("n_nationkey", F.explode(text.characters("n_name")).alias("ch"))
+    return Tables(spark, d).part.select("p_partkey", F.explode(text.characters("p_name")).alias("ch"))
 
 
 @query("fn_strip_punct", sql=r"""
@@ -197,9 +197,9 @@ def fn_parse_pair(spark, d):
             .select("c_custkey", "p.key", "p.value"))
 
 
-@query("fn_format", sql="SELECT printf('Key: %d, Value: %s', n_nationkey, n_name) AS line FROM nation")
+@query("fn_format", sql="SELECT printf('Key: %d, Value: %s', c_custkey, c_name) AS line FROM customer")
 def fn_format(spark, d):
-    return Tables(spark, d).nation.select(F.format_string("Key: %d, Value: %s", "n_nationkey", "n_name").alias("line"))
+    return Tables(spark, d).customer.select(F.format_string("Key: %d, Value: %s", "c_custkey", "c_name").alias("line"))
 
 
 @query("fn_address", sql="""
@@ -277,10 +277,11 @@ def fn_from_json(spark, d):
 
 
 @query("fn_to_json", sql="""
-    SELECT n_nationkey, json_object('n_nationkey', n_nationkey, 'n_name', n_name, 'n_regionkey', n_regionkey)
-           AS js FROM nation""")
+    SELECT c_custkey, json_object('c_custkey', c_custkey, 'c_name', c_name, 'c_nationkey', c_nationkey,
+                                  'c_mktsegment', c_mktsegment) AS js FROM customer""")
 def fn_to_json(spark, d):
-    return Tables(spark, d).nation.select("n_nationkey", nested.json_of("n_nationkey", "n_name", "n_regionkey").alias("js"))
+    return Tables(spark, d).customer.select(
+        "c_custkey", nested.json_of("c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("js"))
 
 
 @query("fn_nested", sql="SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
