@@ -129,7 +129,8 @@ def _plan(rows: DataFrame, weights, max_repeat: int, block_words: int, shard_wor
               .where("_lo < _hi")
               .select("rank", "shard", "block", "row", (F.col("_lo") - F.col("start")).alias("first"),
                       (F.col("_hi") - F.col("_lo")).alias("length"))
-              .join(taken, ["rank", "shard", "block"]))
+              # the blocks grow with the input, but their size is estimated from the few cells
+              .join(taken.hint("merge"), ["rank", "shard", "block"]))
     return full, pieces.select("row", "block", "first", "length", "times")
 
 
