@@ -271,7 +271,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "node", F.col("root").alias("group"), "copies", F.col("one.id").alias("id"),
         F.col("one.text_hash").alias("text_hash")), "wanted")
     texts = base.withColumn("text_hash", F.xxhash64("text"))
-    held = (texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"]))
+    # the merge keeps the plan the same at every size
+    held = (texts.join(wanted.hint("merge"), texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"]))
             .select(wanted["node"], "group", "copies", "text").dropDuplicates(["node"]))
     verified = materialise(map_blocks(materialise(held, "held"), "group", "node", block_rows // 2,
                                       _verified(threshold), _COUNTS), "verified")
