@@ -8,11 +8,11 @@ The exception is collecting values into arrays, which cannot be combined map-sid
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvid.operators.windows import running
+
 
 def grouping_sets(df: DataFrame, sets: list[list[str]], aggs: list[Column],
                   gid: str | None = "gid") -> DataFrame:
@@ -43,39 +43,26 @@ def population_moments(x: str, prefix: str = "") -> list[Column]:
 
 
 def collect_bounded(df: DataFrame, keys: list[str], value: str | Column, max_items: int = 10000,
-                    distinct: bool = False, out: str = "values") -> DataFrame:
-    """Per key, the sorted values as arrays of at most about ``max_items`` elements.
-
-    Group sizes are counted first (partially aggregated, cheap). When the largest group fits
-    ``max_items`` the lists are collected with one shuffle on the key. Otherwise a group with
-    more than ``max_items`` values is split into ``ceil(n / max_items)`` chunks by a hash of
-    the value, so no task or row ever holds an unbounded list; small groups form one chunk
-    (chunk 0). Output: ``keys..., chunk, n, values``.
+                    distinct: bool = False, out: str = "values", sets: dict[str, str] | None = None,
+                    max_group_rows: int | None = None) -> DataFrame:
+    """Per key, the sorted values as arrays of at most ``max_items`` elements.
+
+    Chunk ``c`` of a key holds the values at positions ``c * max_items`` up to
+    ``(c + 1) * max_items`` of its sorted values (nulls first; they count in ``n`` but not in
+    the array), at every size of data. Positions come from the skew-safe running count, so no
+    task or row holds an unbounded list, also when a hot key has few distinct values.
+    ``sets`` maps an output name to a column whose distinct values are collected per chunk.
+    Output: ``keys..., chunk, n, values, sets...``.
     """
     v = F.col(value) if isinstance(value, str) else value
-    base = df.select(*keys, v.alias("_v"))
+    sets = sets or {}
+    base = df.select(*keys, v.alias("_v"), *[F.col(c).alias(f"_set_{n}") for n, c in sets.items()])
     if distinct:
         base = base.distinct()
-    sizes = base.groupBy(*keys).agg(F.count("*").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= max_items:
-        # every group fits one chunk: a single shuffle on the key, no size join
-        return (base.groupBy(*keys)
-                .agg(F.lit(0).cast("long").alias("chunk"), F.count("*").alias("n"),
-                     F.sort_array(F.collect_list("_v")).alias(out)))
-    chunks = F.ceil(F.col("_n") / F.lit(max_items)).cast("long")
-    # null-safe: a NULL key is a group of its own, as in groupBy
-    sz = sizes.select(*[F.col(k).alias(f"_sk_{k}") for k in keys], "_n")
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys])
-    tagged = (base.join(sz, cond).drop(*[f"_sk_{k}" for k in keys])
-              .withColumn("chunk", F.when(F.col("_n") <= max_items, F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64("_v"), chunks))))
-    # Shuffle on (key, chunk) explicitly: the join above may leave the rows partitioned by
-    # the key alone, which would satisfy the grouping and keep every chunk of a hot key in
-    # one task.
-    return (tagged.repartition(*keys, "chunk").groupBy(*keys, "chunk")
-            .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias(out)))
-
-
-def count_if(cond: Column, name: str) -> Column:
-    return F.count_if(cond).alias(name)
+    order = ["_v"] + [f"_set_{n}" for n in sets]
+    placed = running(base.withColumn("_one", F.lit(1)), keys, order, {"_pos": ("count", "_one")},
+                     max_group_rows=max_group_rows)
+    chunk = F.floor((F.col("_pos") - 1) / F.lit(max_items)).cast("long")
+    return (placed.withColumn("chunk", chunk).groupBy(*keys, "chunk")
+            .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias(out),
+                 *[F.sort_array(F.collect_set(f"_set_{n}")).alias(n) for n in sets]))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvid.operators.windows import dense_index, running
+from corvid.session import materialise
+
 
 def at_least(df: DataFrame, n: int) -> DataFrame:
-    """Ensure at least ``n`` partitions (e.g. several output files) without reshuffling data
-    that is already spread wider; the partition count is metadata, no job runs."""
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    """Spread ``df`` over ``n`` partitions or the cluster's cores, whichever is more. Declared
+    in the plan: asking a frame for its partition count would run its shuffles first."""
+    return df.repartition(max(n, cluster_parallelism(df)))
 
 
 def cluster_parallelism(df: DataFrame) -> int:
@@ -23,15 +27,13 @@ def cluster_parallelism(df: DataFrame) -> int:
 
 def spread_small_input(df: DataFrame, n: int | None = None) -> DataFrame:
     """Spread rows over the cluster's cores before CPU-heavy per-row work (tokenising,
-    regular expressions) when the input comes from fewer files than there are cores — a
-    small table or a few unsplittable files would otherwise be processed by one task until
-    the first shuffle. Inputs made of many files are returned unchanged (no shuffle)."""
+    regular expressions) when the plan's size estimate makes fewer splits than there are
+    cores — a small table would otherwise be processed by one task until the first shuffle.
+    Larger inputs are returned unchanged (no shuffle)."""
     n = n or cluster_parallelism(df)
-    try:
-        files = len(df.inputFiles())
-    except Exception:  # not a file-based plan
-        return df
-    return df.repartition(n) if 0 < files < n else df
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(n) if size < n * split else df
 
 
 def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
@@ -42,13 +44,13 @@ def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
 
 def hash_split(df: DataFrame, key: str, weights: list[float]) -> list[DataFrame]:
     """Deterministic split by key hash into parts proportional to ``weights``."""
-    total = sum(weights)
+    total, steps = sum(weights), 1 << 32  # all values of the hash
     bounds, acc = [], 0.0
     for w in weights:
-        lo = round(acc / total * 100)
+        lo = round(acc / total * steps)
         acc += w
-        bounds.append((lo, round(acc / total * 100)))
-    b = hash_bucket(key)
+        bounds.append((lo, round(acc / total * steps)))
+    b = hash_bucket(key, steps)
     return [df.where((b >= lo) & (b < hi)) for lo, hi in bounds]
 
 
@@ -76,38 +78,46 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
 
 
 def sample_n_with_replacement(df: DataFrame, n: int, total: int, seed: int = 42) -> DataFrame:
-    """About ``n`` draws with replacement (``takeSample(True, n)``).
+    """Exactly ``n`` draws with replacement (``takeSample(True, n)``), whatever ``n`` is; none
+    from an empty frame.
 
-    Each row is repeated Poisson(n / total) times (Spark's ``sample(True, f)``), which
-    keeps the draw distributed; the exact count is then cut by a random order and
-    ``limit(n)`` (TakeOrderedAndProject: per-task top-n heaps, no global sort).
+    The draws are uniform row positions, counted per position and joined to the frame's dense
+    index, so a row comes back as often as it was drawn.
     """
-    frac = min(1.0, n / max(total, 1)) * 1.2 + 10.0 / max(total, 1)
-    drawn = df.sample(withReplacement=True, fraction=frac, seed=seed)
-    return drawn.orderBy(F.rand(seed)).limit(n)
+    if not total:
+        return df.limit(0)
+    draws = df.sparkSession.range(n).select(F.floor(F.rand(seed) * F.lit(total)).cast("long").alias("_at"))
+    draws = materialise(draws.groupBy("_at").agg(F.count("*").cast("int").alias("_times")), "draws")
+    placed = dense_index(df, df.columns, name="_at", start=0)
+    return (placed.join(draws, "_at").withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+            .select(*df.columns))
+
+
+def _poisson_steps(fraction: float) -> list[float]:
+    """Distribution function of a Poisson variable at 0, 1, ... until it reaches 1 in doubles."""
+    steps, term, i = [], math.exp(-fraction), 0
+    total = term
+    while total < 1.0 and (i < fraction or term > 1e-18):
+        steps.append(total)
+        i += 1
+        term *= fraction / i
+        total += term
+    return steps
 
 
 def sample_by_key(df: DataFrame, key: str, fractions: dict, seed: int = 6, with_replacement: bool = False) -> DataFrame:
     """Stratified sample (``sampleByKey``). With replacement every row of stratum ``k`` is
-    repeated a Poisson(fraction_k) number of times, drawn from a seeded uniform per row."""
+    repeated a Poisson(fraction_k) number of times: one seeded uniform per row, stored in a
+    column of its own, is looked up in the stratum's distribution function. Fractions up to
+    about 700 are exact to doubles."""
     if not with_replacement:
         return df.sampleBy(key, fractions, seed)
-    frac = F.coalesce(F.create_map(*[x for k, v in fractions.items() for x in (F.lit(k), F.lit(float(v)))])[F.col(key)],
-                      F.lit(0.0))
-    u = F.rand(seed)
-    # inverse-CDF Poisson draw, unrolled over the first terms (fractions are <= 1 in practice)
-    p0 = F.exp(-frac)
-    cdf, term, count = p0, p0, F.lit(0)
-    cases = []
-    for i in range(1, 12):
-        cases.append((u >= cdf, i))
-        term = term * frac / i
-        cdf = cdf + term
-    for cond, i in cases:
-        count = F.when(cond, F.lit(i)).otherwise(count)
-    reps = df.withColumn("_reps", count)
-    return reps.where(F.col("_reps") > 0).withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_reps")))) \
-        .drop("_reps", "_r")
+    steps = F.create_map(*[x for k, f in fractions.items() for x in
+                           (F.lit(k), F.array(*[F.lit(c) for c in _poisson_steps(float(f))]).cast("array<double>"))])
+    drawn = df.withColumn("_u", F.rand(seed)).withColumn("_steps", steps[F.col(key)])
+    drawn = drawn.withColumn("_reps", F.size(F.filter("_steps", lambda c: F.col("_u") >= c)))
+    return (drawn.where("_reps > 0").withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
+            .select(*df.columns))
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
@@ -132,7 +142,6 @@ def positions_within_buckets(df: DataFrame, bucket: Column, order: list[str], bu
     """Bucket of every row and its 1-based position in the bucket's sort order — the logical
     result of ``repartitionAndSortWithinPartitions`` — as a running count per bucket, which
     spreads a bucket holding half of all rows over many tasks."""
-    from corvid.operators.windows import running
     tagged = df.withColumn(bucket_name, bucket).withColumn("_one", F.lit(1))
     return running(tagged, [bucket_name], order, {pos: ("count", "_one")}).drop("_one")
 

@@ -5,7 +5,8 @@ A plain ``Window.partitionBy(k).orderBy(o)`` sends every row of a key to one tas
 running aggregates here use a two-level scan instead:
 
 1. ``repartitionByRange(keys, order)`` cuts the data into contiguous, sampled slices of
-   similar size, so a hot key is spread over many partitions;
+   similar size, so a hot key is spread over many partitions; the rows are stored with their
+   slice number, because a second evaluation would sample other bounds;
 2. every slice computes its local running values (window over ``(keys, slice)``);
 3. only keys crossing a slice boundary need a carry from earlier slices. There are fewer
    such (key, slice) pairs than slices, so the carry table is bounded by the partition
@@ -29,6 +30,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from corvid.session import materialise
 
 _PID = "_slice"
 _ALL = "_all"
@@ -92,12 +96,14 @@ def dense_index(df: DataFrame, order, name: str = "row_idx", start: int = 0) ->
     """Consecutive 0/1-based positions along ``order`` (``zipWithIndex``), distributed.
 
     One range shuffle; ``monotonically_increasing_id`` inside each sorted slice gives the
-    local position; per-slice counts (one row per slice) become prefix offsets.
+    local position; per-slice counts (one row per slice) become prefix offsets. The slices are
+    stored once: evaluated per branch, the sampled range bounds would differ between branches.
     """
     cols = order_cols(order)
     ranged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialise(ranged, "index-slices")
     local = F.col("_mid") - F.shiftleft(F.col(_PID).cast("long"), 33)
     counts = ranged.groupBy(_PID).agg(F.count("*").alias("_n"))
     offsets = counts.select(
@@ -132,6 +138,7 @@ def running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple
     ocols = order_cols(order)
     ranged = (base.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *ocols)
               .withColumn(_PID, F.spark_partition_id()))
+    ranged = materialise(ranged, "scan-slices")
 
     # 1. local running values inside each (key, slice)
     w_local = (Window.partitionBy(*keys, _PID).orderBy(*ocols)
@@ -261,8 +268,14 @@ def top_one_per_group(df: DataFrame, group_by: list[str], order_col: str, tiebre
     """Row with the greatest ``order_col`` per group (smallest ``tiebreak`` among ties).
 
     ``max_by`` is an ordinary aggregate: partial aggregation keeps one candidate per group
-    and task, so no group is ever sorted or gathered whole.
+    and task, so no group is ever sorted or gathered whole. A tiebreak that can't be negated
+    (strings, dates) is settled by a first aggregate per (group, order value).
     """
-    rank_key = F.struct(F.col(order_col), (-F.col(tiebreak)).alias("_tb"))
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), rank_key).alias("_best")
-    return df.groupBy(*group_by).agg(best).select(*group_by, *[F.col("_best")[c].alias(c) for c in cols])
+    row = F.struct(*[F.col(c) for c in cols])
+    if isinstance(df.schema[tiebreak].dataType, NumericType):
+        best = F.max_by(row, F.struct(F.col(order_col), (-F.col(tiebreak)).alias("_tb"))).alias("_best")
+        top = df.groupBy(*group_by).agg(best)
+    else:
+        first = df.groupBy(*group_by, F.col(order_col).alias("_o")).agg(F.min_by(row, tiebreak).alias("_first"))
+        top = first.groupBy(*group_by).agg(F.max_by("_first", "_o").alias("_best"))
+    return top.select(*group_by, *[F.col("_best")[c].alias(c) for c in cols])

@@ -159,19 +159,18 @@ def agg_group_avg(spark, d):
 
 
 @query("agg_collect", sql="""
-    SELECT l_orderkey, CAST(0 AS BIGINT) AS chunk, count(*) AS n,
-           string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS line_list,
-           (SELECT string_agg(f, ',' ORDER BY f) FROM (SELECT DISTINCT unnest(list(l_returnflag)) AS f)) AS flag_set
-    FROM lineitem GROUP BY l_orderkey""")
+    SELECT l_orderkey, chunk, count(*) AS n,
+           coalesce(string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber), '') AS line_list,
+           coalesce(string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag), '') AS flag_set
+    FROM (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber NULLS FIRST,
+                                        l_returnflag NULLS FIRST) - 1) // 10000 AS chunk FROM lineitem)
+    GROUP BY l_orderkey, chunk""")
 def agg_collect(spark, d):
     li = Tables(spark, d).lineitem
-    lists = agg.collect_bounded(li, ["l_orderkey"], "l_linenumber", out="lines")
-    sets = (agg.collect_bounded(li, ["l_orderkey"], "l_returnflag", distinct=True, out="flags")
-            .groupBy("l_orderkey").agg(F.concat_ws(",", F.sort_array(F.flatten(F.collect_list("flags"))))
-                                       .alias("flag_set")))
-    return (lists.join(sets, "l_orderkey")
-            .select("l_orderkey", "chunk", "n", F.concat_ws(",", F.col("lines").cast("array<string>")).alias("line_list"),
-                    "flag_set"))
+    lists = agg.collect_bounded(li, ["l_orderkey"], "l_linenumber", out="lines", sets={"flags": "l_returnflag"})
+    return lists.select("l_orderkey", "chunk", "n",
+                        F.concat_ws(",", F.col("lines").cast("array<string>")).alias("line_list"),
+                        F.concat_ws(",", "flags").alias("flag_set"))
 
 
 @query("agg_grouping_sets", sql="""

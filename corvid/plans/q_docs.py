@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import agg, docs
 from corvid.plans.registry import query
-from corvid.sources.documents import nested_orders
+from corvid.sources.documents import nested_orders, order_headers
 from corvid.sources.tables import Tables
 
 
@@ -14,10 +14,14 @@ def _docs(spark, d):
     return nested_orders(t.orders, t.lineitem)
 
 
+def _headers(spark, d):
+    return order_headers(Tables(spark, d).orders)
+
+
 @query("doc_find_one", sql="""
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderkey LIMIT 1""")
 def doc_find_one(spark, d):
-    return docs.find_one(_docs(spark, d), F.col("o_orderstatus") == "P", ["o_orderkey"]) \
+    return docs.find_one(_headers(spark, d), F.col("o_orderstatus") == "P", ["o_orderkey"]) \
         .select("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -27,7 +31,7 @@ def doc_find_one(spark, d):
     ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10""")
 def doc_recent(spark, d):
     pred = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
-    res = docs.find(_docs(spark, d), pred, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 10,
+    res = docs.find(_headers(spark, d), pred, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 10,
                     hidden=["o_orderkey"])
     return res.select("o_custkey", "o_totalprice", "o_orderdate")
 
@@ -35,7 +39,7 @@ def doc_recent(spark, d):
 @query("doc_group_count", sql="""
     SELECT o_totalprice > 250000 AS key, count(*) AS n FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1""")
 def doc_group_count(spark, d):
-    return docs.count_by(_docs(spark, d), F.col("o_totalprice") > 250000)
+    return docs.count_by(_headers(spark, d), F.col("o_totalprice") > 250000)
 
 
 @query("doc_unwind_sum", sql="""
@@ -49,7 +53,7 @@ def doc_unwind_sum(spark, d):
 
 @query("doc_limit", sql="SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20")
 def doc_limit(spark, d):
-    return _docs(spark, d).select("o_orderkey", "o_orderstatus").orderBy("o_orderkey").limit(20)
+    return _headers(spark, d).select("o_orderkey", "o_orderstatus").orderBy("o_orderkey").limit(20)
 
 
 @query("doc_stations", sql="""

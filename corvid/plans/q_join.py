@@ -136,9 +136,8 @@ def kv_join3(spark, d):
     t = Tables(spark, d)
     names = t.customer.select(F.col("c_custkey").alias("k"), "c_name", "c_nationkey")
     counts = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n_orders"))
-    nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("k"), "n_name")
-    return names.join(counts, "k").join(nations, "k").select("k", "c_name", "n_orders", "n_name")
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return names.join(counts, "k").join(nations, "c_nationkey").select("k", "c_name", "n_orders", "n_name")
 
 
 @query("kv_cogroup", sql="""

@@ -34,9 +34,10 @@ def kv_reduce_by_key(spark, d):
 
 
 @query("kv_group_by_key", sql="""
-    SELECT l_orderkey AS k, CAST(0 AS BIGINT) AS chunk, count(*) AS n,
+    SELECT l_orderkey AS k, chunk, count(*) AS n,
            string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
-    FROM lineitem GROUP BY l_orderkey""")
+    FROM (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey NULLS FIRST) - 1) // 10000 AS chunk
+          FROM lineitem) GROUP BY l_orderkey, chunk""")
 def kv_group_by_key(spark, d):
     pairs = Tables(spark, d).lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("v"))
     g = agg.collect_bounded(pairs, ["k"], "v", out="vs")
@@ -67,14 +68,13 @@ def kv_aggregate_by_key(spark, d):
 
 
 @query("kv_combine", sql="""
-    SELECT l_partkey AS k, CAST(0 AS BIGINT) AS chunk, count(*) AS n, sum(l_quantity) AS total_qty,
+    SELECT l_partkey AS k, chunk, count(*) AS n, sum(l_quantity) AS total_qty,
            string_agg(CAST(l_quantity AS VARCHAR), ',' ORDER BY l_quantity) AS qtys
-    FROM lineitem GROUP BY l_partkey""")
+    FROM (SELECT *, (row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity NULLS FIRST) - 1) // 10000 AS chunk
+          FROM lineitem) GROUP BY l_partkey, chunk""")
 def kv_combine(spark, d):
     pairs = Tables(spark, d).lineitem.select(F.col("l_partkey").alias("k"), F.col("l_quantity").cast("int").alias("v"))
-    # combineByKey's output partitioning by key (the survey's example names 3 partitions;
-    # the session's shuffle partition count scales with the cluster)
-    g = agg.collect_bounded(pairs, ["k"], "v", out="vs").repartition("k")
+    g = agg.collect_bounded(pairs, ["k"], "v", out="vs")
     return g.select("k", "chunk", "n", F.aggregate("vs", F.lit(0).cast("bigint"), lambda a, x: a + x)
                     .cast("double").alias("total_qty"),
                     F.concat_ws(",", F.transform("vs", lambda x: F.format_string("%d.0", x))).alias("qtys"))

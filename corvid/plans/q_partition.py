@@ -7,11 +7,11 @@ from corvid.plans.registry import query
 from corvid.session import ensure_checkpoint_dir
 from corvid.sources.tables import Tables
 
-_HASH = "(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100)"
+_HASH = "('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT"
 
 
 @query("par_hash_split", sql=f"""
-    SELECT o_orderkey, CASE WHEN {_HASH} < 40 THEN 0 ELSE 1 END AS part FROM orders""")
+    SELECT o_orderkey, CASE WHEN {_HASH} < 1717986918 THEN 0 ELSE 1 END AS part FROM orders""")
 def par_hash_split(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey")
     a, b = par.hash_split(o, "o_orderkey", [0.4, 0.6])

@@ -17,10 +17,8 @@ from corvid.streaming import run, sinks, sources
 from corvid.streaming import transforms as st
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-INVOICE_SCHEMA = ("invoice_no BIGINT, created_time BIGINT, customer_card_no BIGINT, total_amount DOUBLE, "
-                  "number_of_items INT, delivery_address STRUCT<city: STRING, state: STRING>, "
-                  "line_items ARRAY<STRUCT<item_code: BIGINT, item_price: DOUBLE, item_qty: DOUBLE, "
-                  "total_value: DOUBLE>>")
+ORDER_SCHEMA = ("o_orderkey BIGINT, block BIGINT, o_custkey BIGINT, nation STRING, o_totalprice DOUBLE, "
+                "lines ARRAY<STRUCT<l_partkey: BIGINT, l_quantity: DOUBLE, l_extendedprice: DOUBLE, charged: DOUBLE>>")
 WM = "(SELECT max(ts) FROM events)"
 
 
@@ -213,24 +211,16 @@ def str_join_windows(spark, d):
     return out.select("window_start", "window_end", "clicks", F.round("purchases", 2).alias("purchases"))
 
 
-def _invoice_records(spark, d, name):
+def _order_records(spark, d, name):
     t = Tables(spark, d)
     docs = nested_orders(t.orders, t.lineitem).join(
         t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    inv = F.struct(
-        F.col("o_orderkey").alias("invoice_no"),
-        (F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1000).cast("bigint").alias("created_time"),
-        F.col("o_custkey").alias("customer_card_no"), F.col("o_totalprice").alias("total_amount"),
-        F.size("items").alias("number_of_items"),
-        F.struct(F.col("n_name").alias("city"), F.lit("-").alias("state")).alias("delivery_address"),
-        F.transform("items", lambda i: F.struct(i["l_partkey"].alias("item_code"),
-                                                i["l_extendedprice"].alias("item_price"),
-                                                i["l_quantity"].alias("item_qty"),
-                                                (i["l_extendedprice"] * (1 - i["l_discount"])).alias("total_value")))
-        .alias("line_items"))
+        t.nation.select("n_nationkey", F.col("n_name").alias("nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    lines = F.transform("items", lambda i: F.struct(i["l_partkey"], i["l_quantity"], i["l_extendedprice"],
+                                                    (i["l_extendedprice"] * (1 - i["l_discount"])).alias("charged")))
+    order = F.struct("o_orderkey", "block", "o_custkey", "nation", "o_totalprice", lines.alias("lines"))
     records = docs.select(F.col("o_orderkey").cast("string").cast("binary").alias("key"),
-                          F.to_json(inv).cast("binary").alias("value"),
+                          F.to_json(order).cast("binary").alias("value"),
                           F.col("o_orderdate").cast("timestamp").alias("timestamp"))
     path = sources.replay_files(records, scratch_path(spark, name), "timestamp", 3)
     return sources.file_stream(spark, path, "parquet", "key BINARY, value BINARY, timestamp TIMESTAMP",
@@ -238,23 +228,22 @@ def _invoice_records(spark, d, name):
 
 
 @query("str_invoices", sql="""
-    SELECT o.o_orderkey AS invoice_no, o.o_custkey AS customer_card_no, n.n_name AS city,
-           l.l_partkey AS item_code, l.l_extendedprice AS item_price, l.l_quantity AS item_qty,
-           l.l_extendedprice * (1 - l.l_discount) AS total_value
+    SELECT o.o_orderkey, o.o_custkey, n.n_name AS nation, l.l_partkey, l.l_quantity, l.l_extendedprice,
+           l.l_extendedprice * (1 - l.l_discount) AS charged
     FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
     LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def str_invoices(spark, d):
-    items = st.invoice_items(_invoice_records(spark, d, "str-inv"), INVOICE_SCHEMA)
+    items = st.order_lines(_order_records(spark, d, "str-inv"), ORDER_SCHEMA)
     return run.run_to_table(spark, items, "append", "str-inv-out")
 
 
 @query("str_loyalty", sql="""
-    SELECT CAST(o_custkey AS VARCHAR) AS key, o_custkey AS customer_card_no, o_totalprice AS total_amount,
-           o_totalprice * 0.2 AS earned_loyalty_points FROM orders""")
+    SELECT CAST(o_orderkey AS VARCHAR) AS key, o_custkey AS customer, o_totalprice AS spent,
+           o_totalprice * 0.2 AS points FROM orders""")
 def str_loyalty(spark, d):
-    rec = st.loyalty_records(_invoice_records(spark, d, "str-loyalty"), INVOICE_SCHEMA)
+    rec = st.reward_records(_order_records(spark, d, "str-loyalty"), ORDER_SCHEMA)
     out = run.run_to_table(spark, rec, "append", "str-loyalty-out")
-    v = F.from_json("value", "customer_card_no BIGINT, total_amount DOUBLE, earned_loyalty_points DOUBLE")
+    v = F.from_json("value", "customer BIGINT, spent DOUBLE, points DOUBLE")
     return out.select("key", v.alias("v")).select("key", "v.*")
 
 
@@ -302,8 +291,9 @@ def str_restart(spark, d):
     e = Tables(spark, d).events
     base = scratch_path(spark, "str-restart")
     lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
-    mid = lo + (hi - lo) / 2
-    e.where(F.col("ts") < F.lit(mid)).write.parquet(f"{base}/in/b000")
+    # events without a time are in the first half, as all are when no event has one
+    late = F.lit(False) if lo is None else F.coalesce(F.col("ts") >= F.lit(lo + (hi - lo) / 2), F.lit(False))
+    e.where(~late).write.parquet(f"{base}/in/b000")
     ckpt, out = f"{base}/_checkpoint", f"{base}/out"
 
     def once():
@@ -311,7 +301,7 @@ def str_restart(spark, d):
         run.await_done(run.start(s.select("event_id", "event_type"), "append", ckpt, fmt="parquet", path=out))
 
     once()
-    e.where(F.col("ts") >= F.lit(mid)).write.parquet(f"{base}/in/b001")
+    e.where(late).write.parquet(f"{base}/in/b001")
     once()
     return spark.read.parquet(out)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings this library is designed around. AQE re-plans joins, coalesces small shuffle
 # partitions and splits skewed sort-merge join partitions at run time.
@@ -51,7 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_rdd_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master
+        if not re.match(r"local(\[[^,]*\])?$", master):
+            raise ValueError(f"spark.checkpoint.dir is unset: on {master} it must name storage that all executors share")
         configured = tempfile.mkdtemp(prefix="corvid-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
@@ -77,10 +83,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/corvid-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-filesystem helpers used by tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared scratch storage and read it back: all branches of a later
+    plan see the same rows, partition numbers and positions included."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

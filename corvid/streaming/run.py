@@ -59,11 +59,12 @@ def _start(df, mode, checkpoint, fmt, path, foreach_batch, name, trigger, partit
     return w.trigger(**(trigger or trigger_kwargs())).start()
 
 
-def await_done(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an available-now query; stop it on timeout and surface its error."""
+def await_done(q: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an available-now query, without a limit unless one is given; stop it on
+    timeout and surface its error."""
     try:
-        finished = q.awaitTermination(timeout_s)
-        if not finished:
+        finished = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+        if timeout_s is not None and not finished:
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
     finally:
         if q.isActive:
@@ -73,7 +74,7 @@ def await_done(q: StreamingQuery, timeout_s: int = 600) -> None:
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, mode: str = "append", name: str = "stream",
-                 fmt: str = "parquet", partition_by: list[str] | None = None, timeout_s: int = 600,
+                 fmt: str = "parquet", partition_by: list[str] | None = None, timeout_s: int | None = None,
                  checkpoint: str | None = None, path: str | None = None) -> DataFrame:
     """Run ``df`` to completion with an available-now trigger and return the sink as a batch
     DataFrame. Append mode writes files directly; complete mode replaces the table each

@@ -8,10 +8,11 @@ same columns is a drop-in for tests.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from corvid.session import materialise
 from pyspark.sql.types import StructType
 
 FILE_OPTIONS = ("maxFilesPerTrigger", "latestFirst", "fileNameOnly", "maxFileAge", "cleanSource",
@@ -73,16 +74,21 @@ def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str
     """Write a batch table as ``n_files`` time-ordered slices, one write job per slice, so
     file modification times follow event time and a file source with
     ``maxFilesPerTrigger`` replays them in order. ``extra`` frames are appended afterwards
-    as further slices (late data). Returns a glob path over the slices."""
-    bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) / n_files if hi > lo else dt.timedelta(seconds=1)
+    as further slices (late data). Rows without a time go with the first slice; a frame with
+    one time or none, or without rows, is all in the first. Returns a glob path over the slices."""
+    df = materialise(df, "replay")  # built once, then sliced
+    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
+    span = 0 if lo is None or hi == lo else hi - lo
+    at = F.col(time_col)
     for i in range(n_files):
-        start = lo + step * i
-        cond = F.col(time_col) >= F.lit(start)
-        if i < n_files - 1:
-            cond = cond & (F.col(time_col) < F.lit(lo + step * (i + 1)))
-        df.where(cond).write.mode("overwrite").format(fmt).save(f"{path}/b{i:03d}")
+        keep = F.lit(bool(span) or i == 0)
+        if span and i:
+            keep = keep & (at >= F.lit(lo + span * i / n_files))
+        if span and i < n_files - 1:
+            keep = keep & (at < F.lit(lo + span * (i + 1) / n_files))
+        if i == 0:
+            keep = keep | at.isNull()
+        df.where(keep).write.mode("overwrite").format(fmt).save(f"{path}/b{i:03d}")
     for j, late in enumerate(extra or []):
         late.write.mode("overwrite").format(fmt).save(f"{path}/b{n_files + j:03d}")
     return f"{path}/b*"

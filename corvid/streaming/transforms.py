@@ -82,21 +82,22 @@ def join_on_window(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, "window", "inner")
 
 
-def invoice_items(records: DataFrame, schema: str, value_col: str = "value") -> DataFrame:
-    """Invoice ETL: JSON in the record value -> one row per line item with header fields."""
-    parsed = records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("inv"))
-    return (parsed.select("inv.invoice_no", "inv.customer_card_no", "inv.delivery_address.city",
-                          F.explode("inv.line_items").alias("item"))
-            .select("invoice_no", "customer_card_no", "city", "item.*"))
+def order_lines(records: DataFrame, schema: str, value_col: str = "value") -> DataFrame:
+    """Order records (JSON) to one row per line, with the order's own fields."""
+    order = F.from_json(F.col(value_col).cast("string"), schema)
+    lines = records.withColumn("r", order).select("r.o_orderkey", "r.o_custkey", "r.nation", F.explode("r.lines").alias("l"))
+    return lines.select("o_orderkey", "o_custkey", "nation", "l.*")
 
 
-def loyalty_records(records: DataFrame, schema: str, rate: float = 0.2, value_col: str = "value") -> DataFrame:
-    """Loyalty notification: key = card number, value = JSON with points = rate x total."""
-    inv = records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("inv")).select("inv.*")
-    return inv.selectExpr(
-        "CAST(customer_card_no AS STRING) AS key",
-        f"to_json(named_struct('customer_card_no', customer_card_no, 'total_amount', total_amount, "
-        f"'earned_loyalty_points', total_amount * {rate})) AS value")
+def reward_records(records: DataFrame, schema: str, rate: float = 0.2, value_col: str = "value") -> DataFrame:
+    """Reward notices for a record sink: one per order, keyed by it; the value is a JSON
+    struct of the customer, the order's total and the points earned on it. Blocks that
+    continue an order give none."""
+    order = F.from_json(F.col(value_col).cast("string"), schema)
+    first = records.withColumn("r", order).where("r.block = 0")
+    notice = F.struct(F.col("r.o_custkey").alias("customer"), F.col("r.o_totalprice").alias("spent"),
+                      (F.col("r.o_totalprice") * F.lit(rate)).alias("points"))
+    return first.select(F.col("r.o_orderkey").cast("string").alias("key"), F.to_json(notice).alias("value"))
 
 
 def running_counts_with_state(df: DataFrame, key: str) -> DataFrame:
@@ -108,8 +109,9 @@ def running_counts_with_state(df: DataFrame, key: str) -> DataFrame:
             n += len(b)
         state.update((n,))
         yield pd.DataFrame({key: [keys[0]], "n": [n]})
+    kind = df.schema[key].dataType.simpleString()
     return df.select(key).groupBy(key).applyInPandasWithState(
-        count, f"{key} long, n long", "n long", "update", GroupStateTimeout.NoTimeout)
+        count, f"{key} {kind}, n long", "n long", "update", GroupStateTimeout.NoTimeout)
 
 
 def enrich_static(stream: DataFrame, static: DataFrame, on: Column, how: str = "inner") -> DataFrame:

@@ -16,16 +16,17 @@ def test_collect_bounded_splits_hot_groups(spark):
         chunks[r.k].append(r)
     assert len(chunks["cold"]) == 1 and chunks["cold"][0].chunk == 0
     assert len(chunks["hot"]) == 5
-    assert max(len(r["values"]) for r in chunks["hot"]) < 800
+    assert max(len(r["values"]) for r in chunks["hot"]) == 500
     assert sorted(v for r in chunks["hot"] for v in r["values"]) == list(range(2500))
-    # the hot key's chunks are collected by several tasks, not one (AQE would merge the tiny
-    # partitions of this fixture, so coalescing is off for the check)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        tasks = out.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert tasks > 1
+
+
+def test_collect_bounded_with_few_distinct_values_and_null_keys(spark):
+    rows = [("hot", i % 3) for i in range(1000)] + [(None, 7)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    for limit in (None, 0):
+        out = agg.collect_bounded(df, ["k"], "v", max_items=100, sets={"s": "v"}, max_group_rows=limit).collect()
+        assert sorted(len(r["values"]) for r in out if r.k) == [100] * 10
+        assert [(r["values"], r.s) for r in out if r.k is None] == [([7], [7])]
 
 
 def test_collect_bounded_distinct(spark):

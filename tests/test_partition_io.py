@@ -73,3 +73,28 @@ def test_pandas_export_guard_and_foreach_partition(spark):
         acc.add(sum(1 for _ in rows))
     files.for_each_partition(df.repartition(3), count_rows)
     assert acc.value == 20
+
+
+def test_sampling_with_replacement_is_unbiased(spark):
+    """Stratum mean and variance of the repeats within 4 sigma of Poisson, also above 1."""
+    n = 200_000
+    df = spark.range(n).withColumn("k", F.lit("a"))
+    for fraction in (0.2, 1.0, 3.0):
+        drawn = par.sample_by_key(df, "k", {"a": fraction}, with_replacement=True).groupBy("id").count()
+        total, squares = drawn.agg(F.sum("count"), F.sum(F.col("count") * F.col("count"))).first()
+        assert abs(total - n * fraction) < 4 * (n * fraction) ** 0.5
+        variance = squares / n - (total / n) ** 2
+        assert abs(variance - fraction) < 4 * ((fraction + 2 * fraction ** 2) / n) ** 0.5
+
+
+def test_exactly_n_draws(spark):
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    for n in (1, 50, 500):
+        got = par.sample_n_with_replacement(df, n, 100)
+        assert got.columns == ["id", "x"] and got.count() == n
+    assert par.sample_n_with_replacement(df.limit(0), 5, 0).count() == 0
+
+
+def test_split_keeps_small_weights(spark):
+    parts = par.hash_split(spark.range(100_000), "id", [0.001, 0.999])
+    assert 50 < parts[0].count() < 200 and sum(p.count() for p in parts) == 100_000

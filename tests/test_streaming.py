@@ -1,5 +1,7 @@
 """Streaming: golden stock windows, late data, output-mode rules, builders and handles."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +137,12 @@ def test_file_source_options_pass_through(spark):
     assert s.isStreaming
     out = run.run_to_table(spark, s, "append", "opts-out")
     assert out.count() == 7
+
+
+def test_replay_keeps_rows_without_a_time_and_empty_frames(spark):
+    schema = "id long, ts timestamp_ntz"
+    rows = [(i, None if i % 10 == 0 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(100)]
+    for data in (rows, rows[:1], rows[1:2], []):
+        df = spark.createDataFrame(data, schema)
+        path = sources.replay_files(df, scratch_path(spark, "replay-test"), "ts", 4)
+        assert spark.read.schema(schema).parquet(path).count() == len(data)

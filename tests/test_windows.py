@@ -86,3 +86,27 @@ def test_plain_path_below_threshold_agrees(spark, skewed):
     r1 = windows.ranks(skewed, ["k"], ["v desc"], max_group_rows=10_000)
     r2 = windows.ranks(skewed, ["k"], ["v desc"], max_group_rows=0)
     assert _pairs(r1, ["seq", "rank", "dense_rank"]) == _pairs(r2, ["seq", "rank", "dense_rank"])
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_slices_agree_between_branches_on_large_wide_frames(spark, coalesce):
+    """300,000 rows, unused columns and many slices: every branch must see the same slices."""
+    df = (spark.range(300_000).withColumn("o", F.xxhash64("id")).withColumn("k", (F.col("id") % 100 > 60).cast("int"))
+          .withColumn("pad", F.sha2(F.col("id").cast("string"), 256)).withColumn("v", F.col("id") % 7).repartition(12))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        got = windows.dense_index(df, ["o"], start=1).agg(
+            F.count("*"), F.min("row_idx"), F.max("row_idx"), F.count_distinct("row_idx")).first()
+        assert tuple(got) == (300_000, 1, 300_000, 300_000)
+        w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+        run = windows.running(df, ["k"], ["o"], {"s": ("sum", "v"), "m": ("max", "v")}, max_group_rows=0)
+        want = df.withColumns({"ws": F.sum("v").over(w), "wm": F.max("v").over(w)}).select("id", "ws", "wm")
+        assert run.join(want, "id").where("s = ws AND m = wm").count() == 300_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_top_one_with_a_text_tiebreak(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 4, "z"), (2, 1, "q")], "g int, o int, t string")
+    got = windows.top_one_per_group(df, ["g"], "o", "t", ["t"]).collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (2, "q")]
