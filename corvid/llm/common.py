@@ -25,7 +25,15 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete the files of materialised tables, once all that read them is itself stored."""
+    for df in stored:
+        remove(df.sparkSession, df.scratch)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -105,12 +105,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def smallest_ids(rows: DataFrame, node: str, id_col: str, comps: DataFrame, out: str) -> DataFrame:
-    """``node``, ``out``: the smallest ``id_col`` of the component that each node of ``rows`` is in."""
+    """``node``, ``root``, ``out``: the component that each node of ``rows`` is in, and the smallest
+    ``id_col`` in it."""
     own = rows.groupBy(F.col(node).alias("node")).agg(F.min(id_col).alias("_least"))
     own = materialise(own.join(comps, "node", "left")
                       .select("node", F.coalesce("root", "node").alias("root"), "_least"), "own-least")
     least = materialise(own.groupBy("root").agg(F.min("_least").alias(out)), "root-least")
-    return own.join(least, "root").select(F.col("node").alias(node), out)
+    return own.join(least, "root").select(F.col("node").alias(node), "root", out)
 
 
 def map_blocks(members: DataFrame, key: str, node: str, block_rows: int, fn, schema: T.StructType) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, fresh, kth_largest, materialise, portions, texts_of
+from corvid.llm.common import add_columns, discard, fresh, kth_largest, materialise, portions, texts_of
 from corvid.llm.tokens import Tokens, mix, tokenise
 
 BUCKETS = 1 << 16
@@ -176,6 +176,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         k = total if np.isinf(border) else fixed.where(F.col("_fixed") >= int(np.floor(border * (1 << 20)))).count()
     else:
         k = min(total, int(np.ceil(share * total)))
+    discard(known, sample)
     cut = kth_largest(fixed, "_fixed", k)
     if cut is None:
         return scored.withColumn(kept, F.lit(total == k))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, fresh, materialise, portions, texts_of
+from corvid.llm.common import add_columns, discard, fresh, materialise, portions, texts_of
 from corvid.llm.graph import EDGES, Forest, components, edges_table, map_blocks, smallest_ids
 from corvid.llm.tokens import tokenise, windows
 
@@ -241,7 +241,7 @@ def _band_rows(classes: DataFrame) -> DataFrame:
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(documents: id, text hash, node; nodes: node, n_links, class_id).
+    """(documents: id, text hash, node; nodes: node, root, n_links, class_id).
 
     ``n_links`` counts the documents linked with one of the node, ``class_id`` is the smallest id
     among the documents reachable by links.
@@ -274,14 +274,17 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # the merge keeps the plan the same at every size
     held = (texts.join(wanted.hint("merge"), texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"]))
             .select(wanted["node"], "group", "copies", "text").dropDuplicates(["node"]))
-    verified = materialise(map_blocks(materialise(held, "held"), "group", "node", block_rows // 2,
+    held = materialise(held, "held")
+    verified = materialise(map_blocks(held, "group", "node", block_rows // 2,
                                       _verified(threshold), _COUNTS), "verified")
     links = verified.where("peer IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     comps = components(verified.where("peer IS NOT NULL").select(F.col("node").alias("a"), F.col("peer").alias("b")))
     least = smallest_ids(with_words, "node", "id", comps, "class_id")
     nodes = (classes.select("node", "copies").join(links, "node", "left").join(least, "node")
-             .select("node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "class_id"))
-    return rows.drop("sig"), materialise(nodes, "nodes")
+             .select("node", "root", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "class_id"))
+    nodes = materialise(nodes, "nodes")
+    discard(bands, shared, met, wanted, held, verified, classes)
+    return rows.drop("sig"), nodes
 
 
 def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -302,7 +305,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without words stay. Of rows that share that id the first by text hash stays."""
     rows, nodes = similarity_classes(docs, id_col, text_col, threshold)
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best")
-    keepers = rows.where("node IS NOT NULL").join(nodes, "node").groupBy("class_id").agg(best)
+    keepers = rows.where("node IS NOT NULL").join(nodes, "node").groupBy("root").agg(best)
     keepers = materialise(keepers.select(F.col("best.id").alias("k_id"), F.col("best.text_hash").alias("k_hash")), "keepers")
     key = fresh(docs, "text_hash_")
     held = docs.withColumn(key, F.xxhash64(F.col(text_col)))

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import SPACE, fresh, materialise, remove
+from corvid.llm.common import SPACE, discard, fresh, materialise, remove
 from corvid.session import scratch_path
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -105,7 +105,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = HashRuns(spark, buckets, fanout)
-    losers = []
+    losers, spent = [], []
     for b in range(len(edges) + 1):
         part = lines.where(F.col("batch") == b)
         keys = part.groupBy(*_HASH).agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -125,12 +125,14 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         # keys with a line to drop, and the document that keeps it
         repeated = materialise(keys.where("held IS NOT NULL OR first < last")
                                .select(*_HASH, F.coalesce("held", "first").alias("keeper")), "repeated")
+        spent += [keys, repeated]
         losers.append(part.join(repeated, _HASH).where("id <> keeper").select("id", "text_hash", "pos"))
     out = losers[0]
     for more in losers[1:]:
         out = out.unionByName(more)
     out = materialise(out, "dropped")
     runs.drop()
+    discard(lines, *spent)
     return out
 
 
@@ -142,6 +144,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = dropped_lines(docs, id_col, text_col, min_chars, batches, fanout)
     per_doc = materialise(drops.groupBy(F.col("id").alias(key), F.col("text_hash").alias(at))
                           .agg(F.collect_set("pos").alias(gone)), "gone")
+    discard(drops)
     lines = lines_of(F.col(text_col))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)),
                        lambda i: F.get(lines, i))
