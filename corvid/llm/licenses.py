@@ -17,6 +17,8 @@ Ties go to the earlier start, then the template that comes first by name.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -143,24 +145,31 @@ def scan(words: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
         aligned, first, last = align(template, words, diagonal)
         if aligned >= MIN_COVERAGE * len(template):
             found.append((-aligned, first, index.names[number], last, aligned / len(template)))
-    taken, out = [], []
+    out: list[tuple[str, int, int, float]] = []  # disjoint, in text order
     for _, first, name, last, coverage in sorted(found):
-        if all(last < a or b < first for a, b in taken):
-            taken.append((first, last))
-            out.append((name, first, last, coverage))
-    return sorted(out, key=lambda m: m[1])
+        at = bisect_left(out, first, key=lambda m: m[1])
+        if (at == 0 or out[at - 1][2] < first) and (at == len(out) or last < out[at][1]):
+            out.insert(at, (name, first, last, coverage))
+    return out
 
 
 def _matches(texts: list[str], index: Index) -> list[list[tuple[str, int, int, float]]]:
     tokens: Tokens = tokenise([_lower(t) for t in texts], _CLASSES)
     out, at, offset = [], 0, 0
     for text, n in zip(texts, tokens.counts.tolist()):
-        found = []
+        found, place, chars = [], 0, 0
         raw = text.encode("utf-8", "surrogatepass")
+
+        def code_points(byte: int) -> int:
+            """Code points before ``byte``, counted on from the last one asked for."""
+            nonlocal place, chars
+            chars += len(raw[place: byte].decode("utf-8", "surrogatepass"))
+            place = byte
+            return chars
+
         for name, first, last, coverage in scan(tokens.hash[at: at + n], index):
-            ends = (int(tokens.starts[at + first]) - offset, int(tokens.ends[at + last]) - offset)
-            start, end = (len(raw[:e].decode("utf-8", "surrogatepass")) for e in ends)
-            found.append((name, start, end, coverage))
+            start = code_points(int(tokens.starts[at + first]) - offset)
+            found.append((name, start, code_points(int(tokens.ends[at + last]) - offset), coverage))
         out.append(found)
         at += n
         offset += len(raw) + 1

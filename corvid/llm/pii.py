@@ -12,7 +12,7 @@ maximal runs of non-space characters. Three kinds of potentials score a labellin
 Loopy sum-product message passing runs over each document's graph, so the evidence at one
 mention reaches the others. Tokens whose label is likelier than ``SURE`` become spans unless a
 base span covers them. The potentials are fitted piecewise (each kind for itself) on base spans
-of a sample of about ``MAX_FIT`` documents.
+of a sample of ``MAX_FIT`` documents at most.
 
 Defined results: null and empty texts have no spans. Spans count code points, end exclusive.
 Rows are labelled each by itself; repeated rows get equal spans. A group of tokens that
@@ -22,6 +22,8 @@ resemble each other is linked as a chain in text order, so links grow with the t
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from corvid.llm.common import add_columns, fresh, texts_of
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 MAX_FIT = 5_000
+#: Characters of candidate tokens that a document of the fitting sample holds at most.
+MAX_FIT_CHARS = 16_384
 SUFFIX = 7
 SURE = 0.9
 ROUNDS = 12
@@ -126,13 +130,23 @@ def _links(text: str, tokens: list[tuple[int, int]]) -> tuple[list, list]:
     return chain, sorted(skip - set(chain))
 
 
+def _first_overlap(spans: list[tuple[int, int, str]]):
+    """For ``spans`` in order of start: a function of (start, end) that finds the first span that
+    overlaps them, or None."""
+    reach = list(accumulate((end for _, end, _ in spans), max))
+
+    def first(start: int, end: int):
+        at = bisect_right(reach, start)
+        return spans[at] if at < len(spans) and spans[at][0] < end else None
+
+    return first
+
+
 def _labels(tokens: list[tuple[int, int]], spans: list[tuple[int, int, str]]) -> np.ndarray:
-    out = np.zeros(len(tokens), dtype=int)
-    for i, (start, end) in enumerate(tokens):
-        for a, b, kind in spans:
-            if a < end and start < b:
-                out[i] = LABELS.index(kind)
-                break
+    out, first = np.zeros(len(tokens), dtype=int), _first_overlap(spans)
+    for i, token in enumerate(tokens):
+        if found := first(*token):
+            out[i] = LABELS.index(found[2])
     return out
 
 
@@ -146,14 +160,15 @@ class Field:
         """Loopy sum-product over the tokens of a document."""
         score = features @ self.node
         score -= score.max(axis=1, keepdims=True)
-        edges = [(i, j, p) for pairs, p in ((chain, 0), (skip, 1)) for i, j in pairs]
+        edges = [*chain, *skip]
         if not edges:
             belief = np.exp(score)
             return belief / belief.sum(axis=1, keepdims=True)
         a = np.array([e[0] for e in edges] + [e[1] for e in edges])
         b = np.array([e[1] for e in edges] + [e[0] for e in edges])
-        both = [self.chain, self.skip]
-        table = np.exp(np.stack([both[p] for *_, p in edges] + [both[p].T for *_, p in edges]))
+        # messages along chain and skip links, then against them: runs with one table each
+        tables = [np.exp(t) for t in (self.chain, self.skip, self.chain.T, self.skip.T)]
+        cuts = np.cumsum([len(chain), len(skip), len(chain)])
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         message = np.zeros((2 * len(edges), len(LABELS)))
         for _ in range(ROUNDS):
@@ -161,7 +176,7 @@ class Field:
             np.add.at(total, b, message)
             out = total[a] - message[back]
             out = np.exp(out - out.max(axis=1, keepdims=True))
-            new = np.log(np.einsum("el,elm->em", out, table))
+            new = np.log(np.concatenate([part @ t for part, t in zip(np.split(out, cuts), tables)]))
             new -= new.max(axis=1, keepdims=True)
             message = 0.5 * message + 0.5 * new
         total = score.copy()
@@ -216,13 +231,13 @@ def label(text: str, field: Field) -> tuple[list, list]:
         return base, base
     belief = field.marginals(_features(text, tokens), *_links(text, tokens))
     best = belief.argmax(axis=1)
-    added, last = [], -1
+    added, last, in_base = [], -1, _first_overlap(base)
     for i, (start, end) in enumerate(tokens):
         piece = text[start:end]
         start += len(piece) - len(piece.lstrip("#*$%&|<>\"'=,;:!?.[]{}"))
         end -= len(piece) - len(piece.rstrip("#*$%&|<>\"'=,;:!?.[]{}"))
         sure = best[i] and belief[i, best[i]] >= SURE and start < end
-        if not sure or any(a < end and start < b for a, b, _ in base):
+        if not sure or in_base(start, end):
             continue
         kind = LABELS[best[i]]
         if added and last == i - 1 and added[-1][2] == kind and tokens[i][0] - tokens[i - 1][1] <= 1:
@@ -247,7 +262,8 @@ def compact(text: str) -> str:
 
 
 def fit_sample(docs: DataFrame, text_col: str = "text", max_fit: int = MAX_FIT) -> Field:
-    """Field fitted on a sample of about ``max_fit`` documents, chosen by hash of their texts."""
+    """Field fitted on the texts of ``max_fit`` documents at most, chosen by hash; equal texts count
+    once, and documents with more than ``MAX_FIT_CHARS`` characters of candidates are passed over."""
     every = max(1, docs.count() // max_fit)
     held = docs.select(F.col(text_col).alias("t")).where(F.pmod(F.xxhash64(F.lit(9), "t"), F.lit(every)) == 0)
 
@@ -256,7 +272,8 @@ def fit_sample(docs: DataFrame, text_col: str = "text", max_fit: int = MAX_FIT)
             yield pa.RecordBatch.from_arrays([pa.array([compact(t) for t in texts_of(batch.column(0))], pa.string())],
                                              names=["t"])
 
-    return fit(sorted(r.t for r in held.mapInArrow(compacted, "t string").where("t <> ''").collect()))
+    texts = held.mapInArrow(compacted, "t string").where(F.length("t").between(1, MAX_FIT_CHARS)).distinct()
+    return fit(sorted(r.t for r in texts.orderBy(F.xxhash64("t"), "t").limit(max_fit).collect()))
 
 
 def find_personal_data(docs: DataFrame, field: Field | None = None, text_col: str = "text") -> DataFrame:

@@ -57,6 +57,36 @@ def test_long_runs_are_linear():
     assert secrets.scan("token" * 100_000, secrets.automaton()) == []
 
 
+def test_first_overlap_is_the_first_of_all():
+    spans = [(0, 9, "card"), (2, 4, "ip"), (3, 20, "phone"), (25, 26, "email")]
+    first = pii._first_overlap(spans)
+    for a in range(30):
+        for b in range(a + 1, 31):
+            assert first(a, b) == next((s for s in spans if s[0] < b and a < s[1]), None)
+
+
+def test_many_mentions_in_one_text_are_linear():
+    field = _field()
+    text = "write to jo.123@mail1.example.com or jo.124@mail2.example.org\n" * 10_000
+    base, spans = pii.label(text, field)
+    assert len(base) == 20_000 and set(base) <= set(spans)
+    index = licenses.Index()
+    many = (licenses.TEMPLATES["mit"] + " é\n") * 3_000
+    (got,) = licenses._matches([many], index)
+    assert [g[1] for g in got] == [i * len(licenses.TEMPLATES["mit"] + " é\n") for i in range(3_000)]
+
+
+def test_fit_sample_holds_equal_texts_once(spark):
+    df = spark.createDataFrame([("mail jo.1@a.example.com now",)] * 500 + [(None,), ("",), ("1 " * 20_000,)], "text string")
+    seen = []
+    fit, pii.fit = pii.fit, lambda texts: seen.append(texts) or fit(texts)
+    try:
+        pii.fit_sample(df)
+    finally:
+        pii.fit = fit
+    assert [t.strip() for t in seen[0]] == ["jo.1@a.example.com"]
+
+
 def test_checksums():
     body = "A1b2" * 7 + "xy"
     good, keys = "ghp_" + body + secrets.crc_base62(body), secrets.automaton()
