@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corvid.llm.common import SPACE, add_columns, fresh, portions, texts_of
+from corvid.llm.common import SPACE, add_columns, fresh, text_portions
 from corvid.llm.tokens import tokenise, windows
 
 MIN_WORDS = 10
@@ -137,7 +137,7 @@ def judge(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> Da
     arrow = {T.LongType: pa.int64(), T.BooleanType: pa.bool_(), T.StringType: pa.string()}
 
     def judged(batch):
-        rows = [r for texts in portions(texts_of(batch.column(at))) for r in _figures(texts)]
+        rows = [r for texts in text_portions(batch.column(at)) for r in _figures(texts)]
         return [pa.array([r[i] for r in rows], arrow[type(kinds[name])]) for i, name in enumerate(names)]
 
     return add_columns(docs, judged, [T.StructField(fresh(docs, n), kinds[n]) for n in names])

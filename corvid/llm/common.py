@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,6 +89,16 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
+def text_portions(column: pa.Array, size: int = 1 << 19) -> Iterator[list[str]]:
+    """Python strings (null: empty) of consecutive rows of about ``size`` bytes together, so that
+    working memory grows with the longest text, not with the batch."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // size)) + 1
+    for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(column)]):
+        if start < stop:
+            yield texts_of(column.slice(start, stop - start))
+
+
 def portions(texts: list[str], chars: int = 1 << 21) -> Iterator[list[str]]:
     """Consecutive texts of about ``chars`` characters together, to bound working memory."""
     part, size = [], 0

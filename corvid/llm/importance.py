@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, discard, fresh, kth_largest, materialise, portions, texts_of
+from corvid.llm.common import add_columns, discard, fresh, kth_largest, materialise, text_portions
 from corvid.llm.tokens import Tokens, mix, tokenise
 
 BUCKETS = 1 << 16
@@ -78,7 +78,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def counted(batches):
         counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for texts in portions(texts_of(batch.column(0))):
+            for texts in text_portions(batch.column(0)):
                 counts += np.bincount(ngram_buckets(texts)[0], minlength=BUCKETS)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts[found])],
@@ -109,7 +109,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, out: str, text_col: str = "
 
     def scored(batch):
         sums = []
-        for texts in portions(texts_of(batch.column(at))):
+        for texts in text_portions(batch.column(at)):
             buckets, text = ngram_buckets(texts)
             sums.append(np.bincount(text, weights=shared.value[buckets], minlength=len(texts)))
         return [pa.array(np.concatenate(sums) if sums else [], pa.float64())]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, discard, fresh, materialise, portions, texts_of
+from corvid.llm.common import add_columns, discard, fresh, materialise, text_portions
 from corvid.llm.graph import EDGES, Forest, components, edges_table, map_blocks, smallest_ids
 from corvid.llm.tokens import tokenise, windows
 
@@ -216,7 +216,7 @@ def sketch(docs: DataFrame, node: str, signature: str, text_col: str = "text") -
 
     def sketched(batch):
         keys, sigs = [], []
-        for texts in portions(texts_of(batch.column(at))):
+        for texts in text_portions(batch.column(at)):
             for found in shingles(texts):
                 keys.append(set_key(found) if len(found) else None)
                 sigs.append(minhash(found).tobytes() if len(found) else None)

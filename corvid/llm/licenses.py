@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, fresh, portions, texts_of
+from corvid.llm.common import add_columns, fresh, text_portions
 from corvid.llm.tokens import Tokens, tokenise, windows
 
 GRAM, WINDOW, BAND = 3, 3, 8
@@ -183,7 +183,7 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text_c
 
     def found(batch):
         index = Index(templates)
-        rows = [r for texts in portions(texts_of(batch.column(at))) for r in _matches(texts, index)]
+        rows = [r for texts in text_portions(batch.column(at)) for r in _matches(texts, index)]
         names = [list(dict.fromkeys(m[0] for m in r)) for r in rows]
         spans = [",".join(f"{n}:{a}:{b}:{int(100 * c)}" for n, a, b, c in r) for r in rows]
         return [pa.array([len(r) for r in rows], pa.int64()), pa.array(names, pa.list_(pa.string())),
