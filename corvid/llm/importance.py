@@ -155,9 +155,11 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     weight, key, kept = (fresh(docs, c) for c in ("log_weight", "gumbel_key", "kept"))
     sample = materialise(labelled_sample(labels, max_labelled), "labels")
+    # a sample of few rows is sent to the texts; beyond, the texts are shuffled
+    few = F.broadcast(sample) if max_labelled <= MAX_LABELLED else sample.hint("merge")
     known = materialise(
         docs.select(F.col(id_col).alias("_label_id"), F.col(text_col).alias("_text"))
-        .join(sample, "_label_id").select("_label_id", "_text", "_good", "_fit"), "labelled")
+        .join(few, "_label_id").select("_label_id", "_text", "_good", "_fit"), "labelled")
     raw = _vector(ngram_counts(docs, text_col))
     target = _vector(ngram_counts(known.where("_fit AND _good"), "_text"))
     ratios = log_ratios(raw, target) if target.sum() else np.zeros(BUCKETS)
