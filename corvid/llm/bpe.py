@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, fresh, portions, texts_of
+from corvid.llm.common import add_columns, fresh, portions, text_portions
 
 #: Pieces that a task remembers, and new pieces merged at a time.
 KNOWN = 300_000
@@ -80,21 +80,33 @@ class Codec:
         self.exact = regex.compile(pattern)
         self.pattern = pattern
         self.known: dict[str, str] = {}
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         ranks = self.ranks
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
                  if t[:i] in ranks and t[i:] in ranks]
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs)) if pairs else [pa.array([], pa.int32())] * 3
-        self._table("merges", a=a, b=b, r=r)
+        self.tables = {"merges": pa.table({"a": a, "b": b, "r": r})}
         # a byte is a character of the same number, so tokens are strings that join as bytes do
-        self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()),
-                    s=pa.array([t.decode("latin-1") for t in ranks]))
+        self.tables["vocabulary"] = pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
+                                              "s": pa.array([t.decode("latin-1") for t in ranks])})
+        self.connection = None
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
-    def _table(self, name: str, **columns) -> None:
-        self.duck.register("given", pa.table(columns))
-        self.duck.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-        self.duck.unregister("given")
+    @property
+    def duck(self) -> duckdb.DuckDBPyConnection:
+        """A database in memory with the merge table and the vocabulary, until ``rest``."""
+        if self.connection is None:
+            self.connection = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+            for name, table in self.tables.items():
+                self.connection.register("given", table)
+                self.connection.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self.connection.unregister("given")
+        return self.connection
+
+    def rest(self) -> None:
+        """Give back the database's memory; known pieces stay."""
+        if self.connection is not None:
+            self.connection.close()
+            self.connection = None
 
     def split(self, text: str) -> list[str]:
         quick = self.pattern == _GPT_PATTERN and not _BEYOND.search(text)
@@ -161,6 +173,11 @@ def _codec(shared, pattern: str) -> Codec:
     return _CODECS[name, pattern]
 
 
+def _rest() -> None:
+    for codec in _CODECS.values():
+        codec.rest()
+
+
 def _ship(df: DataFrame, path: str):
     """Broadcast the rank file (a vocabulary, about 1 MB) with a name for its content."""
     with open(path, "rb") as file:
@@ -178,11 +195,11 @@ def encode(docs: DataFrame, path: str, pattern: str, out: str = "ids", text_col:
 
     def encoded(batch):
         codec, arrays = _codec(shared, pattern), []
-        for texts in portions(texts_of(batch.column(at))):
+        for texts in text_portions(batch.column(at)):
             arrays += [_id_array(x) for x in codec.encode(texts)]
         return [pa.array(arrays, pa.list_(pa.int64()))]
 
-    return add_columns(docs, encoded, [T.StructField(fresh(docs, out), T.ArrayType(T.LongType()))])
+    return add_columns(docs, encoded, [T.StructField(fresh(docs, out), T.ArrayType(T.LongType()))], _rest)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -193,7 +210,7 @@ def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids", out:
         ids = [np.array([] if x is None else x, dtype=np.int64) for x in batch.column(at).to_pylist()]
         return [pa.array(_codec(shared, pattern).decode(ids), pa.binary())]
 
-    return add_columns(docs, decoded, [T.StructField(fresh(docs, out), T.BinaryType())])
+    return add_columns(docs, decoded, [T.StructField(fresh(docs, out), T.BinaryType())], _rest)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
@@ -205,7 +222,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 
     def tripped(batch):
         codec, counts, of_ids, of_bytes, kept = _codec(shared, pattern), [], [], [], []
-        for texts in portions(texts_of(batch.column(at)), chars=1 << 20):
+        for texts in text_portions(batch.column(at), 1 << 20):
             joined = codec.encode(texts)
             arrays = [_id_array(x) for x in joined]
             counts += [len(a) for a in arrays]
@@ -219,4 +236,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
               T.StructField(fresh(docs, "ids_sha256"), T.StringType()),
               T.StructField(fresh(docs, "decoded_sha256"), T.StringType())]
     ids = [T.StructField(fresh(docs, "ids"), T.ArrayType(T.LongType()))] * with_ids
-    return add_columns(docs, tripped, fields + ids)
+    return add_columns(docs, tripped, fields + ids, _rest)

@@ -72,14 +72,19 @@ def kth_largest(values: DataFrame, col: str, k: int, bins: int = 4096) -> int |
     return low
 
 
-def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list], fields: list[T.StructField]) -> DataFrame:
-    """Append the columns that ``fn(batch)`` returns (arrays, one per field) to every row."""
+def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list], fields: list[T.StructField],
+                done: Callable[[], None] | None = None) -> DataFrame:
+    """Append the columns that ``fn(batch)`` returns (arrays, one per field) to every row. ``done``
+    is called at the end of a task, whose worker may live on for others."""
     schema = T.StructType(list(df.schema.fields) + list(fields))
     names = [f.name for f in schema.fields]
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(list(batch.columns) + list(fn(batch)), names=names)
+        if done:
+            done()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(mapped, schema)
 
