@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from corvid.operators.windows import running
 
@@ -37,6 +38,21 @@ def pivot_sum(df: DataFrame, group_by: list[str], pivot_col: str, values: list,
     return df.groupBy(*group_by).pivot(pivot_col, values).agg(getattr(F, agg)(measure))
 
 
+def pivot_sums(df: DataFrame, group_by: list[str], pivot_col: str, values: list[str],
+               measures: list[str] | None = None, other: str = "other") -> DataFrame:
+    """Pivot with the sums of several measures, by default of all numeric columns: columns
+    ``value_measure``. Rows of a value that isn't listed, or of none, go to ``other``."""
+    if measures is None:
+        measures = [f.name for f in df.schema.fields
+                    if isinstance(f.dataType, NumericType) and f.name not in (*group_by, pivot_col)]
+    label = F.when(F.col(pivot_col).isin(values), F.col(pivot_col)).otherwise(other)
+    out = (df.withColumn(pivot_col, label).groupBy(*group_by).pivot(pivot_col, [*values, other])
+           .agg(*[F.sum(m).alias(m) for m in measures]))
+    if len(measures) == 1:  # Spark leaves the name of a single measure out
+        out = out.withColumnsRenamed({v: f"{v}_{measures[0]}" for v in (*values, other)})
+    return out
+
+
 def population_moments(x: str, prefix: str = "") -> list[Column]:
     """Population skewness and excess kurtosis (the definitions Spark's built-ins use)."""
     return [F.skewness(x).alias(f"{prefix}skewness"), F.kurtosis(x).alias(f"{prefix}kurtosis")]

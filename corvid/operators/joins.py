@@ -40,7 +40,7 @@ def _unmatched(df: DataFrame, keys: list[str], other: DataFrame, other_keys: lis
 
 
 def outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys, how: str,
-               using: bool = False) -> DataFrame:
+               using: bool = False, unique: bool = False) -> DataFrame:
     """Left, right or full outer equi-join that tolerates a hot key on either side.
 
     AQE splits skewed partitions only on the preserved side of a left/right outer join and
@@ -48,6 +48,9 @@ def outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys, how: st
     split either side) plus, per preserved side, its rows without partner — an anti join
     against the other side's distinct keys. With ``using`` the key columns are merged as in
     ``JOIN ... USING``; otherwise both key columns are kept (NULL on the unmatched side).
+
+    ``unique``: no key repeats on either side (one row per key, as after ``groupBy``), so no key
+    is hot and Spark's own outer join reads each side once.
     """
     how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full"}.get(how, how)
     if how not in ("left", "right", "full"):
@@ -56,10 +59,12 @@ def outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys, how: st
     if using:
         if lk != rk:
             raise ValueError("USING joins need the same key names on both sides")
-        matched = left.join(right, lk, "inner")
+        on = lk
     else:
-        cond = reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in zip(lk, rk)])
-        matched = left.join(right, cond, "inner")
+        on = reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in zip(lk, rk)])
+    if unique:
+        return left.join(right, on, how)
+    matched = left.join(right, on, "inner")
     parts = [matched]
     if how in ("left", "full"):
         parts.append(_unmatched(left, lk, right, rk))
@@ -69,11 +74,12 @@ def outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys, how: st
     return out.select(*matched.columns)
 
 
-def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
+def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+              unique: bool = False) -> DataFrame:
     """Join on an expression; both key columns are kept. Outer joins go through the
     skew-tolerant ``outer_join``."""
     if how in ("left", "right", "full", "left_outer", "right_outer", "outer", "full_outer"):
-        return outer_join(left, right, left_key, right_key, how)
+        return outer_join(left, right, left_key, right_key, how, unique=unique)
     return left.join(right, F.col(left_key) == F.col(right_key), how)
 
 
@@ -84,14 +90,14 @@ def join_using(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.join(right, keys, how)
 
 
-def full_outer_using(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def full_outer_using(left: DataFrame, right: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
     """``FULL OUTER JOIN ... USING (keys)`` that tolerates a hot key (see ``outer_join``)."""
-    return outer_join(left, right, keys, keys, "full", using=True)
+    return outer_join(left, right, keys, keys, "full", using=True, unique=unique)
 
 
-def full_outer_chain(dfs: list[DataFrame], key: str) -> DataFrame:
+def full_outer_chain(dfs: list[DataFrame], key: str, unique: bool = False) -> DataFrame:
     """Chained full outer USING joins: the key column is the coalesce of all sides."""
-    return reduce(lambda a, b: full_outer_using(a, b, [key]), dfs)
+    return reduce(lambda a, b: full_outer_using(a, b, [key], unique), dfs)
 
 
 def dimension_with_counts(dim: DataFrame, dim_key: str, facts: dict[str, tuple[DataFrame, str]]) -> DataFrame:

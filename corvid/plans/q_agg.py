@@ -243,6 +243,22 @@ def agg_pivot(spark, d):
     return p.select("year", *[F.round(c, 2).alias(c) for c in ["F", "O", "P"]])
 
 
+_PIVOT_ALL = ",\n           ".join(
+    f"CAST(sum(CASE WHEN {cond} THEN {m} END) AS BIGINT) AS {v}_{m}"
+    for v, cond in (("F", "o_orderstatus = 'F'"), ("O", "o_orderstatus = 'O'"),
+                    ("other", "o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')"))
+    for m in ("o_orderkey", "o_custkey"))
+
+
+@query("agg_pivot_all", sql=f"""
+    SELECT o_orderpriority,
+           {_PIVOT_ALL}
+    FROM orders GROUP BY o_orderpriority""")
+def agg_pivot_all(spark, d):
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return agg.pivot_sums(orders, ["o_orderpriority"], "o_orderstatus", ["F", "O"])
+
+
 @query("agg_filtered", sql="""
     SELECT sum(l_quantity) AS returned_qty, count(*) AS returned_lines FROM lineitem WHERE l_returnflag = 'R'""")
 def agg_filtered(spark, d):

@@ -24,93 +24,84 @@ def join_using(spark, d):
     return joins.join_using(c, n, ["nationkey"])
 
 
-def _cust_per_nation(t):
-    return (t.customer.where("c_nationkey < 15").groupBy("c_nationkey")
-            .agg(F.count("*").alias("n_cust"), F.round(F.sum("c_acctbal"), 2).alias("cust_bal")))
+def _orders_per_customer(t):
+    return t.orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"))
 
 
-def _supp_per_nation(t):
-    return (t.supplier.where("s_nationkey >= 10").groupBy("s_nationkey")
-            .agg(F.count("*").alias("n_supp")))
+def _events_per_user(t):
+    return t.events.groupBy("user_id").agg(F.count("*").alias("n_events"))
 
 
 @query("join_full", sql="""
-    SELECT c.c_nationkey, s.s_nationkey, c.n_cust, c.cust_bal, s.n_supp FROM
-      (SELECT c_nationkey, count(*) AS n_cust, round(sum(c_acctbal), 2) AS cust_bal FROM customer
-       WHERE c_nationkey < 15 GROUP BY c_nationkey) c
-    FULL OUTER JOIN
-      (SELECT s_nationkey, count(*) AS n_supp FROM supplier WHERE s_nationkey >= 10 GROUP BY s_nationkey) s
-    ON c.c_nationkey = s.s_nationkey""")
+    SELECT o.o_custkey, e.user_id, o.n_orders, e.n_events
+    FROM (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o
+    FULL OUTER JOIN (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id) e ON o.o_custkey = e.user_id""")
 def join_full(spark, d):
     t = Tables(spark, d)
-    return joins.equi_join(_cust_per_nation(t), _supp_per_nation(t), "c_nationkey", "s_nationkey", "full_outer")
+    return joins.equi_join(_orders_per_customer(t), _events_per_user(t), "o_custkey", "user_id", "full_outer", unique=True)
 
 
 @query("join_full3", sql="""
-    SELECT coalesce(a.nationkey, b.nationkey, c.nationkey) AS nationkey, a.n_cust, b.n_supp, c.n_name
-    FROM (SELECT c_nationkey AS nationkey, count(*) AS n_cust FROM customer WHERE c_nationkey < 15 GROUP BY 1) a
-    FULL OUTER JOIN (SELECT s_nationkey AS nationkey, count(*) AS n_supp FROM supplier WHERE s_nationkey >= 10 GROUP BY 1) b
-      ON a.nationkey = b.nationkey
-    FULL OUTER JOIN (SELECT n_nationkey AS nationkey, n_name FROM nation WHERE n_regionkey IN (0, 1)) c
-      ON coalesce(a.nationkey, b.nationkey) = c.nationkey""")
+    SELECT coalesce(a.k, b.k, c.k) AS k, a.n_orders, b.n_events, c.n_cust
+    FROM (SELECT o_custkey AS k, count(*) AS n_orders FROM orders GROUP BY 1) a
+    FULL OUTER JOIN (SELECT user_id AS k, count(*) AS n_events FROM events GROUP BY 1) b ON a.k = b.k
+    FULL OUTER JOIN (SELECT c_custkey AS k, count(*) AS n_cust FROM customer GROUP BY 1) c ON coalesce(a.k, b.k) = c.k""")
 def join_full3(spark, d):
     t = Tables(spark, d)
-    a = _cust_per_nation(t).select(F.col("c_nationkey").alias("nationkey"), "n_cust")
-    b = _supp_per_nation(t).select(F.col("s_nationkey").alias("nationkey"), "n_supp")
-    c = t.nation.where("n_regionkey IN (0, 1)").select(F.col("n_nationkey").alias("nationkey"), "n_name")
-    return joins.full_outer_chain([a, b, c], "nationkey").select("nationkey", "n_cust", "n_supp", "n_name")
+    a = _orders_per_customer(t).withColumnRenamed("o_custkey", "k")
+    b = _events_per_user(t).withColumnRenamed("user_id", "k")
+    c = t.customer.groupBy(F.col("c_custkey").alias("k")).agg(F.count("*").alias("n_cust"))
+    return joins.full_outer_chain([a, b, c], "k", unique=True)
 
 
-def _auto_customers(t):
-    return t.customer.where("c_mktsegment = 'AUTOMOBILE'").select("c_custkey", "c_name")
+def _customers(t):
+    return t.customer.select("c_custkey", "c_name")
 
 
-def _pending_orders(t):
-    return t.orders.where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
+def _orders(t):
+    return t.orders.select("o_orderkey", "o_custkey")
 
 
-_AUTO = "(SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"
-_PEND = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"
+_CUSTOMERS, _ORDERS = "(SELECT c_custkey, c_name FROM customer)", "(SELECT o_orderkey, o_custkey FROM orders)"
 
 
 @query("join_left", sql=f"""
-    SELECT c.c_custkey, c.c_name, o.o_orderkey FROM {_AUTO} c LEFT JOIN {_PEND} o ON c.c_custkey = o.o_custkey""")
+    SELECT c.c_custkey, c.c_name, o.o_orderkey FROM {_CUSTOMERS} c LEFT JOIN {_ORDERS} o ON c.c_custkey = o.o_custkey""")
 def join_left(spark, d):
     t = Tables(spark, d)
-    return joins.equi_join(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey", "left") \
+    return joins.equi_join(_customers(t), _orders(t), "c_custkey", "o_custkey", "left") \
         .select("c_custkey", "c_name", "o_orderkey")
 
 
 @query("join_right", sql=f"""
-    SELECT c.c_custkey, c.c_name, o.o_orderkey FROM {_AUTO} c RIGHT JOIN {_PEND} o ON c.c_custkey = o.o_custkey""")
+    SELECT c.c_custkey, c.c_name, o.o_orderkey FROM {_CUSTOMERS} c RIGHT JOIN {_ORDERS} o ON c.c_custkey = o.o_custkey""")
 def join_right(spark, d):
     t = Tables(spark, d)
-    return joins.equi_join(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey", "right") \
+    return joins.equi_join(_customers(t), _orders(t), "c_custkey", "o_custkey", "right") \
         .select("c_custkey", "c_name", "o_orderkey")
 
 
 @query("join_semi", sql=f"""
-    SELECT c_custkey, c_name FROM {_AUTO} c WHERE EXISTS (SELECT 1 FROM {_PEND} o WHERE o.o_custkey = c.c_custkey)""")
+    SELECT c_custkey, c_name FROM {_CUSTOMERS} c WHERE EXISTS (SELECT 1 FROM {_ORDERS} o WHERE o.o_custkey = c.c_custkey)""")
 def join_semi(spark, d):
     t = Tables(spark, d)
-    return joins.semi(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey")
+    return joins.semi(_customers(t), _orders(t), "c_custkey", "o_custkey")
 
 
 @query("join_anti", sql=f"""
-    SELECT c_custkey, c_name FROM {_AUTO} c WHERE NOT EXISTS (SELECT 1 FROM {_PEND} o WHERE o.o_custkey = c.c_custkey)""")
+    SELECT c_custkey, c_name FROM {_CUSTOMERS} c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""")
 def join_anti(spark, d):
     t = Tables(spark, d)
-    return joins.anti(_auto_customers(t), _pending_orders(t), "c_custkey", "o_custkey")
+    return joins.anti(_customers(t), t.events.select("user_id"), "c_custkey", "user_id")
 
 
-_KV_A = "(SELECT c_custkey AS k, c_name AS a FROM customer WHERE c_mktsegment = 'BUILDING')"
-_KV_B = "(SELECT o_custkey AS k, o_orderkey AS b FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"
+_KV_A = "(SELECT c_custkey AS k, c_name AS a FROM customer)"
+_KV_B = "(SELECT o_custkey AS k, o_orderkey AS b FROM orders)"
 
 
 def _kv_pairs(t):
-    a = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("a"))
-    b = t.orders.where("o_orderstatus = 'P' AND o_orderpriority = '5-LOW'").select(
-        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("b"))
+    a = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("a"))
+    b = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("b"))
     return a, b
 
 

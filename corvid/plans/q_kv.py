@@ -120,6 +120,21 @@ def kv_tagged_union(spark, d):
     return u.groupBy("key", "tag").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@query("kv_tagged_regroup", sql="""
+    SELECT key, chunk, count(*) AS n, string_agg(v, ',' ORDER BY v) AS members FROM (
+      SELECT key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 1000 AS chunk FROM (
+        SELECT c_nationkey AS key, 'customer:' || c_custkey AS v FROM customer
+        UNION ALL SELECT s_nationkey, 'supplier:' || s_suppkey FROM supplier))
+    GROUP BY key, chunk""")
+def kv_tagged_regroup(spark, d):
+    t = Tables(spark, d)
+    u = kv.tagged_union({"customer": t.customer.select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v")),
+                         "supplier": t.supplier.select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"))},
+                        "k", "v")
+    g = agg.collect_bounded(u, ["key"], F.concat_ws(":", "tag", "value"), max_items=1000, out="vs")
+    return g.select("key", "chunk", "n", F.concat_ws(",", "vs").alias("members"))
+
+
 @query("wc_raw", sql=f"SELECT word, count(*) AS n FROM ({RAW_WORDS}) WHERE word <> '' GROUP BY word")
 def wc_raw(spark, d):
     return kv.word_count(Tables(spark, d).documents)

@@ -35,6 +35,28 @@ def str_file(spark, d):
     return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-out")
 
 
+@query("str_file_csv", sql="SELECT event_id, event_type, value FROM events")
+def str_file_csv(spark, d):
+    s = _events_stream(spark, d, "str-file-csv", fmt="csv")
+    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-csv-out", kind="stateless")
+
+
+@query("str_file_orc", sql="SELECT event_id, event_type, value FROM events")
+def str_file_orc(spark, d):
+    s = _events_stream(spark, d, "str-file-orc", fmt="orc")
+    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-orc-out", kind="stateless")
+
+
+@query("str_file_text", sql="SELECT event_id, event_type FROM events")
+def str_file_text(spark, d):
+    lines = Tables(spark, d).events.select("ts", F.concat_ws(" ", "event_id", "event_type").alias("value"))
+    path = sources.replay_files(lines, scratch_path(spark, "str-file-text"), "ts", 4, fmt="text", columns=["value"])
+    s = sources.file_stream(spark, path, "text", "value STRING", max_files_per_trigger=1)
+    fields = F.split("value", " ", 2)
+    out = s.select(F.get(fields, 0).try_cast("bigint").alias("event_id"), F.get(fields, 1).alias("event_type"))
+    return run.run_to_table(spark, out, "append", "str-file-text-out", kind="stateless")
+
+
 @query("str_filter", sql="SELECT event_id, user_id, value FROM events WHERE event_type = 'error' AND value > 10")
 def str_filter(spark, d):
     s = _events_stream(spark, d, "str-filter")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corvid.session import scratch_path
-from corvid.streaming.sinks import batch_folders, overwrite_per_batch
+from corvid.streaming.sinks import batch_folders, check_output_mode, overwrite_per_batch
 
 
 def trigger_kwargs(kind: str = "available_now", interval: str | None = None) -> dict:
@@ -28,10 +28,13 @@ def trigger_kwargs(kind: str = "available_now", interval: str | None = None) ->
 def start(df: DataFrame, mode: str, checkpoint: str, fmt: str | None = None, path: str | None = None,
           foreach_batch: Callable | None = None, name: str | None = None, trigger: dict | None = None,
           partition_by: list[str] | None = None, options: dict | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
-    """Start a streaming query. The number of state-store partitions is fixed by the first
+          state_partitions: int | None = None, kind: str | None = None) -> StreamingQuery:
+    """Start a streaming query. ``kind`` names the kind of plan (``sinks.OUTPUT_MODES``): a mode
+    that it doesn't allow is refused before anything runs. The number of state-store partitions is fixed by the first
     run of a checkpoint; it is taken from ``state_partitions`` or, by default, the cluster's
     core count (``defaultParallelism``) rather than the batch shuffle setting."""
+    if kind is not None:
+        check_output_mode(kind, mode)
     spark = df.sparkSession
     n_state = state_partitions or spark.sparkContext.defaultParallelism
     previous = spark.conf.get("spark.sql.shuffle.partitions")
@@ -75,7 +78,7 @@ def await_done(q: StreamingQuery, timeout_s: int | None = None) -> None:
 
 def run_to_table(spark: SparkSession, df: DataFrame, mode: str = "append", name: str = "stream",
                  fmt: str = "parquet", partition_by: list[str] | None = None, timeout_s: int | None = None,
-                 checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+                 checkpoint: str | None = None, path: str | None = None, kind: str | None = None) -> DataFrame:
     """Run ``df`` to completion with an available-now trigger and return the sink as a batch
     DataFrame. Append mode writes files directly; complete mode replaces the table each
     batch; update mode keeps batch folders (read them with ``sinks.read_latest``)."""
@@ -83,11 +86,11 @@ def run_to_table(spark: SparkSession, df: DataFrame, mode: str = "append", name:
     checkpoint = checkpoint or f"{base}/_checkpoint"
     path = path or f"{base}/out"
     if mode == "append":
-        q = start(df, mode, checkpoint, fmt=fmt, path=path, partition_by=partition_by)
+        q = start(df, mode, checkpoint, fmt=fmt, path=path, partition_by=partition_by, kind=kind)
     elif mode == "complete":
-        q = start(df, mode, checkpoint, foreach_batch=overwrite_per_batch(path, fmt))
+        q = start(df, mode, checkpoint, foreach_batch=overwrite_per_batch(path, fmt), kind=kind)
     elif mode == "update":
-        q = start(df, mode, checkpoint, foreach_batch=batch_folders(path, fmt))
+        q = start(df, mode, checkpoint, foreach_batch=batch_folders(path, fmt), kind=kind)
     else:
         raise ValueError(mode)
     await_done(q, timeout_s)

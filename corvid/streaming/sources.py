@@ -70,12 +70,13 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 10, num_partitions:
 
 
 def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str = "parquet",
-                 extra: list[DataFrame] | None = None) -> str:
+                 extra: list[DataFrame] | None = None, columns: list[str] | None = None) -> str:
     """Write a batch table as ``n_files`` time-ordered slices, one write job per slice, so
     file modification times follow event time and a file source with
     ``maxFilesPerTrigger`` replays them in order. ``extra`` frames are appended afterwards
     as further slices (late data). Rows without a time go with the first slice; a frame with
-    one time or none, or without rows, is all in the first. Returns a glob path over the slices."""
+    one time or none, or without rows, is all in the first. ``columns`` are those written (all by
+    default). Returns a glob path over the slices."""
     df = materialise(df, "replay")  # built once, then sliced
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     span = 0 if lo is None or hi == lo else hi - lo
@@ -88,7 +89,7 @@ def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str
             keep = keep & (at < F.lit(lo + span * (i + 1) / n_files))
         if i == 0:
             keep = keep | at.isNull()
-        df.where(keep).write.mode("overwrite").format(fmt).save(f"{path}/b{i:03d}")
+        df.where(keep).select(*columns or df.columns).write.mode("overwrite").format(fmt).save(f"{path}/b{i:03d}")
     for j, late in enumerate(extra or []):
         late.write.mode("overwrite").format(fmt).save(f"{path}/b{n_files + j:03d}")
     return f"{path}/b*"

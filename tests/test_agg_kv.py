@@ -89,3 +89,22 @@ def test_cogroup_groups_null_keys_once(spark):
     b = spark.createDataFrame([(None, 10), (2, 7)], "k int, v int")
     out = {r.k: (r.left_n, r.left_sum, r.right_n, r.right_sum) for r in cogroup_stats(a, b, "k", "v", "v").collect()}
     assert out == {None: (2, 3, 1, 10), 1: (1, 5, 0, None), 2: (0, None, 1, 7)}
+
+
+def test_outer_join_of_unique_keys_reads_each_side_once(spark):
+    from corvid.operators.joins import full_outer_chain
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, a string")
+    b = spark.createDataFrame([(2, "x"), (3, "y"), (None, "m")], "k int, b string")
+    c = spark.createDataFrame([(3, "p"), (4, "q")], "k int, c string")
+    plain = sorted(map(tuple, full_outer_chain([a, b, c], "k").collect()), key=str)
+    native = full_outer_chain([a, b, c], "k", unique=True)
+    assert sorted(map(tuple, native.collect()), key=str) == plain and len(plain) == 6
+    assert native._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter") == 2
+
+
+def test_pivot_sums_keeps_other_and_missing_values(spark):
+    from corvid.operators.agg import pivot_sums
+    df = spark.createDataFrame([("g", "F", 1, 2.0), ("g", "Z", 3, 4.0), ("g", None, 5, 6.0)], "g string, s string, x int, y double")
+    assert pivot_sums(df, ["g"], "s", ["F"]).first().asDict() == {
+        "g": "g", "F_x": 1, "F_y": 2.0, "other_x": 8, "other_y": 10.0}
+    assert pivot_sums(df, ["g"], "s", ["F"], ["x"]).columns == ["g", "F_x", "other_x"]

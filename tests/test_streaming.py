@@ -146,3 +146,13 @@ def test_replay_keeps_rows_without_a_time_and_empty_frames(spark):
         df = spark.createDataFrame(data, schema)
         path = sources.replay_files(df, scratch_path(spark, "replay-test"), "ts", 4)
         assert spark.read.schema(schema).parquet(path).count() == len(data)
+
+
+def test_start_refuses_an_illegal_output_mode(spark, tmp_path):
+    import pytest
+
+    from corvid.streaming import run, sources
+    s = sources.rate_stream(spark)
+    with pytest.raises(ValueError, match="not allowed"):
+        run.start(s, "complete", str(tmp_path), fmt="memory", name="refused", kind="stateless")
+    assert not spark.streams.active
