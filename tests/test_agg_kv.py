@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from corvid.operators import agg, kv
 from corvid.sources.tables import Tables
 
-from conftest import SF_CHECK
+from testdata import SF_CHECK
 
 
 def test_collect_bounded_splits_hot_groups(spark):

@@ -9,7 +9,7 @@ from corvid.sources.tables import Tables
 from corvid.streaming import run, sources
 from corvid.streaming import transforms as st
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def _rows(df):

@@ -6,7 +6,7 @@ import pytest
 from corvid.plans.registry import all_oracles, all_queries
 from corvid.plans.verify import compare
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 QUERIES = all_queries()
 ORACLES = all_oracles()

@@ -5,7 +5,7 @@ from corvid.session import scratch_path
 from corvid.sources import files
 from corvid.sources.tables import Tables
 
-from conftest import SF_CHECK
+from testdata import SF_CHECK
 
 
 def test_hash_split_is_disjoint_complete_and_stable(spark):

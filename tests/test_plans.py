@@ -9,7 +9,7 @@ import pytest
 
 from corvid.plans.registry import all_queries
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 QUERIES = all_queries()
 PURE_MODULES = ("q_shape", "q_agg", "q_kv", "q_join", "q_window", "q_order", "q_docs", "q_flagship")
