@@ -5,6 +5,16 @@ met before become rows (word, position, token). A recursive query joins neighbou
 the merge table, finds each word's pair of lowest rank, leftmost on ties, contracts it, and ends when
 no word has a pair left. Pieces that are tokens themselves are taken as they are.
 
+A recursive query holds the rows of all its steps. Pieces of more than ``LONG`` bytes take another
+one, which contracts in a step all pairs that are sure to be contracted as they are, and is started
+again from its last rows every few steps, so that it holds ``STEP_ROWS`` rows or those of two steps.
+A pair of tokens is sure if its rank is below that of any pair that its first token can be in with
+a token that ends as the one before does (that one may still grow), no higher than that of any
+pair of its second token and one that begins as the one behind, and below those that its
+contraction can be in. Where no token can reach across, a word falls into parts of their own. The
+pairs of a part's lowest rank are sure from the left on, without overlap, up to the first whose
+contraction can be in a lower one.
+
 Decoding: rows (document, position, id) join the vocabulary; an aggregation in order of the
 positions strings the tokens' bytes together.
 
@@ -35,6 +45,9 @@ from corvid.llm.common import add_columns, fresh, portions, text_portions
 #: Pieces that a task remembers, and new pieces merged at a time.
 KNOWN = 300_000
 NEW_PIECES = 50_000
+#: Bytes from which on a piece is long, and rows that the query of the long ones holds.
+LONG = 48
+STEP_ROWS = 2_000_000
 
 # The scripts' classes for texts below U+0250, where they are small: letters,
 # numbers and white space as the split pattern's classes have them.
@@ -61,6 +74,39 @@ WITH RECURSIVE step(n, w, p, nx, t, t2) AS (
 SELECT w, string_agg(t::VARCHAR, ',' ORDER BY p) AS ids
 FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) GROUP BY w
 """
+LONG_SQL = """
+CREATE OR REPLACE TABLE stepped AS
+WITH RECURSIVE step(n, w, g, p, t) AS (
+  SELECT 0, w, g, p, t FROM pieces
+  UNION ALL
+  (WITH tokens AS (
+     SELECT *, row_number() OVER o AS i, lag(t) OVER o AS t0, lead(t) OVER o AS t2, lead(t, 2) OVER o AS t3
+     FROM step WHERE n < $steps WINDOW o AS (PARTITION BY w, g ORDER BY p)),
+   parts AS (
+     SELECT s.*, max(CASE WHEN x.a IS NULL THEN p END) OVER (PARTITION BY w, g ORDER BY p ROWS UNBOUNDED PRECEDING) AS h
+     FROM tokens s LEFT JOIN across x ON x.a = t0 AND x.b = t),
+   pairs AS (
+     SELECT w, g, h, i, m.r, (e.r IS NULL OR m.r < e.r) AND (v.r IS NULL OR m.r < v.r) AS safe,
+            safe AND (x.r IS NULL OR m.r < x.r) AND (y.r IS NULL OR m.r <= y.r) AS sure
+     FROM parts JOIN merges m ON m.a = t AND m.b = t2
+       LEFT JOIN before x ON x.a = t0 AND x.b = t LEFT JOIN behind y ON y.a = t2 AND y.b = t3
+       LEFT JOIN before e ON e.a = t0 AND e.b = m.r LEFT JOIN behind v ON v.a = m.r AND v.b = t3),
+   lowest AS (
+     SELECT w, g, h, i, r, safe, row_number() OVER (PARTITION BY w, h ORDER BY i) AS k
+     FROM pairs JOIN (SELECT w, h, min(r) AS r FROM pairs GROUP BY w, h) USING (w, h, r)),
+   chosen AS (
+     SELECT w, g, i, r FROM pairs WHERE sure
+     UNION
+     SELECT w, g, i, r FROM (
+       SELECT *, row_number() OVER (PARTITION BY w, h, i - k ORDER BY i) AS place,
+              min(k) FILTER (WHERE NOT safe) OVER (PARTITION BY w, h) AS last FROM lowest)
+     WHERE place % 2 = 1 AND (last IS NULL OR k <= last))
+   SELECT n + 1, s.w, h, p, coalesce(c.r, t)
+   FROM parts s LEFT JOIN chosen c ON c.w = s.w AND c.g = s.g AND c.i = s.i
+     LEFT JOIN chosen d ON d.w = s.w AND d.g = s.g AND d.i = s.i - 1
+   WHERE d.i IS NULL AND (s.w, s.g) IN (SELECT (w, g) FROM chosen)))
+SELECT w, g, n, p, t FROM step JOIN (SELECT w, g, max(n) AS n FROM step GROUP BY w, g) USING (w, g, n)
+"""
 DECODE_SQL = """
 SELECT d, string_agg(s, '') AS s, count(s) AS n
 FROM (SELECT d, p, s FROM tokens LEFT JOIN vocabulary USING (id) ORDER BY d, p) GROUP BY d
@@ -88,6 +134,7 @@ class Codec:
         # a byte is a character of the same number, so tokens are strings that join as bytes do
         self.tables["vocabulary"] = pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
                                               "s": pa.array([t.decode("latin-1") for t in ranks])})
+        self.threats: dict[str, pa.Table] = {}
         self.connection = None
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
@@ -112,11 +159,59 @@ class Codec:
         quick = self.pattern == _GPT_PATTERN and not _BEYOND.search(text)
         return _QUICK.findall(text) if quick else self.exact.findall(text)
 
+    def _threats(self) -> dict[str, pa.Table]:
+        """The lowest rank of the pairs that neighbours ``a`` and ``b`` can become: ``before`` if only
+        ``a`` still grows, ``behind`` if only ``b`` does, ``across`` if both may."""
+        if not self.threats:
+            token, ranks = {r: t for t, r in self.ranks.items()}, self.ranks
+            ends = {r: [ranks[t[i:]] for i in range(len(t)) if t[i:] in ranks] for r, t in token.items()}
+            starts = {r: [ranks[t[:i]] for i in range(1, len(t) + 1) if t[:i] in ranks] for r, t in token.items()}
+            before: dict[tuple[int, int], int] = {}
+            behind: dict[tuple[int, int], int] = {}
+            across: dict[tuple[int, int], int] = {}
+            for r, a, b in sorted(zip(*(self.tables["merges"][c].to_pylist() for c in "rab"))):
+                for end in ends[a]:
+                    before.setdefault((end, b), r)
+                    for start in starts[b]:
+                        across.setdefault((end, start), r)
+                for start in starts[b]:
+                    behind.setdefault((a, start), r)
+            for name, lowest in (("before", before), ("behind", behind), ("across", across)):
+                columns = zip(*((a, b, r) for (a, b), r in lowest.items())) if lowest else [[]] * 3
+                self.threats[name] = pa.table({c: pa.array(x, pa.int32()) for c, x in zip("abr", columns)})
+        return self.threats
+
+    def _merge_long(self, pieces: list[bytes]) -> dict[int, str]:
+        """Ids of ``pieces`` by number."""
+        for name, table in self._threats().items():
+            self.duck.register("given", table)
+            self.duck.execute(f"CREATE TABLE IF NOT EXISTS {name} AS SELECT * FROM given")
+        token = self.byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        word = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(b) for b in pieces])
+        self.duck.register("given", pa.table({"w": word, "p": np.arange(len(token), dtype=np.int64), "t": token}))
+        self.duck.execute("CREATE OR REPLACE TABLE pieces AS SELECT w, min(p) OVER (PARTITION BY w) AS g, p, t FROM given")
+        self.duck.execute("CREATE OR REPLACE TABLE ended (w INT, p BIGINT, t INT)")
+        self.duck.unregister("given")
+        rows = len(token)
+        while rows:
+            steps = max(1, STEP_ROWS // rows - 1)
+            self.duck.execute(LONG_SQL, {"steps": steps})
+            self.duck.execute("INSERT INTO ended SELECT w, p, t FROM stepped WHERE n < $steps", {"steps": steps})
+            rows = self.duck.execute("CREATE OR REPLACE TABLE pieces AS SELECT w, g, p, t FROM stepped "
+                                     "WHERE n = $steps", {"steps": steps}).fetchone()[0]
+        out = self.duck.execute("SELECT w, string_agg(t::VARCHAR, ',' ORDER BY p) FROM ended GROUP BY w").fetchall()
+        self.duck.execute("DROP TABLE pieces; DROP TABLE stepped; DROP TABLE ended")
+        return dict(out)
+
     def _merge(self, pieces: list[str]) -> None:
         """Learn the ids of ``pieces``."""
         raw = [p.encode() for p in pieces]
-        long = [i for i, b in enumerate(raw) if b not in self.ranks]
         self.known.update((p, str(self.ranks[b])) for p, b in zip(pieces, raw) if b in self.ranks)
+        longest = [i for i, b in enumerate(raw) if b not in self.ranks and len(b) > LONG]
+        if longest:
+            for i, ids in self._merge_long([raw[i] for i in longest]).items():
+                self.known[pieces[longest[i]]] = ids
+        long = [i for i, b in enumerate(raw) if b not in self.ranks and len(b) <= LONG]
         if not long:
             return
         length = np.array([len(raw[i]) for i in long])

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -47,6 +48,35 @@ def test_long_pieces(codec, library):
     assert codec.encode(texts) == [",".join(map(str, library.encode_ordinary(t))) for t in texts]
 
 
+@pytest.mark.parametrize("kind", ["letters", "signs", "spaces", "words", "one"])
+def test_pieces_of_200_000_bytes(codec, library, kind):
+    draw = random.Random(7)
+    text = {"letters": "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)),
+            "signs": "".join(draw.choices("=-*/.,;:!?", k=200_000)), "spaces": " " * 200_000 + "x",
+            "words": "".join(draw.choices(["the", "inter", "nation", "al", "ing", "über", "ß"], k=50_000))[:200_000],
+            "one": "=" * 200_000}[kind]
+    # the library's split has a limit of its own on runs of white space
+    pieces = codec.split(text)
+    want = [i for p in pieces for i in library._encode_single_piece(p)]
+    assert max(map(len, pieces)) > 150_000
+    assert codec.encode([text]) == [",".join(map(str, want))]
+
+
+def test_long_pieces_of_odd_merges(library):
+    """Small vocabularies of drawn tokens, whose pairs can have lower ranks than their tokens."""
+    draw = random.Random(3)
+    for _ in range(60):
+        tokens = {bytes([i]): i for i in range(256)}
+        drawn = list({bytes(draw.choices(b"abc", k=draw.randint(2, 5))) for _ in range(40)})
+        draw.shuffle(drawn)
+        tokens |= {t: 256 + i for i, t in enumerate(drawn)}
+        small = "\n".join(f"{base64.b64encode(t).decode()} {r}" for t, r in tokens.items()).encode()
+        own, other = bpe.Codec(small, PATTERN), tiktoken.Encoding("odd", pat_str=PATTERN, mergeable_ranks=tokens,
+                                                                  special_tokens={})
+        texts = ["".join(draw.choices("abc", k=k)) for k in (49, 50, 70, 90)]
+        assert own.encode(texts) == [",".join(map(str, other.encode_ordinary(t))) for t in texts]
+
+
 def test_odd_rows_and_decode(spark, odd, empty):
     out = bpe.encode(odd, PATH, PATTERN)
     back = bpe.decode(out, PATH, PATTERN)
