@@ -49,14 +49,14 @@ def line_fault(line: str, words: list[str], may: tuple[bool, bool, bool] = (True
     n = len(words)
     if not n:
         return None
-    bars = sum(map(line.count, _BARS)) if may[0] else 0
+    bars = sum(map(line.count, _BARS)) + words.count("/") + words.count("::") if may[0] else 0
     if bars >= 2 and bars + sum(w in _SEPARATOR for w in words) >= 0.5 * n:
         return "navigation"
     if n <= 8 and all(w.strip(".,:;!|").lower() in MENU for w in words):
         return "navigation"
     if may[1] and n >= 2 and len(_MARKED.findall(line)) >= 0.3 * n:
         return "punctuation"
-    if n >= 4 and (bars or may[1] or n <= 8) and sum(map(str.isalnum, line)) < 0.5 * sum(map(len, words)):
+    if n >= 4 and sum(map(str.isalnum, line)) < 0.5 * sum(map(len, words)):
         return "punctuation"
     if n >= 6 and line.isupper() and line.count("!") >= 0.3 * n:
         return "punctuation"
@@ -70,7 +70,7 @@ def line_fault(line: str, words: list[str], may: tuple[bool, bool, bool] = (True
 def clean_text(text: str) -> tuple[str, int, int, dict[str, int]]:
     """(text without failed lines, words before, words removed, failed lines per rule)."""
     lowered = text.lower()
-    may = (any(bar in text for bar in _BARS), _MARKED.search(text) is not None,
+    may = (any(bar in text for bar in (*_BARS, "/", "::")), _MARKED.search(text) is not None,
            any(phrase in lowered for phrase in BOILERPLATE))
     kept, total, lost, faults = [], 0, 0, {}
     for line in text.split("\n"):

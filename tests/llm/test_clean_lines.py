@@ -54,6 +54,20 @@ def test_rules():
     assert cleaned == "A line that stays.\n\nThe end." and (words, lost, faults) == (13, 7, {"navigation": 1})
 
 
+@pytest.mark.parametrize("line, rule", [
+    ("a + - ? ; @ ( ) [ b", "punctuation"), ("+ - ? ; @ ( ) [ ] , . : '", "punctuation"),
+    ("Home / Shop / Men / Shoes", "navigation"), ("Home :: Forum :: Topic", "navigation"),
+    ("Home / Shop :: Men", "navigation"), ("Home > Shop / Men", "navigation")])
+def test_lines_are_judged_by_themselves(line, rule):
+    plain = "A plain line that stays, with nothing else in it."
+    for other in (plain, plain + "\nWow!! Some | marks << here, in an unrelated line."):
+        for text in (line, f"{line}\n{other}", f"{other}\n{line}"):
+            cleaned, _, lost, faults = c.clean_text(text)
+            assert faults == {rule: 1} and lost == len(line.split()) and line not in cleaned.split("\n")
+    for kept in ("either this and/or that / these, as in std::vector", "a plain line :: of two parts of many words"):
+        assert c.clean_text(kept)[0] == kept
+
+
 def test_verdicts_follow_the_labels(documents, labels):
     got = c.judge(documents).join(labels, "doc_id").toPandas()
     good, bad = got[got.quality == 1], got[got.quality == 0]
