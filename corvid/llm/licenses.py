@@ -7,6 +7,9 @@ a template that share ``GRAM + WINDOW - 1`` words in a row share a fingerprint.
 fingerprint names a template and a diagonal (place in the text less place in the template);
 diagonals within a band of each other are aligned once, at most a band off the diagonal. The
 band is a quarter of the template's words, ``BAND`` at most.
+Candidates that can't have enough words within their band are passed over first.
+A match must have the template's ``MARKS`` (names and versions that tell licenses apart) in their
+order and no others; of a full text, those of its title.
 A match reports the share of the template's words that are aligned (``coverage``) and the span from
 the first to the last of them; it counts from ``MIN_COVERAGE``. Of matches that overlap the
 one with the most aligned words stays.
@@ -18,6 +21,7 @@ Ties go to the earlier start, then the template that comes first by name.
 from __future__ import annotations
 
 from bisect import bisect_left
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +59,40 @@ TEMPLATES = {
     "unlicense-notice": "This is free and unencumbered software released into the public domain.",
 }
 
+_GNU = ("This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+        "License as published by the Free Software Foundation")
+_CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+TEMPLATES |= {
+    "cc-by-4.0-short": "Licensed under CC BY 4.0.",
+    "cc-by-nc-4.0-line": _CC.format("-NonCommercial"),
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-nc-nd-4.0-line": _CC.format("-NonCommercial-NoDerivatives"),
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-sa-4.0-line": _CC.format("-NonCommercial-ShareAlike"),
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nd-4.0-line": _CC.format("-NoDerivatives"),
+    "cc-by-sa-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "epl-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                      "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-notice-library": _GNU.format("library", ""),
+    "agpl-3.0-library": _GNU.format("library", "Affero "),
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "lgpl-notice": _GNU.format("library", "Lesser "),
+    "lgpl-notice-program": _GNU.format("program", "Lesser "),
+    "lgpl-2.0-notice": _GNU.format("library", "Library "),
+}
+# full texts, as files of their names
+TEMPLATES |= {f"{path.stem}-text": path.read_text() for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+#: Words that tell licenses apart, besides numbers; words from which on a template is
+#: a full text, and those of its title.
+MARKS = frozenset("affero lesser library noncommercial nc sharealike sa noderivatives noderivs nd eclipse mozilla "
+                  "apache".split())
+FULL, TITLE = 100, 12
+
 _CLASSES = np.zeros(256, dtype=np.uint8)
 _CLASSES[128:] = 1
 _CLASSES[[*range(48, 58), *range(97, 123)]] = 1
@@ -79,6 +117,37 @@ def band(template: np.ndarray) -> int:
     return max(1, min(BAND, len(template) // 4))
 
 
+def _hashes(words) -> np.ndarray:
+    return np.array([tokenise([w], _CLASSES).hash[0] for w in words], dtype=np.uint64)
+
+
+_MARKS = np.concatenate([_hashes(sorted(MARKS)), _hashes(map(str, range(100)))])
+_NAMES = _MARKS[:len(MARKS)]
+
+
+def marks(words: np.ndarray, of: np.ndarray = _MARKS) -> list[int]:
+    return words[np.isin(words, of)].tolist()
+
+
+def same_marks(template: np.ndarray, matched: np.ndarray) -> bool:
+    """Whether ``matched``, the span of a match, has the marks of its template."""
+    if len(template) < FULL:
+        return marks(template) == marks(matched)
+    left = iter(marks(matched[: 2 * TITLE]))
+    return (all(m in left for m in marks(template[:TITLE]))
+            and set(marks(template[: 2 * TITLE], _NAMES)) == set(marks(matched[: 2 * TITLE], _NAMES)))
+
+
+def within_band(template: np.ndarray, text: np.ndarray, diagonal: int) -> int:
+    """Template words that the text has at most a band off the diagonal: no alignment has more."""
+    off, found = band(template), np.zeros(len(template), dtype=bool)
+    for shift in range(diagonal - off, diagonal + off + 1):
+        lo, hi = max(0, -shift), min(len(template), len(text) - shift)
+        if lo < hi:
+            found[lo:hi] |= template[lo:hi] == text[lo + shift: hi + shift]
+    return int(found.sum())
+
+
 class Index:
     """Inverted index: sorted fingerprints with the template and place of each."""
 
@@ -97,7 +166,9 @@ class Index:
 
     def hits(self, grams: np.ndarray) -> list[tuple[int, int]]:
         """(template, diagonal) pairs of a text's grams; diagonals closer than the band are one."""
-        known = np.isin(grams, self.keys)
+        if not len(grams) or not len(self.keys):
+            return []
+        known = self.keys[np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)] == grams
         if not known.any():
             return []
         chosen = fingerprints(grams)
@@ -142,8 +213,10 @@ def scan(words: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
     found = []
     for number, diagonal in index.hits(windows(words, GRAM)):
         template = index.words[number]
+        if len(words) < MIN_COVERAGE * len(template) or within_band(template, words, diagonal) < MIN_COVERAGE * len(template):
+            continue
         aligned, first, last = align(template, words, diagonal)
-        if aligned >= MIN_COVERAGE * len(template):
+        if aligned >= MIN_COVERAGE * len(template) and same_marks(template, words[first: last + 1]):
             found.append((-aligned, first, index.names[number], last, aligned / len(template)))
     out: list[tuple[str, int, int, float]] = []  # disjoint, in text order
     for _, first, name, last, coverage in sorted(found):
@@ -176,13 +249,25 @@ def _matches(texts: list[str], index: Index) -> list[list[tuple[str, int, int, f
     return out
 
 
+_INDEXES: dict[tuple, Index] = {}
+
+
+def _index(templates: dict[str, str]) -> Index:
+    """This worker's index of ``templates``."""
+    key = tuple(sorted(templates.items()))
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = Index(templates)
+    return _INDEXES[key]
+
+
 def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_licenses``, ``licenses`` (names, by first appearance) and ``spans``
     (name:start:end:coverage in percent, joined by commas)."""
     at = docs.columns.index(text_col)
 
     def found(batch):
-        index = Index(templates)
+        index = _index(templates)
         rows = [r for texts in text_portions(batch.column(at)) for r in _matches(texts, index)]
         names = [list(dict.fromkeys(m[0] for m in r)) for r in rows]
         spans = [",".join(f"{n}:{a}:{b}:{int(100 * c)}" for n, a, b, c in r) for r in rows]
