@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.llm import bpe, importance, jaccard, line_dedup, mixing
-from corvid.llm.common import materialise
+from corvid.llm.common import WORD_CLASS, materialise
 from corvid.sources.tables import load
 
 #: SQL can express neither the sampled stages nor the tokens; tests compare brute force.
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one holds; those that lose all text go."""
     out = line_dedup.dedup_lines(docs)
-    return _counted(out.where("n_dropped = 0 OR trim(text) <> ''").select(*docs.columns))
+    return _counted(out.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD_CLASS)).select(*docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
