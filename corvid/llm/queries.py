@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import (bpe, clean_lines, importance, jaccard, lattice, licenses, line_dedup, mixing, pii,
-                        secrets)
+from corvid.llm import (bpe, clean_lines, divergence, importance, jaccard, lattice, licenses, line_dedup, mixing,
+                        pii, secrets, spelling, token_counts)
 from corvid.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,64 @@ def op9_pii(spark, sf_dir):
 def op10_mixing(spark, sf_dir):
     """Target of every document's source and the words that the mix takes of it."""
     return mixing.mix_report(load(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@_query
+def op11_spelling(spark, sf_dir):
+    """Words with their near words, form and root."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.vocabulary(docs))
+
+
+@_query
+def op12_token_counts(spark, sf_dir):
+    """Bytes and tokens of every document, and whether these are over the limit."""
+    import public_tokenizers
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
+
+
+@_query
+def op13_source_divergence(spark, sf_dir):
+    """Distances of the sources of every language, and the terms that tell each source."""
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents),
+found AS (
+  SELECT d, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs),
+kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n
+  FROM groups g LEFT JOIN held h ON g.lang = h.lang AND g.source = h.source GROUP BY ALL),
+figures AS (
+  SELECT t.lang, t.source, k.term, coalesce(h.c, 0) AS c,
+         1 + (1000000000 * (coalesce(h.c, 0) + 5)) // (t.n + 5 * s.v) AS p
+  FROM totals t JOIN sizes s USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN held h ON h.lang = t.lang AND h.source = t.source AND h.term = k.term),
+langs AS (
+  SELECT k.lang, k.term, 1 + (1000000000 * (sum(c) + 5)) // (any_value(a.n) + 5 * any_value(s.v)) AS q
+  FROM kept k JOIN held USING (lang, term) JOIN sizes s USING (lang)
+  JOIN (SELECT lang, sum(n) AS n FROM totals GROUP BY lang) a USING (lang) GROUP BY k.lang, k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN figures x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN figures y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM figures JOIN langs USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, r::INT AS rank FROM ranked WHERE part = 'pair' OR r <= 50
+"""
