@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvid.operators.windows import dense_index, running
 from corvid.session import materialise
@@ -44,27 +48,36 @@ def hash_bucket(key: Column | str, buckets: int = 100) -> Column:
 
 def hash_split(df: DataFrame, key: str, weights: list[float]) -> list[DataFrame]:
     """Deterministic split by key hash into parts proportional to ``weights``."""
-    total, steps = sum(weights), 1 << 32  # all values of the hash
+    total = sum(weights)
     bounds, acc = [], 0.0
     for w in weights:
-        lo = round(acc / total * steps)
+        lo = round(acc / total * STEPS)
         acc += w
-        bounds.append((lo, round(acc / total * steps)))
-    b = hash_bucket(key, steps)
+        bounds.append((lo, round(acc / total * STEPS)))
+    b = hash_bucket(key, STEPS)
     return [df.where((b >= lo) & (b < hi)) for lo, hi in bounds]
 
 
-def row_hash(id_cols: list[str], buckets: int = 10000) -> Column:
+#: Values of the 32-bit hash that samples compare.
+STEPS = 1 << 32
+
+
+def row_hash(id_cols: list[str], buckets: int = STEPS) -> Column:
     """Stable pseudo-random bucket of a row from its identifying columns (md5 based)."""
     return hash_bucket(F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols]), buckets)
 
 
 def hash_sample_by_key(df: DataFrame, key: str, fractions: dict, id_cols: list[str]) -> DataFrame:
-    """Deterministic stratified sample: a row of stratum ``k`` is kept when its row hash
-    falls below ``fractions[k]``; repeatable across runs, engines and executor losses."""
+    """Deterministic stratified sample: a row of stratum ``k`` is kept when its row hash, one of
+    ``STEPS``, falls below that share of them; repeatable across runs, engines and executor losses.
+    A fraction is at least ``2 ** -20`` (the hash then errs by less than one row in 4,096 of those
+    kept), or 0."""
+    for k, v in fractions.items():
+        if not (v == 0 or 2.0 ** -20 <= v <= 1):
+            raise ValueError(f"fraction of {k!r} is {v}: take 0, or 2**-20 to 1")
     frac = F.coalesce(F.create_map(*[x for k, v in fractions.items() for x in (F.lit(k), F.lit(float(v)))])[F.col(key)],
                       F.lit(0.0))
-    return df.where(row_hash(id_cols) < frac * 10000)
+    return df.where(row_hash(id_cols) < frac * STEPS)
 
 
 def hash_sample_n(df: DataFrame, n: int, id_cols: list[str]) -> DataFrame:
@@ -93,33 +106,98 @@ def sample_n_with_replacement(df: DataFrame, n: int, total: int, seed: int = 42)
             .select(*df.columns))
 
 
-def _poisson_steps(fraction: float) -> list[float]:
+#: Beyond this mean a Poisson draw is the sum of draws of equal smaller means, each exact to doubles.
+POISSON_MEAN = 200.0
+
+
+def _poisson_steps(mean: float) -> list[float]:
     """Distribution function of a Poisson variable at 0, 1, ... until it reaches 1 in doubles."""
-    steps, term, i = [], math.exp(-fraction), 0
+    steps, term, i = [], math.exp(-mean), 0
     total = term
-    while total < 1.0 and (i < fraction or term > 1e-18):
+    while total < 1.0 and (i < mean or term > 1e-18):
         steps.append(total)
         i += 1
-        term *= fraction / i
+        term *= mean / i
         total += term
     return steps
 
 
 def sample_by_key(df: DataFrame, key: str, fractions: dict, seed: int = 6, with_replacement: bool = False) -> DataFrame:
     """Stratified sample (``sampleByKey``). With replacement every row of stratum ``k`` is
-    repeated a Poisson(fraction_k) number of times: one seeded uniform per row, stored in a
-    column of its own, is looked up in the stratum's distribution function. Fractions up to
-    about 700 are exact to doubles."""
+    repeated a Poisson(fraction_k) number of times: seeded uniforms, stored in columns of their
+    own, are looked up in the stratum's distribution function. A mean above ``POISSON_MEAN`` is cut
+    into equal parts, one uniform each, whose draws add up to the same distribution; means above
+    ``64 * POISSON_MEAN`` are refused."""
+    for k, f in fractions.items():
+        if not 0 <= f <= (64 * POISSON_MEAN if with_replacement else 1):
+            raise ValueError(f"fraction of {k!r} is {f}, out of range")
     if not with_replacement:
         return df.sampleBy(key, fractions, seed)
+    parts = {k: max(1, math.ceil(f / POISSON_MEAN)) for k, f in fractions.items()}
+    if not parts:
+        return df.limit(0)
     steps = F.create_map(*[x for k, f in fractions.items() for x in
-                           (F.lit(k), F.array(*[F.lit(c) for c in _poisson_steps(float(f))]).cast("array<double>"))])
-    drawn = df.withColumn("_u", F.rand(seed)).withColumn("_steps", steps[F.col(key)])
-    drawn = drawn.withColumn("_reps", F.size(F.filter("_steps", lambda c: F.col("_u") >= c)))
+                           (F.lit(k), F.array(*[F.lit(c) for c in _poisson_steps(f / parts[k])]).cast("array<double>"))])
+    drawn = df.withColumns({f"_u{i}": F.rand(seed + i) for i in range(max(parts.values()))})
+    drawn = drawn.withColumn("_steps", steps[F.col(key)])
+    drawn = drawn.withColumn("_parts", F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])[F.col(key)])
+
+    def draw(i: int) -> Column:
+        u = F.col(f"_u{i}")
+        return F.when(F.col("_parts") > i, F.size(F.filter("_steps", lambda c: u >= c))).otherwise(0)
+
+    draws = [draw(i) for i in range(max(parts.values()))]
+    drawn = drawn.withColumn("_reps", F.when(F.col("_parts").isNotNull(), reduce(lambda a, b: a + b, draws)))
     return (drawn.where("_reps > 0").withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
             .select(*df.columns))
 
 
+def laid_out(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` partitions of a known layout: a row lies in partition ``key mod n`` (``repartitionById``),
+    so what a partition holds is a matter of the data, not of the scheduler."""
+    return df.repartitionById(n, F.pmod(F.col(key), F.lit(n)).cast("int"))
+
+
+def contents(df: DataFrame, col: str, max_items: int = 10_000) -> DataFrame:
+    """``glom``: what every physical partition of ``df`` holds, in its order, as arrays ``values`` of at
+    most ``max_items`` elements (``partition``, ``chunk``). One pass over each partition, a batch of
+    rows at a time: no shuffle, and no array or task holds a partition whole."""
+    schema = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("chunk", T.LongType()),
+                           T.StructField("values", T.ArrayType(df.schema[col].dataType))])
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, chunk = TaskContext.get().partitionId(), None, 0
+
+        def row(values):
+            lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            return pa.RecordBatch.from_arrays([pa.array([here], pa.int32()), pa.array([chunk], pa.int64()), lists],
+                                              names=schema.names)
+
+        for batch in batches:
+            new = batch.column(0)
+            held = new if held is None else pa.concat_arrays([held, new])
+            while len(held) >= max_items:
+                yield row(held.slice(0, max_items))
+                held, chunk = held.slice(max_items), chunk + 1
+        if held is not None and len(held):
+            yield row(held)
+
+    return df.select(col).mapInArrow(chunks, schema)
+
+
+def shares(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, rows ``n`` and ``share`` of all rows. The key columns are kept (memory, then executor
+    disk) while the total and the groups are counted, and given back before this returns; lost
+    partitions are read again. The groups' counts, small beside the rows, are stored."""
+    kept = df.select(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = kept.count()
+        counts = materialise(kept.groupBy(*keys).agg(F.count("*").alias("n")), "shares")
+    finally:
+        kept.unpersist(blocking=True)
+    return counts.withColumn("share", F.round(F.col("n") / F.lit(total), 6))
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per physical partition (``glom().map(len)``, ``getNumPartitions``)."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from corvid.operators import partition as par
+from corvid.operators import pipe
 from corvid.plans.registry import query
 from corvid.session import ensure_checkpoint_dir
 from corvid.sources.tables import Tables
@@ -42,7 +43,7 @@ _ROW_HASH = "(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_l
 
 @query("par_sample_by_key_hash", sql=f"""
     SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
-    WHERE {_ROW_HASH} % 10000 < CASE l_returnflag WHEN 'A' THEN 0.1 WHEN 'N' THEN 0.05 WHEN 'R' THEN 0.2 ELSE 0 END * 10000""")
+    WHERE {_ROW_HASH} < CASE l_returnflag WHEN 'A' THEN 0.1 WHEN 'N' THEN 0.05 WHEN 'R' THEN 0.2 ELSE 0 END * 4294967296""")
 def par_sample_by_key_hash(spark, d):
     li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
     return par.hash_sample_by_key(li, "l_returnflag", {"A": 0.1, "N": 0.05, "R": 0.2}, ["l_orderkey", "l_linenumber"])
@@ -83,15 +84,29 @@ def par_sort_within(spark, d):
         .select("o_orderkey", "partition", F.col("pos").cast("bigint").alias("pos"))
 
 
-@query("par_count")
+@query("par_count", sql="SELECT 6 AS n_partitions, count(*) AS n_rows FROM lineitem")
 def par_count(spark, d):
-    li = par.at_least(Tables(spark, d).lineitem, 6)
-    return par.partition_sizes(li).agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_rows"))
+    """Partitions of a known layout (``repartitionById``), and the rows in them."""
+    laid = par.laid_out(Tables(spark, d).lineitem.select("l_orderkey"), "l_orderkey", 6)
+    return laid.select(F.lit(laid.rdd.getNumPartitions()).alias("n_partitions")).groupBy("n_partitions").agg(
+        F.count("*").alias("n_rows"))
 
 
-@query("par_glom")
+@query("par_sizes", sql="""
+    SELECT CAST(o_orderkey % 16 AS INTEGER) AS partition, count(*) AS n FROM orders GROUP BY 1""")
+def par_sizes(spark, d):
+    return par.partition_sizes(par.laid_out(Tables(spark, d).orders, "o_orderkey", 16))
+
+
+@query("par_glom", sql="""
+    SELECT partition, chunk, array_agg(o_orderkey ORDER BY o_orderkey) AS "values" FROM (
+      SELECT CAST(o_orderkey % 16 AS INTEGER) AS partition, o_orderkey,
+             CAST((row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) - 1) // 500 AS BIGINT) AS chunk
+      FROM orders) GROUP BY partition, chunk""")
 def par_glom(spark, d):
-    return par.partition_sizes(par.at_least(Tables(spark, d).orders, 3))
+    """What each physical partition holds, as arrays of at most 500 elements in its own order."""
+    laid = par.laid_out(Tables(spark, d).orders.select("o_orderkey"), "o_orderkey", 16)
+    return par.contents(laid.sortWithinPartitions("o_orderkey"), "o_orderkey", max_items=500)
 
 
 @query("par_map_partitions", sql="SELECT count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem")
@@ -102,14 +117,26 @@ def par_map_partitions(spark, d):
 
 @query("par_pipe", sql="SELECT count(*) AS n_lines FROM documents")
 def par_pipe(spark, d):
-    sizes = par.partition_sizes(par.at_least(Tables(spark, d).documents.select("doc_id"), 4))
-    return sizes.agg(F.sum("n").alias("n_lines"))
+    """Every partition of the documents through ``wc -l``; the counts of all partitions added up."""
+    docs = par.at_least(Tables(spark, d).documents, 4)
+    lines = pipe.pipe(docs, ["wc", "-l"], cols=["doc_id", "text"])
+    return lines.agg(F.sum(F.trim("line").cast("bigint")).alias("n_lines"))
+
+
+@query("par_pipe_text", sql=r"""
+    SELECT doc_id, regexp_replace(text, '[0-9]+', '<\0>', 'g') AS marked FROM documents""")
+def par_pipe_text(spark, d):
+    """Whole texts through a line editor that marks their numbers."""
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    return pipe.pipe_column(docs, ["sed", "s/[0-9][0-9]*/<&>/g"], "text", "marked").select("doc_id", "marked")
 
 
-@query("par_cache", sql="SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
+@query("par_cache", sql="""
+    SELECT l_returnflag, count(*) AS n, round(count(*) / (SELECT count(*) FROM lineitem), 6) AS share
+    FROM lineitem GROUP BY 1""")
 def par_cache(spark, d):
-    li = Tables(spark, d).lineitem.select("l_returnflag").cache()
-    return li.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    """Lines read once, kept, and used for the total and for the groups; then given back."""
+    return par.shares(Tables(spark, d).lineitem, ["l_returnflag"])
 
 
 @query("par_checkpoint", sql="SELECT l_linestatus, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1")
