@@ -11,21 +11,23 @@ from pyspark.sql import functions as F
 from corvid.operators import windows
 from corvid.plans.registry import query
 from corvid.session import scratch_path
-from corvid.sources.documents import nested_orders
+from corvid.sources.documents import nested_orders, order_headers
 from corvid.sources.tables import Tables
-from corvid.streaming import run, sinks, sources
+from corvid.streaming import progress, rows, run, sinks, sources, spans
 from corvid.streaming import transforms as st
+from corvid.streaming.sessions import stream_session
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 ORDER_SCHEMA = ("o_orderkey BIGINT, block BIGINT, o_custkey BIGINT, nation STRING, o_totalprice DOUBLE, "
                 "lines ARRAY<STRUCT<l_partkey: BIGINT, l_quantity: DOUBLE, l_extendedprice: DOUBLE, charged: DOUBLE>>")
+HEADER_SCHEMA = "o_orderkey BIGINT, block BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
 WM = "(SELECT max(ts) FROM events)"
 
 
 def _events_stream(spark, d, name, n_files=4, fmt="parquet", extra=None):
     e = Tables(spark, d).events
     path = sources.replay_files(e, scratch_path(spark, name), "ts", n_files, fmt=fmt, extra=extra)
-    s = sources.file_stream(spark, path, fmt, EVENTS_SCHEMA, max_files_per_trigger=1)
+    s = sources.file_stream(stream_session(spark), path, fmt, EVENTS_SCHEMA, max_files_per_trigger=1)
     return st.event_time(s, "ts")
 
 
@@ -38,23 +40,23 @@ def str_file(spark, d):
 @query("str_file_csv", sql="SELECT event_id, event_type, value FROM events")
 def str_file_csv(spark, d):
     s = _events_stream(spark, d, "str-file-csv", fmt="csv")
-    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-csv-out", kind="stateless")
+    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-csv-out")
 
 
 @query("str_file_orc", sql="SELECT event_id, event_type, value FROM events")
 def str_file_orc(spark, d):
     s = _events_stream(spark, d, "str-file-orc", fmt="orc")
-    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-orc-out", kind="stateless")
+    return run.run_to_table(spark, s.select("event_id", "event_type", "value"), "append", "str-file-orc-out")
 
 
 @query("str_file_text", sql="SELECT event_id, event_type FROM events")
 def str_file_text(spark, d):
     lines = Tables(spark, d).events.select("ts", F.concat_ws(" ", "event_id", "event_type").alias("value"))
     path = sources.replay_files(lines, scratch_path(spark, "str-file-text"), "ts", 4, fmt="text", columns=["value"])
-    s = sources.file_stream(spark, path, "text", "value STRING", max_files_per_trigger=1)
+    s = sources.file_stream(stream_session(spark), path, "text", "value STRING", max_files_per_trigger=1)
     fields = F.split("value", " ", 2)
     out = s.select(F.get(fields, 0).try_cast("bigint").alias("event_id"), F.get(fields, 1).alias("event_type"))
-    return run.run_to_table(spark, out, "append", "str-file-text-out", kind="stateless")
+    return run.run_to_table(spark, out, "append", "str-file-text-out")
 
 
 @query("str_filter", sql="SELECT event_id, user_id, value FROM events WHERE event_type = 'error' AND value > 10")
@@ -74,10 +76,11 @@ def str_count(spark, d):
     SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')) AS word
     FROM conversations) WHERE word <> '' GROUP BY word""")
 def str_wordcount(spark, d):
+    """Counts of an open vocabulary in update mode: a batch changes the rows of its own words."""
     c = Tables(spark, d).conversations.select(F.col("conv_id").alias("ord"), F.col("text").alias("value"))
     path = sources.replay_files(c, scratch_path(spark, "str-wc"), "ord", 3, fmt="parquet")
-    lines = sources.file_stream(spark, path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
-    return run.run_to_table(spark, st.word_counts(lines, "value"), "complete", "str-wc-out")
+    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
+    return run.run_to_table(spark, st.word_counts(lines, "value"), "update", "str-wc-out", keys=["word"])
 
 
 @query("str_tumbling", sql=f"""
@@ -185,15 +188,12 @@ def str_window_avg(spark, d):
     SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
            event_type, round(sum(value), 2) AS total FROM events GROUP BY ALL""")
 def str_window_sum(spark, d):
-    """Update mode: every batch emits the windows it changed into its own folder; the final
-    table is the newest row per (window, key)."""
+    """Update mode: every batch emits the windows it changed; the table keeps the newest row per
+    (window, key)."""
     s = _events_stream(spark, d, "str-sum")
     agg = (s.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day").alias("window"), "event_type")
            .agg(F.sum("value").alias("total")))
-    base = scratch_path(spark, "str-sum-out")
-    q = run.start(agg, "update", f"{base}/_checkpoint", foreach_batch=sinks.batch_folders(f"{base}/out"))
-    run.await_done(q)
-    latest = sinks.read_latest(spark, f"{base}/out", ["window", "event_type"])
+    latest = run.run_to_table(spark, agg, "update", "str-sum-out", keys=["window", "event_type"])
     return st.window_bounds(latest).select("window_start", "window_end", "event_type",
                                            F.round("total", 2).alias("total"))
 
@@ -222,9 +222,10 @@ def str_avg_of_avg(spark, d):
 def str_join_windows(spark, d):
     e = Tables(spark, d).events
     path = sources.replay_files(e, scratch_path(spark, "str-join"), "ts", 4)
+    own = stream_session(spark)
 
     def side(kind):
-        s = st.event_time(sources.file_stream(spark, path, "parquet", EVENTS_SCHEMA, max_files_per_trigger=1), "ts")
+        s = st.event_time(sources.file_stream(own, path, "parquet", EVENTS_SCHEMA, max_files_per_trigger=1), "ts")
         return s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
 
     clicks = side("click").groupBy(F.window("ts", "1 day").alias("window")).agg(F.count("*").alias("clicks"))
@@ -233,20 +234,32 @@ def str_join_windows(spark, d):
     return out.select("window_start", "window_end", "clicks", F.round("purchases", 2).alias("purchases"))
 
 
+def _records(orders, name, spark):
+    """A stream of key/value records of ``orders`` (JSON), in order of date."""
+    value = F.to_json(F.struct(*[c for c in orders.columns if c != "o_orderdate"]))
+    records = orders.select(F.col("o_orderkey").cast("string").cast("binary").alias("key"),
+                            value.cast("binary").alias("value"), F.col("o_orderdate").cast("timestamp").alias("timestamp"))
+    path = sources.replay_files(records, scratch_path(spark, name), "timestamp", 3)
+    return sources.file_stream(stream_session(spark), path, "parquet", "key BINARY, value BINARY, timestamp TIMESTAMP",
+                               max_files_per_trigger=1)
+
+
 def _order_records(spark, d, name):
+    """Records of whole orders with their lines, in blocks."""
     t = Tables(spark, d)
     docs = nested_orders(t.orders, t.lineitem).join(
         t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"), "left").join(
         t.nation.select("n_nationkey", F.col("n_name").alias("nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     lines = F.transform("items", lambda i: F.struct(i["l_partkey"], i["l_quantity"], i["l_extendedprice"],
                                                     (i["l_extendedprice"] * (1 - i["l_discount"])).alias("charged")))
-    order = F.struct("o_orderkey", "block", "o_custkey", "nation", "o_totalprice", lines.alias("lines"))
-    records = docs.select(F.col("o_orderkey").cast("string").cast("binary").alias("key"),
-                          F.to_json(order).cast("binary").alias("value"),
-                          F.col("o_orderdate").cast("timestamp").alias("timestamp"))
-    path = sources.replay_files(records, scratch_path(spark, name), "timestamp", 3)
-    return sources.file_stream(spark, path, "parquet", "key BINARY, value BINARY, timestamp TIMESTAMP",
-                               max_files_per_trigger=1)
+    orders = docs.select("o_orderkey", "block", "o_custkey", "nation", "o_totalprice", lines.alias("lines"), "o_orderdate")
+    return _records(orders, name, spark)
+
+
+def _header_records(spark, d, name):
+    """Records of the orders' own fields, for queries that don't look into the lines."""
+    orders = order_headers(Tables(spark, d).orders).withColumn("block", F.lit(0))
+    return _records(orders.select("o_orderkey", "block", "o_custkey", "o_totalprice", "o_orderdate"), name, spark)
 
 
 @query("str_invoices", sql="""
@@ -263,7 +276,7 @@ def str_invoices(spark, d):
     SELECT CAST(o_orderkey AS VARCHAR) AS key, o_custkey AS customer, o_totalprice AS spent,
            o_totalprice * 0.2 AS points FROM orders""")
 def str_loyalty(spark, d):
-    rec = st.reward_records(_order_records(spark, d, "str-loyalty"), ORDER_SCHEMA)
+    rec = st.reward_records(_header_records(spark, d, "str-loyalty"), HEADER_SCHEMA)
     out = run.run_to_table(spark, rec, "append", "str-loyalty-out")
     v = F.from_json("value", "customer BIGINT, spent DOUBLE, points DOUBLE")
     return out.select("key", v.alias("v")).select("key", "v.*")
@@ -274,11 +287,12 @@ def str_loyalty(spark, d):
       SELECT unnest(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')) AS word FROM conversations)
     WHERE word <> '' GROUP BY word""")
 def str_encode(spark, d):
+    """Word counts as key/value records, the newest per key in an upsert table."""
     c = Tables(spark, d).conversations.select(F.col("conv_id").alias("ord"), F.col("text").alias("value"))
     path = sources.replay_files(c, scratch_path(spark, "str-enc"), "ord", 2)
-    lines = sources.file_stream(spark, path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
+    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
     enc = sinks.encode_record(st.word_counts(lines, "value"), "word", value="n")
-    return run.run_to_table(spark, enc, "complete", "str-enc-out")
+    return run.run_to_table(spark, enc, "update", "str-enc-out", keys=["key"])
 
 
 @query("str_sink_json", sql=f"""
@@ -319,7 +333,7 @@ def str_restart(spark, d):
     ckpt, out = f"{base}/_checkpoint", f"{base}/out"
 
     def once():
-        s = sources.file_stream(spark, f"{base}/in/b*", "parquet", EVENTS_SCHEMA, max_files_per_trigger=1)
+        s = sources.file_stream(stream_session(spark), f"{base}/in/b*", "parquet", EVENTS_SCHEMA, max_files_per_trigger=1)
         run.await_done(run.start(s.select("event_id", "event_type"), "append", ckpt, fmt="parquet", path=out))
 
     once()
@@ -358,14 +372,79 @@ def str_then_batch(spark, d):
     return r.select("window_start", "window_end", *[F.round(c, 2).alias(c) for c in ["total_buys", "total_sells", "net"]])
 
 
+_SPANS = """
+    WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR
+                                        THEN 0 ELSE 1 END AS new_span FROM events),
+    s AS (SELECT *, sum(new_span) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+    SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n FROM s GROUP BY user_id, sid"""
+
+
+def _plain_spans(df):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "last")})
+
+
+@query("str_spans", sql=f"{_SPANS} HAVING max(ts) + INTERVAL 6 HOUR <= {WM} - INTERVAL 1 HOUR")
+def str_spans(spark, d):
+    """Keyed state with timers, append mode: each user's activity spans once they are over."""
+    out = spans.activity_spans(_events_stream(spark, d, "str-spans"), "user_id", "ts", "6 hours", "1 hour", "append")
+    return _plain_spans(run.run_to_table(spark, out, "append", "str-spans-out"))
+
+
+@query("str_spans_update", sql=_SPANS)
+def str_spans_update(spark, d):
+    """The same in update mode: open spans too, the newest state of each."""
+    out = spans.activity_spans(_events_stream(spark, d, "str-spans-u"), "user_id", "ts", "6 hours", "1 hour", "update")
+    table = run.run_to_table(spark, out, "update", "str-spans-u-out", keys=["user_id", "first"])
+    return _plain_spans(table.where("n > 0"))
+
+
 @query("str_stateful_count", sql="SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def str_stateful_count(spark, d):
-    s = _events_stream(spark, d, "str-state")
-    counts = st.running_counts_with_state(s, "user_id")
-    base = scratch_path(spark, "str-state-out")
-    q = run.start(counts, "update", f"{base}/_checkpoint", foreach_batch=sinks.batch_folders(f"{base}/out"))
-    run.await_done(q)
-    return sinks.read_latest(spark, f"{base}/out", ["user_id"])
+    """Counts per user from keyed state that forgets users who are idle: what has left the state
+    is in the table of spans."""
+    out = spans.activity_spans(_events_stream(spark, d, "str-state"), "user_id", "ts", "1 hour", "1 hour", "update")
+    table = run.run_to_table(spark, out, "update", "str-state-out", keys=["user_id", "first"])
+    return table.groupBy("user_id").agg(F.sum("n").alias("n"))
+
+
+@query("str_foreach", sql="SELECT event_id, event_type, value FROM events")
+def str_foreach(spark, d):
+    """Single rows through open, process and close, committed per partition and epoch."""
+    s = _events_stream(spark, d, "str-foreach").select("event_id", "event_type", "value")
+    base = scratch_path(spark, "str-foreach-out")
+    writer = rows.RowFiles(f"{base}/out", s.schema)
+    run.await_done(run.start(s, "append", f"{base}/_checkpoint", foreach=writer))
+    return rows.read_rows(spark, f"{base}/out", s.schema)
+
+
+@query("str_progress", sql="""
+    SELECT 'progress' AS name, count(*) AS input_rows, CAST(4 AS BIGINT) AS batches, CAST(0 AS BIGINT) AS first_batch,
+           CAST(3 AS BIGINT) AS last_batch FROM events""")
+def str_progress(spark, d):
+    """Progress rows that a listener stored while four files were read, one per batch."""
+    s = _events_stream(spark, d, "str-progress", n_files=4).select("event_id")
+    base = scratch_path(spark, "str-progress-out")
+    with progress.logged(s.sparkSession, f"{base}/progress") as log:
+        q = run.start(s, "append", f"{base}/_checkpoint", fmt="parquet", path=f"{base}/out", name="progress")
+        run.await_done(q)
+        log.await_end(q.runId)
+    return (progress.read_progress(spark, f"{base}/progress").groupBy("name")
+            .agg(F.sum("input_rows").alias("input_rows"), F.count_distinct("batch_id").alias("batches"),
+                 F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch")))
+
+
+@query("str_archive", sql="SELECT event_type, count(*) AS n_out, count(*) AS n_kept FROM events GROUP BY event_type")
+def str_archive(spark, d):
+    """Input files that are archived once their batch is committed: what the sink holds, and what
+    the archive and the rest of the input hold together."""
+    base = scratch_path(spark, "str-archive")
+    path = sources.replay_files(Tables(spark, d).events, f"{base}/in", "ts", 6)
+    s = sources.archiving_stream(stream_session(spark), path, "parquet", EVENTS_SCHEMA, f"{base}/archive",
+                                 max_files_per_trigger=1)
+    out = run.run_to_table(spark, s.select("event_id", "event_type"), "append", "str-archive-out")
+    kept = sources.read_archived(spark, path, "parquet", EVENTS_SCHEMA, f"{base}/archive")
+    return (out.groupBy("event_type").agg(F.count("*").alias("n_out"))
+            .join(kept.groupBy("event_type").agg(F.count("*").alias("n_kept")), "event_type"))
 
 
 @query("str_static_join", sql="""

@@ -3,7 +3,7 @@ lineitem, i.e. every key is hot, which exercises the skew-safe two-level scan.""
 
 from pyspark.sql import functions as F
 
-from corvid.operators import windows
+from corvid.operators import sessions, windows
 from corvid.plans.registry import query
 from corvid.sources.tables import Tables
 
@@ -112,3 +112,13 @@ def win_combined_split(spark, d):
                         max_group_rows=0)
     return r.select(*P, "l_orderkey", "l_linenumber", "l_quantity", "max_qty",
                     F.round("avg_qty", 6).alias("avg_qty"), "rank", "dense_rank")
+
+
+@query("win_sessions", sql="""
+    WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR
+                                        THEN 0 ELSE 1 END AS new_session FROM events),
+    s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+    SELECT user_id, min(ts) AS start, max(ts) AS last, count(*) AS n FROM s GROUP BY user_id, sid""")
+def win_sessions(spark, d):
+    """Sessions of each user, made per slice of time and merged at the slices' borders."""
+    return sessions.sessions(Tables(spark, d).events, ["user_id"], "ts", "6 HOURS")

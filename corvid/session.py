@@ -88,4 +88,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     plan see the same rows, partition numbers and positions included."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete the files of materialised frames, once all that read them is itself stored."""
+    for df in stored:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

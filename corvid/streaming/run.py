@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corvid.session import scratch_path
-from corvid.streaming.sinks import batch_folders, check_output_mode, overwrite_per_batch
+from corvid.streaming.modes import check_output_mode, plan_kind
+from corvid.streaming.sinks import batch_folders
+from corvid.streaming.tables import SnapshotTable, UpsertTable
 
 
 def trigger_kwargs(kind: str = "available_now", interval: str | None = None) -> dict:
@@ -26,31 +28,18 @@ def trigger_kwargs(kind: str = "available_now", interval: str | None = None) ->
 
 
 def start(df: DataFrame, mode: str, checkpoint: str, fmt: str | None = None, path: str | None = None,
-          foreach_batch: Callable | None = None, name: str | None = None, trigger: dict | None = None,
-          partition_by: list[str] | None = None, options: dict | None = None,
-          state_partitions: int | None = None, kind: str | None = None) -> StreamingQuery:
-    """Start a streaming query. ``kind`` names the kind of plan (``sinks.OUTPUT_MODES``): a mode
-    that it doesn't allow is refused before anything runs. The number of state-store partitions is fixed by the first
-    run of a checkpoint; it is taken from ``state_partitions`` or, by default, the cluster's
-    core count (``defaultParallelism``) rather than the batch shuffle setting."""
-    if kind is not None:
-        check_output_mode(kind, mode)
-    spark = df.sparkSession
-    n_state = state_partitions or spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n_state))
-    try:
-        return _start(df, mode, checkpoint, fmt, path, foreach_batch, name, trigger, partition_by, options)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-
-
-def _start(df, mode, checkpoint, fmt, path, foreach_batch, name, trigger, partition_by, options) -> StreamingQuery:
+          foreach_batch: Callable | None = None, foreach=None, name: str | None = None, trigger: dict | None = None,
+          partition_by: list[str] | None = None, options: dict | None = None) -> StreamingQuery:
+    """Start a streaming query in ``df``'s session (``sessions.stream_session`` gives one of its own).
+    An output mode that the analysed plan doesn't allow is refused before anything runs."""
+    check_output_mode(plan_kind(df), mode)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
+    elif foreach is not None:
+        w = w.foreach(foreach)
     elif fmt:
         w = w.format(fmt)
         if path:
@@ -78,23 +67,24 @@ def await_done(q: StreamingQuery, timeout_s: int | None = None) -> None:
 
 def run_to_table(spark: SparkSession, df: DataFrame, mode: str = "append", name: str = "stream",
                  fmt: str = "parquet", partition_by: list[str] | None = None, timeout_s: int | None = None,
-                 checkpoint: str | None = None, path: str | None = None, kind: str | None = None) -> DataFrame:
+                 checkpoint: str | None = None, path: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Run ``df`` to completion with an available-now trigger and return the sink as a batch
-    DataFrame. Append mode writes files directly; complete mode replaces the table each
-    batch; update mode keeps batch folders (read them with ``sinks.read_latest``)."""
+    DataFrame of ``spark``. Append mode writes files directly; complete mode replaces a
+    ``SnapshotTable`` each batch; update mode changes an ``UpsertTable`` by ``keys``."""
     base = scratch_path(spark, name)
     checkpoint = checkpoint or f"{base}/_checkpoint"
     path = path or f"{base}/out"
     if mode == "append":
-        q = start(df, mode, checkpoint, fmt=fmt, path=path, partition_by=partition_by, kind=kind)
-    elif mode == "complete":
-        q = start(df, mode, checkpoint, foreach_batch=overwrite_per_batch(path, fmt), kind=kind)
-    elif mode == "update":
-        q = start(df, mode, checkpoint, foreach_batch=batch_folders(path, fmt), kind=kind)
+        await_done(start(df, mode, checkpoint, fmt=fmt, path=path, partition_by=partition_by), timeout_s)
+        return spark.read.format(fmt).load(path)
+    if mode == "complete":
+        table = SnapshotTable(spark, path, fmt)
+    elif mode == "update" and keys:
+        table = UpsertTable(spark, path, keys)
     else:
-        raise ValueError(mode)
-    await_done(q, timeout_s)
-    return spark.read.format(fmt).load(path)
+        raise ValueError(f"mode {mode!r} with keys {keys}")
+    await_done(start(df, mode, checkpoint, foreach_batch=table.write), timeout_s)
+    return table.read(spark)
 
 
 def status(q: StreamingQuery) -> dict:

@@ -1,30 +1,11 @@
-"""Streaming sinks (STR-23..28) and output-mode rules (STR-22)."""
+"""Streaming sinks (STR-23..28); those that replace or change a table are in ``tables``, the sink of
+single rows is in ``rows``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Legal output modes per kind of streaming plan.
-OUTPUT_MODES = {
-    "stateless": {"append", "update"},
-    "aggregate": {"complete", "update"},
-    "windowed_watermark": {"append", "update", "complete"},
-    "stream_join": {"append"},
-    "sorted_aggregate": {"complete"},
-    "stateful_function": {"append", "update"},
-}
-
-
-def check_output_mode(kind: str, mode: str) -> None:
-    """Fail early with the rule instead of at ``start()``."""
-    allowed = OUTPUT_MODES.get(kind)
-    if allowed is None:
-        raise ValueError(f"unknown plan kind {kind!r}; one of {sorted(OUTPUT_MODES)}")
-    if mode not in allowed:
-        raise ValueError(f"output mode {mode!r} is not allowed for a {kind} query; use one of {sorted(allowed)}")
-
-
 def kafka_sink_options(bootstrap_servers: str, topic: str, checkpoint: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic, "checkpointLocation": checkpoint}
 
@@ -39,14 +20,6 @@ def encode_record(df: DataFrame, key: str, value_cols: list[str] | None = None,
     return df.select(F.col(key).cast("string").alias("key"), v.alias("value"))
 
 
-def overwrite_per_batch(path: str, fmt: str = "parquet"):
-    """``foreachBatch`` writer for complete mode: every batch carries the whole result and
-    replaces the previous one (idempotent when a batch is retried)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(path)
-    return write
-
-
 def batch_folders(path: str, fmt: str = "parquet"):
     """``foreachBatch`` writer keeping every batch in its own folder ``batch_id=N``;
     a retried batch overwrites only its own folder, so the sink is exactly-once."""

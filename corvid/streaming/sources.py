@@ -8,13 +8,14 @@ same columns is a drop-in for tests.
 
 from __future__ import annotations
 
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from corvid.session import materialise
 from pyspark.sql.types import StructType
 
+from corvid.streaming.storage import Files
+
 FILE_OPTIONS = ("maxFilesPerTrigger", "latestFirst", "fileNameOnly", "maxFileAge", "cleanSource",
                 "sourceArchiveDir", "header", "sep", "mode", "timestampFormat", "timestampNTZFormat")
 
@@ -33,6 +34,22 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | s
     return r.load(path)
 
 
+def archiving_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | str, archive: str,
+                     max_files_per_trigger: int | None = None, **options) -> DataFrame:
+    """A file stream whose files move below ``archive`` after the batch that read them is committed
+    (``cleanSource``). Spark moves them from a thread of its own, one batch later, so the files of
+    the last batches may stay; ``read_archived`` reads both."""
+    return file_stream(spark, path, fmt, schema, max_files_per_trigger, cleanSource="archive", sourceArchiveDir=archive,
+                       **options)
+
+
+def read_archived(spark: SparkSession, path: str, fmt: str, schema: StructType | str, archive: str) -> DataFrame:
+    """What an ``archiving_stream`` has read: the files it has moved, and those still in place."""
+    reader = spark.read.schema(schema).format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+    kept = reader.load(path)
+    return kept.unionByName(reader.load(archive)) if Files(spark, archive).exists("") else kept
+
+
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
                   fail_on_data_loss: bool = True, **extra) -> dict[str, str]:
     if starting_offsets not in ("earliest", "latest") and not starting_offsets.startswith("{"):
@@ -71,25 +88,19 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 10, num_partitions:
 
 def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str = "parquet",
                  extra: list[DataFrame] | None = None, columns: list[str] | None = None) -> str:
-    """Write a batch table as ``n_files`` time-ordered slices, one write job per slice, so
-    file modification times follow event time and a file source with
-    ``maxFilesPerTrigger`` replays them in order. ``extra`` frames are appended afterwards
-    as further slices (late data). Rows without a time go with the first slice; a frame with
-    one time or none, or without rows, is all in the first. ``columns`` are those written (all by
-    default). Returns a glob path over the slices."""
-    df = materialise(df, "replay")  # built once, then sliced
-    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
-    span = 0 if lo is None or hi == lo else hi - lo
-    at = F.col(time_col)
-    for i in range(n_files):
-        keep = F.lit(bool(span) or i == 0)
-        if span and i:
-            keep = keep & (at >= F.lit(lo + span * i / n_files))
-        if span and i < n_files - 1:
-            keep = keep & (at < F.lit(lo + span * (i + 1) / n_files))
-        if i == 0:
-            keep = keep | at.isNull()
-        df.where(keep).select(*columns or df.columns).write.mode("overwrite").format(fmt).save(f"{path}/b{i:03d}")
+    """Write a batch table as ``n_files`` files in order of time and about equal in rows, by one job; a
+    file source with ``maxFilesPerTrigger`` replays them in that order, as their modification times
+    are set a second apart. ``extra`` frames are appended afterwards as further files (late data). Rows
+    without a time are in the first file; few rows make fewer files. ``columns`` are those written
+    (all by default). Returns a glob path over the files' folders."""
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(n_files, F.col(time_col).asc_nulls_first()).select(*columns or df.columns)
+    ranged.write.mode("overwrite").format(fmt).save(f"{path}/b")
+    files = Files(spark, path)
+    parts = [n for n in files.names("b") if n.startswith("part-")]
+    end = int(time.time() * 1000) - 1000
+    for i, part in enumerate(parts):
+        files.set_time(f"b/{part}", end - 1000 * (len(parts) - i))
     for j, late in enumerate(extra or []):
-        late.write.mode("overwrite").format(fmt).save(f"{path}/b{n_files + j:03d}")
-    return f"{path}/b*"
+        late.write.mode("overwrite").format(fmt).save(f"{path}/x{j:03d}")
+    return f"{path}/[bx]*"

@@ -7,12 +7,8 @@ watermark so state is evicted and append mode can emit closed windows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corvid.functions.text import tokens
 
@@ -100,20 +96,6 @@ def reward_records(records: DataFrame, schema: str, rate: float = 0.2, value_col
     return first.select(F.col("r.o_orderkey").cast("string").alias("key"), F.to_json(notice).alias("value"))
 
 
-def running_counts_with_state(df: DataFrame, key: str) -> DataFrame:
-    """Arbitrary keyed state (``mapGroupsWithState``): a running row count per key, kept in
-    the state store and emitted in update mode."""
-    def count(keys, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
-        for b in batches:
-            n += len(b)
-        state.update((n,))
-        yield pd.DataFrame({key: [keys[0]], "n": [n]})
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key).groupBy(key).applyInPandasWithState(
-        count, f"{key} {kind}, n long", "n long", "update", GroupStateTimeout.NoTimeout)
-
-
 def enrich_static(stream: DataFrame, static: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """Stream-static join (inner or left outer with the stream on the left)."""
     return stream.join(static, on, how)

@@ -57,14 +57,6 @@ def test_complete_mode_equals_batch(spark):
     assert {r.Type: r.total for r in out.collect()} == {"BUY": 2650, "SELL": 1100}
 
 
-def test_output_mode_rules():
-    sinks.check_output_mode("windowed_watermark", "append")
-    with pytest.raises(ValueError):
-        sinks.check_output_mode("aggregate", "append")
-    with pytest.raises(ValueError):
-        sinks.check_output_mode("stream_join", "complete")
-
-
 def test_builders_and_triggers():
     o = sources.kafka_options("b:9092", "invoices", "earliest", fail_on_data_loss=False)
     assert o["subscribe"] == "invoices" and o["failOnDataLoss"] == "false"
@@ -149,10 +141,7 @@ def test_replay_keeps_rows_without_a_time_and_empty_frames(spark):
 
 
 def test_start_refuses_an_illegal_output_mode(spark, tmp_path):
-    import pytest
-
-    from corvid.streaming import run, sources
     s = sources.rate_stream(spark)
     with pytest.raises(ValueError, match="not allowed"):
-        run.start(s, "complete", str(tmp_path), fmt="memory", name="refused", kind="stateless")
+        run.start(s, "complete", str(tmp_path), fmt="memory", name="refused")
     assert not spark.streams.active
