@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.operators.agg import collect_bounded
 from corvid.operators.windows import dense_index
 
 
@@ -127,6 +128,31 @@ def cogroup_stats(left: DataFrame, right: DataFrame, key: str, left_value: str,
                     F.coalesce("right_n", F.lit(0)).alias("right_n"), "right_sum"))
 
 
+def cogroup_lists(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
+                  right_key: str | None = None, max_items: int = 10_000) -> DataFrame:
+    """``cogroup`` with both value lists: ``k``, ``chunk``, ``left_n``, ``left_values``, ``right_n``,
+    ``right_values``.
+
+    Chunk ``c`` of a key holds, of either side, the values at positions ``c * max_items`` onwards of
+    the key's sorted values, so a key has as many rows as its longer list needs and no row or task
+    holds an unbounded list. The sides meet on (key, chunk), which is unique on both, so no key is hot
+    in the join. A side without the key, or without so many values, gives 0 and an empty list.
+    NULL keys are one key; NULL values count in ``n`` but are in no list."""
+    def chunks(df, k, value, side):
+        lists = collect_bounded(df.select(F.col(k).alias("k"), F.col(value).alias("v")), ["k"], "v", max_items)
+        return lists.select(F.col("k").alias(f"_k_{side}"), F.col("chunk").alias(f"_c_{side}"),
+                            F.col("n").alias(f"{side}_n"), F.col("values").alias(f"{side}_values"))
+
+    a, b = chunks(left, key, left_value, "left"), chunks(right, right_key or key, right_value, "right")
+    both = a.join(b, a["_k_left"].eqNullSafe(b["_k_right"]) & (a["_c_left"] == b["_c_right"]), "full_outer")
+    out = [F.coalesce("_k_left", "_k_right").alias("k"), F.coalesce("_c_left", "_c_right").alias("chunk")]
+    for side in ("left", "right"):
+        empty = F.array().cast(both.schema[f"{side}_values"].dataType)
+        out += [F.coalesce(f"{side}_n", F.lit(0)).alias(f"{side}_n"),
+                F.coalesce(f"{side}_values", empty).alias(f"{side}_values")]
+    return both.select(*out)
+
+
 def zip_by_position(left: DataFrame, right: DataFrame, left_order: list, right_order: list,
                     index: str = "idx") -> DataFrame:
     """Pair the i-th row of each side along explicit orders (``zip``).

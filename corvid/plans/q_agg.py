@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from corvid.functions.numeric import exact_money_sum, money
-from corvid.operators import agg
+from corvid.operators import agg, sketches
 from corvid.operators.jobs import net_revenue
 from corvid.operators.joins import equi_join
 from corvid.plans.registry import query
@@ -12,12 +12,10 @@ from corvid.sources.tables import Tables
 
 @query("agg_count", sql="""
     SELECT c.c_mktsegment, count(*) AS n_rows, count(o.o_orderkey) AS n_orders
-    FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o
-      ON c.c_custkey = o.o_custkey
-    GROUP BY c.c_mktsegment""")
+    FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_mktsegment""")
 def agg_count(spark, d):
     t = Tables(spark, d)
-    o = t.orders.where("o_orderstatus = 'P'").select("o_custkey", "o_orderkey")
+    o = t.orders.select("o_custkey", "o_orderkey")
     j = equi_join(t.customer, o, "c_custkey", "o_custkey", "left")
     return j.groupBy("c_mktsegment").agg(F.count("*").alias("n_rows"), F.count("o_orderkey").alias("n_orders"))
 
@@ -30,13 +28,28 @@ def agg_count_distinct(spark, d):
         F.count_distinct("l_orderkey").alias("n_orders"), F.count_distinct("l_partkey").alias("n_parts"))
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", sql="""
+    SELECT event_type, count(DISTINCT user_id) AS exact_users, TRUE AS within_bound FROM events GROUP BY event_type""")
 def agg_approx_distinct(spark, d):
-    """HyperLogLog++ sketch with 10% relative standard deviation; rows-only check, the
-    error bound is tested against the exact count in tests."""
-    return Tables(spark, d).events.groupBy("event_type").agg(
+    """HyperLogLog++ with 10% relative standard deviation beside the exact count."""
+    users = Tables(spark, d).events.groupBy("event_type").agg(
         F.approx_count_distinct("user_id", 0.1).alias("approx_users"),
         F.count_distinct("user_id").alias("exact_users"))
+    return users.select("event_type", "exact_users",
+                        sketches.within(F.col("approx_users"), F.col("exact_users"), 0.1).alias("within_bound"))
+
+
+@query("agg_sketch_union", sql="""
+    SELECT l_returnflag, count(DISTINCT l_partkey) AS exact_parts, TRUE AS within_bound
+    FROM lineitem GROUP BY l_returnflag""")
+def agg_sketch_union(spark, d):
+    """Sketches stored per month of shipping and united over all months, beside the exact count."""
+    li = Tables(spark, d).lineitem.select("l_returnflag", "l_partkey", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    estimated = sketches.stored_estimates(li, "month", ["l_returnflag"], "l_partkey", rsd=0.02, out="parts")
+    exact = li.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("exact_parts"))
+    both = estimated.join(exact, "l_returnflag")
+    return both.select("l_returnflag", "exact_parts",
+                       sketches.within(F.col("parts"), F.col("exact_parts"), 0.02).alias("within_bound"))
 
 
 @query("agg_first_last", sql="""
@@ -131,13 +144,12 @@ Q1_SQL = """
                           * (1 + CAST(l_tax AS DECIMAL(12,2)))), 2) AS DOUBLE) AS sum_charge,
            round(avg(l_quantity), 6) AS avg_qty, round(avg(l_extendedprice), 4) AS avg_price,
            round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
-    FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-09-02 00:00:00'
-    GROUP BY l_returnflag, l_linestatus"""
+    FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 
 
 @query("agg_group_multi", sql=Q1_SQL)
 def agg_group_multi(spark, d):
-    li = Tables(spark, d).lineitem.where(F.col("l_shipdate") <= F.lit("2000-09-02 00:00:00").cast("timestamp_ntz"))
+    li = Tables(spark, d).lineitem
     disc = net_revenue()
     return (li.groupBy("l_returnflag", "l_linestatus")
             .agg(F.sum("l_quantity").alias("sum_qty"),

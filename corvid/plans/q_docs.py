@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 
 from corvid.operators import agg, docs
 from corvid.plans.registry import query
+from corvid.session import scratch_path
 from corvid.sources.documents import nested_orders, order_headers
 from corvid.sources.tables import Tables
+from corvid.streaming import sources
+from corvid.streaming import weather as sink
+from corvid.streaming.sessions import stream_session
 
 
 def _docs(spark, d):
@@ -76,17 +80,19 @@ def doc_stations(spark, d):
     return docs.flatten_stations(payload)
 
 
-@query("doc_weather", sql="""
-    SELECT event_id, event_type AS city, value AS temperature, date_trunc('second', ts) AS event_time FROM events""")
-def doc_weather(spark, d):
-    e = Tables(spark, d).events
-    # half of the payloads carry `timestamp`, the others `local_timestamp`
+def _weather_payload(e):
+    """Payloads of city, value and time; half of them carry `timestamp`, the others `local_timestamp`."""
     ts_text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    payload = e.select("event_id", "event_type", F.to_json(F.struct(
+    return e.select("event_id", "event_type", "ts", F.to_json(F.struct(
         F.col("value").alias("temperature"),
         F.when(F.col("event_id") % 2 == 0, ts_text).alias("local_timestamp"),
         F.when(F.col("event_id") % 2 == 1, ts_text).alias("timestamp"))).alias("json"))
-    w = docs.enrich_weather(payload, city=F.col("event_type"))
+
+
+@query("doc_weather", sql="""
+    SELECT event_id, event_type AS city, value AS temperature, date_trunc('second', ts) AS event_time FROM events""")
+def doc_weather(spark, d):
+    w = docs.enrich_weather(_weather_payload(Tables(spark, d).events), city=F.col("event_type"))
     return w.select("event_id", "city", "temperature", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
@@ -96,9 +102,13 @@ def doc_weather(spark, d):
        WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12')
     GROUP BY hour ORDER BY hour""")
 def doc_weather_slice(spark, d):
-    e = Tables(spark, d).events
-    lo, hi = F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz")
-    hourly = (e.where((F.col("event_type") == "click") & (F.col("ts") >= lo) & (F.col("ts") < hi))
-              .groupBy(F.date_trunc("hour", "ts").alias("hour"))
-              .agg(F.round(F.avg("value"), 6).alias("avg_value"), F.count("*").alias("n")))
+    """One city and a week of what a stream of payloads has committed to its sink so far."""
+    base = scratch_path(spark, "weather")
+    path = sources.replay_files(_weather_payload(Tables(spark, d).events), f"{base}/in", "ts", 4)
+    raw = sources.file_stream(stream_session(spark), path, "parquet",
+                              "event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ, json STRING", max_files_per_trigger=1)
+    sink.run_weather_sink(spark, docs.enrich_weather(raw, city=F.col("event_type")), f"{base}/out", f"{base}/_checkpoint")
+    part = sink.weather_slice(spark, f"{base}/out", "click", "2024-01-05", "2024-01-12")
+    hourly = (part.groupBy(F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour"))
+              .agg(F.round(F.avg("temperature"), 6).alias("avg_value"), F.count("*").alias("n")))
     return hourly.orderBy("hour")

@@ -100,10 +100,16 @@ def src_parquet(spark, d):
     return spark.read.format("parquet").load(path)
 
 
-@query("src_range", sql="SELECT row_number() OVER () - 1 AS number FROM orders")
+@query("src_range", sql="""
+    SELECT number, (o_orderkey IS NOT NULL) AS is_order
+    FROM (SELECT unnest(range(lo, hi + 1)) AS number FROM (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders))
+    LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders) ON number = o_orderkey""")
 def src_range(spark, d):
-    n = Tables(spark, d).orders.count()
-    return spark.range(n).toDF("number")
+    """All whole numbers from the smallest to the largest order key, and which of them are orders."""
+    keys = Tables(spark, d).orders.select("o_orderkey").distinct()
+    numbers = files.number_range(keys, "o_orderkey", "number")
+    return numbers.join(keys, F.col("number") == F.col("o_orderkey"), "left") \
+        .select("number", F.col("o_orderkey").isNotNull().alias("is_order"))
 
 
 @query("src_text", sql="""

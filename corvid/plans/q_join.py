@@ -134,14 +134,35 @@ def kv_join3(spark, d):
 @query("kv_cogroup", sql="""
     SELECT coalesce(a.k, b.k) AS k, coalesce(a.left_n, 0) AS left_n, a.left_sum,
            coalesce(b.right_n, 0) AS right_n, b.right_sum
-    FROM (SELECT o_custkey AS k, count(*) AS left_n, sum(o_orderkey) AS left_sum FROM orders
-          WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) a
-    FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS right_n, sum(o_orderkey) AS right_sum FROM orders
-          WHERE o_orderpriority = '5-LOW' GROUP BY o_custkey) b ON a.k IS NOT DISTINCT FROM b.k""")
+    FROM (SELECT o_custkey AS k, count(*) AS left_n, CAST(sum(o_orderkey) AS BIGINT) AS left_sum FROM orders GROUP BY o_custkey) a
+    FULL OUTER JOIN (SELECT user_id AS k, count(*) AS right_n, CAST(sum(event_id) AS BIGINT) AS right_sum FROM events
+          GROUP BY user_id) b ON a.k IS NOT DISTINCT FROM b.k""")
 def kv_cogroup(spark, d):
-    o = Tables(spark, d).orders
-    return joins.cogroup_stats(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderpriority = '5-LOW'"),
-                               "o_custkey", "o_orderkey", "o_orderkey")
+    t = Tables(spark, d)
+    events = t.events.select(F.col("user_id").alias("o_custkey"), "event_id")
+    return joins.cogroup_stats(t.orders, events, "o_custkey", "o_orderkey", "event_id")
+
+
+def _chunked_sql(table: str, key: str, value: str, side: str, items: int) -> str:
+    return f"""
+      SELECT k, chunk, count(*) AS {side}_n, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS {side}_values FROM (
+        SELECT {key} AS k, {value} AS v,
+               (row_number() OVER (PARTITION BY {key} ORDER BY {value} NULLS FIRST) - 1) // {items} AS chunk FROM {table})
+      GROUP BY k, chunk"""
+
+
+@query("kv_cogroup_lists", sql=f"""
+    SELECT coalesce(a.k, b.k) AS k, coalesce(a.chunk, b.chunk) AS chunk, coalesce(left_n, 0) AS left_n,
+           coalesce(left_values, '') AS left_values, coalesce(right_n, 0) AS right_n,
+           coalesce(right_values, '') AS right_values
+    FROM ({_chunked_sql("orders", "o_custkey", "o_orderkey", "left", 20)}) a
+    FULL OUTER JOIN ({_chunked_sql("events", "user_id", "event_id", "right", 20)}) b
+      ON a.k IS NOT DISTINCT FROM b.k AND a.chunk = b.chunk""")
+def kv_cogroup_lists(spark, d):
+    """Every customer's orders beside their events, both as lists of at most 20."""
+    t = Tables(spark, d)
+    both = joins.cogroup_lists(t.orders, t.events, "o_custkey", "o_orderkey", "event_id", right_key="user_id", max_items=20)
+    return both.withColumns({c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("left_values", "right_values")})
 
 
 @query("kv_zip", sql="""

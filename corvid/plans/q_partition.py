@@ -99,14 +99,15 @@ def par_sizes(spark, d):
 
 
 @query("par_glom", sql="""
-    SELECT partition, chunk, array_agg(o_orderkey ORDER BY o_orderkey) AS "values" FROM (
+    SELECT partition, chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS held FROM (
       SELECT CAST(o_orderkey % 16 AS INTEGER) AS partition, o_orderkey,
              CAST((row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) - 1) // 500 AS BIGINT) AS chunk
       FROM orders) GROUP BY partition, chunk""")
 def par_glom(spark, d):
     """What each physical partition holds, as arrays of at most 500 elements in its own order."""
     laid = par.laid_out(Tables(spark, d).orders.select("o_orderkey"), "o_orderkey", 16)
-    return par.contents(laid.sortWithinPartitions("o_orderkey"), "o_orderkey", max_items=500)
+    held = par.contents(laid.sortWithinPartitions("o_orderkey"), "o_orderkey", max_items=500)
+    return held.select("partition", "chunk", F.concat_ws(",", F.col("values").cast("array<string>")).alias("held"))
 
 
 @query("par_map_partitions", sql="SELECT count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem")

@@ -93,6 +93,13 @@ def save_table(df: DataFrame, name: str, path: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def number_range(df: DataFrame, col: str, out: str = "number") -> DataFrame:
+    """The whole numbers from the smallest to the largest value of ``col`` (``range``), made in the
+    cluster's partitions; none if there is no value."""
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
+    return df.sparkSession.range(lo or 0, 0 if lo is None else hi + 1).toDF(out)
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """``printSchema`` plus a non-NULL count per column: (column, type, nullable, non_null),
     computed in one aggregate pass and unpivoted with ``stack``."""
