@@ -16,7 +16,8 @@ HEADLINE = [
     "job_top_customers", "agg_group_multi", "agg_revenue", "agg_count_distinct", "agg_cube", "agg_pivot",
     "agg_collect", "kv_join3", "join_full3", "job_station_counts", "wc_clean", "txt_stats", "win_combined",
     "win_running_net", "win_top1_per_group", "prj_rowid", "ord_agg_topn", "set_intersect", "sql_join3",
-    "doc_unwind_sum", "job_sales_units_city", "str_tumbling", "str_join_windows",
+    "doc_unwind_sum", "job_sales_units_city", "str_tumbling", "str_join_windows", "str_loyalty",
+    "win_combined_split",
 ]
 
 
@@ -26,16 +27,17 @@ def main() -> int:
     names = sys.argv[1:] or HEADLINE
 
     from corvid.plans.registry import all_queries
-    from corvid.session import build_session
+    from corvid.session import build_session, scratch_scope
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
     queries = all_queries()
 
     def run(name: str) -> float:
-        t0 = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        with scratch_scope(spark):
+            t0 = time.perf_counter()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - t0
 
     # warm-up pass (class loading, JIT, codegen caches), then the timed pass
     for name in names:

@@ -5,9 +5,10 @@ A plain ``Window.partitionBy(k).orderBy(o)`` sends every row of a key to one tas
 running aggregates here use a two-level scan instead:
 
 1. ``repartitionByRange(keys, order)`` cuts the data into contiguous, sampled slices of
-   similar size, so a hot key is spread over many partitions; the rows are stored with their
-   slice number, because a second evaluation would sample other bounds;
-2. every slice computes its local running values (window over ``(keys, slice)``);
+   similar size, so a hot key is spread over many partitions;
+2. every slice computes its local running values and ranks (window over ``(keys, slice)``); the
+   rows are stored with them and their slice number, because a second evaluation would sample
+   other bounds;
 3. only keys crossing a slice boundary need a carry from earlier slices. There are fewer
    such (key, slice) pairs than slices, so the carry table is bounded by the partition
    count and is broadcast back.
@@ -115,116 +116,157 @@ def dense_index(df: DataFrame, order, name: str = "row_idx", start: int = 0) ->
     return out.drop(_PID, "_mid", "_off")
 
 
+def _local_parts(aggs: dict[str, tuple[str, str]], w) -> dict[str, Column]:
+    """What a slice computes by itself for the running aggregates."""
+    parts = {}
+    for out, (fn, c) in aggs.items():
+        x = F.col(c)
+        if fn in ("sum", "avg"):
+            parts[f"_ls_{out}"] = F.sum(x).over(w)
+        if fn in ("count", "avg"):
+            parts[f"_lc_{out}"] = F.count(x).over(w)
+        if fn == "max":
+            parts[f"_lx_{out}"] = F.max(x).over(w)
+        if fn == "min":
+            parts[f"_ln_{out}"] = F.min(x).over(w)
+    return parts
+
+
+def _totals_and_carries(aggs: dict[str, tuple[str, str]], before) -> tuple[list[Column], list[Column]]:
+    """Totals of a (key, slice), and what the slices before it carry over."""
+    totals, carries = [], []
+    for out, (fn, c) in aggs.items():
+        x = F.col(c)
+        if fn in ("sum", "avg"):
+            totals.append(F.sum(x).alias(f"_ts_{out}"))
+            carries.append(F.sum(f"_ts_{out}").over(before).alias(f"_cs_{out}"))
+        if fn in ("count", "avg"):
+            totals.append(F.count(x).alias(f"_tc_{out}"))
+            carries.append(F.sum(f"_tc_{out}").over(before).alias(f"_cc_{out}"))
+        if fn == "max":
+            totals.append(F.max(x).alias(f"_tx_{out}"))
+            carries.append(F.max(f"_tx_{out}").over(before).alias(f"_cx_{out}"))
+        if fn == "min":
+            totals.append(F.min(x).alias(f"_tn_{out}"))
+            carries.append(F.min(f"_tn_{out}").over(before).alias(f"_cn_{out}"))
+    return totals, carries
+
+
+def _combined(aggs: dict[str, tuple[str, str]]) -> dict[str, Column]:
+    """Local and carried values put together."""
+    final = {}
+    for out, (fn, _c) in aggs.items():
+        s, n = F.col(f"_ls_{out}"), F.col(f"_lc_{out}")
+        if fn == "sum":
+            final[out] = F.when(s.isNull(), F.col(f"_cs_{out}")).otherwise(s + F.coalesce(F.col(f"_cs_{out}"), F.lit(0)))
+        elif fn == "count":
+            final[out] = n + F.coalesce(F.col(f"_cc_{out}"), F.lit(0))
+        elif fn == "max":
+            final[out] = F.greatest(F.col(f"_lx_{out}"), F.col(f"_cx_{out}"))
+        elif fn == "min":
+            final[out] = F.least(F.col(f"_ln_{out}"), F.col(f"_cn_{out}"))
+        else:
+            total = F.coalesce(s, F.lit(0)) + F.coalesce(F.col(f"_cs_{out}"), F.lit(0))
+            count = n + F.coalesce(F.col(f"_cc_{out}"), F.lit(0))
+            final[out] = F.when(count > 0, total / count)
+    return final
+
+
 def running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple[str, str]],
             max_group_rows: int | None = None) -> DataFrame:
     """Running aggregates over ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
 
     ``aggs`` maps an output name to ``(fn, column)``, ``fn`` in sum, count, min, max, avg.
     ``max_group_rows``: largest key size handled by a plain window (0 forces the two-level
-    scan; default ``DEFAULT_MAX_GROUP_ROWS``).
+    scan; default ``DEFAULT_MAX_GROUP_ROWS``). Sums of doubles are added slice by slice in the
+    two-level scan, so their last digits may differ from the plain window's; take DECIMAL columns
+    where they must not.
+    """
+    return ranked_running(df, partition_by, order, aggs, 0, None, None, max_group_rows)
+
+
+def ranked_running(df: DataFrame, partition_by: list[str], order, aggs: dict[str, tuple[str, str]], rank_on: int = 1,
+                   rank: str | None = "rank", dense_rank: str | None = "dense_rank",
+                   max_group_rows: int | None = None) -> DataFrame:
+    """``running`` along ``order``, and ``rank()`` and ``dense_rank()`` along its first ``rank_on`` columns,
+    in one scan: the slices of the two-level scan are sorted, numbered and stored once.
+
+    Across slices a rank needs three figures per key: the rows and distinct values before the
+    slice, and the rank of the last value before it, which the slice may go on with.
     """
     for fn, _c in aggs.values():
         if fn not in ("sum", "count", "min", "max", "avg"):
             raise ValueError(f"unsupported running aggregate {fn}")
+    order = list(order)
+    ocols, rcols = order_cols(order), order_cols(order[:rank_on])
     if _plain_ok(df, list(partition_by), max_group_rows):
-        w = (Window.partitionBy(*partition_by).orderBy(*order_cols(order))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumns({out: _fn(fn, c).over(w) for out, (fn, c) in aggs.items()})
+        rows = Window.partitionBy(*partition_by).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        by_value = Window.partitionBy(*partition_by).orderBy(*rcols) if rank_on else None
+        cols = {out: _fn(fn, c).over(rows) for out, (fn, c) in aggs.items()}
+        if rank:
+            cols[rank] = F.rank().over(by_value)
+        if dense_rank:
+            cols[dense_rank] = F.dense_rank().over(by_value)
+        return df.withColumns(cols)
     keys = list(partition_by)
     base = df
     if not keys:
         base = df.withColumn(_ALL, F.lit(0))
         keys = [_ALL]
-    ocols = order_cols(order)
+
+    # 1. contiguous slices; running values and ranks inside each (key, slice)
     ranged = (base.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *ocols)
               .withColumn(_PID, F.spark_partition_id()))
-    ranged = materialise(ranged, "scan-slices")
-
-    # 1. local running values inside each (key, slice)
-    w_local = (Window.partitionBy(*keys, _PID).orderBy(*ocols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    parts = {}
-    for out, (fn, c) in aggs.items():
-        x = F.col(c)
-        if fn in ("sum", "avg"):
-            parts[f"_ls_{out}"] = F.sum(x).over(w_local)
-        if fn in ("count", "avg"):
-            parts[f"_lc_{out}"] = F.count(x).over(w_local)
-        if fn == "max":
-            parts[f"_lx_{out}"] = F.max(x).over(w_local)
-        if fn == "min":
-            parts[f"_ln_{out}"] = F.min(x).over(w_local)
-    local = ranged.withColumns(parts)
+    here = Window.partitionBy(*keys, _PID)
+    parts = _local_parts(aggs, here.orderBy(*ocols).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    value = F.struct(*[F.col(n) for n in _order_names(order[:rank_on])]) if rank_on else None
+    if rank_on:
+        parts |= {"_lr": F.rank().over(here.orderBy(*rcols)), "_ld": F.dense_rank().over(here.orderBy(*rcols))}
+    local = materialise(ranged.withColumns(parts), "scan-slices")
 
     # 2. keys that cross a slice boundary: first key of a slice == last key of an earlier one
     kstruct = F.struct(*[F.col(k) for k in keys])
-    bounds = ranged.groupBy(_PID).agg(F.min(kstruct).alias("_first"), F.max(kstruct).alias("_last"))
+    bounds = local.groupBy(_PID).agg(F.min(kstruct).alias("_first"), F.max(kstruct).alias("_last"))
     prev_last = F.lag("_last").over(Window.orderBy(_PID))
     crossing = (bounds.withColumn("_prev", prev_last)
                 .where(F.col("_prev") == F.col("_first"))
                 .select(*[F.col("_first")[k].alias(k) for k in keys]).distinct())
 
     # 3. per-slice totals of crossing keys only (≤ 2 × slices rows), prefix over slices
-    tot_exprs = []
-    for out, (fn, c) in aggs.items():
-        x = F.col(c)
-        if fn in ("sum", "avg"):
-            tot_exprs.append(F.sum(x).alias(f"_ts_{out}"))
-        if fn in ("count", "avg"):
-            tot_exprs.append(F.count(x).alias(f"_tc_{out}"))
-        if fn == "max":
-            tot_exprs.append(F.max(x).alias(f"_tx_{out}"))
-        if fn == "min":
-            tot_exprs.append(F.min(x).alias(f"_tn_{out}"))
-    hot = ranged.join(F.broadcast(crossing), _null_safe_on(ranged, crossing, keys), "left_semi")
+    per_key = Window.partitionBy(*keys).orderBy(_PID)
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    tot_exprs, carry_cols = _totals_and_carries(aggs, before)
+    if rank_on:
+        tot_exprs += [F.count("*").alias("_tn"), F.max("_ld").alias("_td"), F.max("_lr").alias("_tl"),
+                      F.min_by(value, "_lr").alias("_tf"), F.max_by(value, "_lr").alias("_tz")]
+    hot = local.join(F.broadcast(crossing), _null_safe_on(local, crossing, keys), "left_semi")
     totals = hot.groupBy(*keys, _PID).agg(*tot_exprs)
-    w_prev = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = []
-    for out, (fn, _c) in aggs.items():
-        if fn in ("sum", "avg"):
-            carry_cols.append(F.sum(f"_ts_{out}").over(w_prev).alias(f"_cs_{out}"))
-        if fn in ("count", "avg"):
-            carry_cols.append(F.sum(f"_tc_{out}").over(w_prev).alias(f"_cc_{out}"))
-        if fn == "max":
-            carry_cols.append(F.max(f"_tx_{out}").over(w_prev).alias(f"_cx_{out}"))
-        if fn == "min":
-            carry_cols.append(F.min(f"_tn_{out}").over(w_prev).alias(f"_cn_{out}"))
-    carries = (totals.select(*keys, _PID, *carry_cols,
-                             F.row_number().over(Window.partitionBy(*keys).orderBy(_PID)).alias("_rn"))
+    if rank_on:
+        goes_on = F.col("_tf").eqNullSafe(F.lag("_tz").over(per_key)) & (F.row_number().over(per_key) > 1)
+        totals = totals.withColumn("_goes", goes_on.cast("int"))
+        totals = totals.withColumn("_rows", F.coalesce(F.sum("_tn").over(before), F.lit(0)))
+        # the rank of the slice's last value, unless that value began in an earlier slice
+        totals = totals.withColumn("_begun", F.when((F.col("_goes") == 0) | (F.col("_td") > 1), F.col("_rows") + F.col("_tl")))
+        carry_cols += [F.col("_rows").alias("_cr_n"), F.col("_goes").alias("_cr_goes"),
+                       F.sum(F.col("_td") - F.col("_goes")).over(before).alias("_cr_d"),
+                       F.last("_begun", ignorenulls=True).over(before).alias("_cr_last"),
+                       F.when(F.col("_goes") == 1, F.col("_tf")).alias("_cr_value")]
+    carries = (totals.select(*keys, _PID, *carry_cols, F.row_number().over(per_key).alias("_rn"))
                .where(F.col("_rn") > 1).drop("_rn"))
     carries = carries.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col(_PID).alias("_cpid"),
                              *[c for c in carries.columns if c.startswith("_c") and c not in keys])
-
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys]) & (F.col(_PID) == F.col("_cpid"))
     joined = local.join(F.broadcast(carries), cond, "left")
 
     # 4. combine local and carried values
-    final = {}
-    drop = [_PID, "_cpid"] + [f"_ck_{k}" for k in keys]
-    for out, (fn, _c) in aggs.items():
-        if fn == "sum":
-            final[out] = F.col(f"_ls_{out}") + F.coalesce(F.col(f"_cs_{out}"), F.lit(0))
-            final[out] = F.when(F.col(f"_ls_{out}").isNull(), F.col(f"_cs_{out}")).otherwise(final[out])
-        elif fn == "count":
-            final[out] = F.col(f"_lc_{out}") + F.coalesce(F.col(f"_cc_{out}"), F.lit(0))
-        elif fn == "max":
-            final[out] = F.greatest(F.col(f"_lx_{out}"), F.col(f"_cx_{out}"))
-        elif fn == "min":
-            final[out] = F.least(F.col(f"_ln_{out}"), F.col(f"_cn_{out}"))
-        elif fn == "avg":
-            s = F.coalesce(F.col(f"_ls_{out}"), F.lit(0)) + F.coalesce(F.col(f"_cs_{out}"), F.lit(0))
-            n = F.col(f"_lc_{out}") + F.coalesce(F.col(f"_cc_{out}"), F.lit(0))
-            final[out] = F.when(n > 0, s / n)
-        else:
-            raise ValueError(f"unsupported running aggregate {fn}")
-    res = joined.withColumns(final)
-    helper = [c for c in res.columns if c.startswith(("_ls_", "_lc_", "_lx_", "_ln_",
-                                                     "_cs_", "_cc_", "_cx_", "_cn_"))]
-    res = res.drop(*drop, *helper)
-    if _ALL in res.columns and _ALL not in df.columns:
-        res = res.drop(_ALL)
-    return res
+    final = _combined(aggs)
+    if rank:
+        same = (F.col("_cr_goes") == 1) & value.eqNullSafe(F.col("_cr_value"))
+        final[rank] = F.when(same, F.col("_cr_last")).otherwise(F.coalesce("_cr_n", F.lit(0)) + F.col("_lr")).cast("int")
+    if dense_rank:
+        final[dense_rank] = (F.coalesce("_cr_d", F.lit(0)) + F.col("_ld") - F.coalesce("_cr_goes", F.lit(0))).cast("int")
+    return joined.withColumns(final).select(*df.columns, *final)
 
 
 def ranks(df: DataFrame, partition_by: list[str], order, rank: str | None = "rank",

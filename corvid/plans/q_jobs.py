@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from corvid.operators import jobs
-from corvid.operators.partition import at_least
 from corvid.plans.registry import query
 from corvid.session import scratch_path
 from corvid.sources import files
@@ -18,8 +17,8 @@ _CLEAN = """
 def _clean_sales(spark, d):
     t = Tables(spark, d)
     raw = jobs.sales_lines(t.lineitem, t.orders, t.customer, t.nation, t.region)
-    # monthly CSV parts, each with its own header; read back as plain text rows
-    path = files.write_csv(at_least(raw, 6), scratch_path(spark, "sales"), header=True)
+    # CSV parts as the join deals them, each with its own header; read back as plain text rows
+    path = files.write_csv(raw, scratch_path(spark, "sales"), header=True)
     text_rows = files.read_csv(spark, path, header=False, names=jobs.SALES_COLUMNS)
     return jobs.clean_sales(text_rows)
 

@@ -197,9 +197,9 @@ def fn_parse_pair(spark, d):
             .select("c_custkey", "p.key", "p.value"))
 
 
-@query("fn_format", sql="SELECT printf('Key: %d, Value: %s', c_custkey, c_name) AS line FROM customer")
+@query("fn_format", sql="SELECT printf('%s is customer no. %06d', c_name, c_custkey) AS line FROM customer")
 def fn_format(spark, d):
-    return Tables(spark, d).customer.select(F.format_string("Key: %d, Value: %s", "c_custkey", "c_name").alias("line"))
+    return Tables(spark, d).customer.select(F.format_string("%s is customer no. %06d", "c_name", "c_custkey").alias("line"))
 
 
 @query("fn_address", sql="""

@@ -57,10 +57,7 @@ def win_dense_rank(spark, d):
     FROM lineitem WHERE l_quantity IS NOT NULL""")
 def win_combined(spark, d):
     li = _li(spark, d).where(F.col("l_quantity").isNotNull())
-    # ranks first: its join output feeds the range exchange of the running scan, which is
-    # reused by all branches of the two-level scan instead of recomputing the running part
-    r = windows.ranks(li, P, ["l_quantity desc"])
-    r = windows.running(r, P, BY_QTY, {"max_qty": ("max", "l_quantity"), "avg_qty": ("avg", "l_quantity")})
+    r = windows.ranked_running(li, P, BY_QTY, {"max_qty": ("max", "l_quantity"), "avg_qty": ("avg", "l_quantity")})
     return r.select(*P, "l_orderkey", "l_linenumber", "l_quantity", "max_qty",
                     F.round("avg_qty", 6).alias("avg_qty"), "rank", "dense_rank")
 
@@ -107,9 +104,8 @@ def win_combined_split(spark, d):
     """``win_combined`` with the skew-safe two-level scan forced for every key (the path taken
     when a key exceeds ``max_group_rows``)."""
     li = _li(spark, d).where(F.col("l_quantity").isNotNull())
-    r = windows.ranks(li, P, ["l_quantity desc"], max_group_rows=0)
-    r = windows.running(r, P, BY_QTY, {"max_qty": ("max", "l_quantity"), "avg_qty": ("avg", "l_quantity")},
-                        max_group_rows=0)
+    r = windows.ranked_running(li, P, BY_QTY, {"max_qty": ("max", "l_quantity"), "avg_qty": ("avg", "l_quantity")},
+                               max_group_rows=0)
     return r.select(*P, "l_orderkey", "l_linenumber", "l_quantity", "max_qty",
                     F.round("avg_qty", 6).alias("avg_qty"), "rank", "dense_rank")
 

@@ -92,7 +92,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     from corvid.plans.registry import all_oracles, all_queries
-    from corvid.session import build_session
+    from corvid.session import build_session, scratch_scope
 
     if args.plain_session:
         from pyspark.sql import SparkSession
@@ -106,7 +106,8 @@ def main(argv=None) -> int:
     for name in names:
         t0 = time.time()
         try:
-            spdf = queries[name](spark, args.sf).toPandas()
+            with scratch_scope(spark):
+                spdf = queries[name](spark, args.sf).toPandas()
         except Exception as exc:  # report and continue
             bad += 1
             print(f"FAIL  {name}: spark error {type(exc).__name__}: {str(exc)[:300]}")

@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,14 +75,42 @@ def _is_rdd_subdir(path: str) -> bool:
         return False
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch folders of the scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory.
 
     Used for round-trip writes, stream checkpoints and materialised intermediates, so
-    every executor (and a retried task on another host) sees the same files.
+    every executor (and a retried task on another host) sees the same files. It stays until the
+    ``scratch_scope`` it was made in ends, or else until the checkpoint directory is cleaned.
     """
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/corvid-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/corvid-{name}-{uuid.uuid4().hex[:12]}"
+    held = _SCOPE.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete on leaving what operators called inside have stored: a result is lazy and may read
+    it, so write or collect the result inside. Scopes nest; each thread has its own."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        held = _SCOPE.get()
+        _SCOPE.reset(token)
+        for path in held:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -96,6 +126,4 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def discard(*stored: DataFrame) -> None:
     """Delete the files of materialised frames, once all that read them is itself stored."""
     for df in stored:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df.scratch)

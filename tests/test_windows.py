@@ -110,3 +110,33 @@ def test_top_one_with_a_text_tiebreak(spark):
     df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 4, "z"), (2, 1, "q")], "g int, o int, t string")
     got = windows.top_one_per_group(df, ["g"], "o", "t", ["t"]).collect()
     assert sorted(map(tuple, got)) == [(1, "a"), (2, "q")]
+
+
+@pytest.mark.parametrize("n_values", [1, 2, 7, 500])
+def test_ranked_running_equals_spark(spark, n_values):
+    """Values that run over many slices, NULL values and keys, a hot key, keys within a slice."""
+    rng = random.Random(n_values)
+    rows = [(rng.choice([1, 1, 1, None, 2, 3]), rng.choice([None, *range(n_values)]), i, rng.randrange(100)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v long, i long, x long").repartition(9)
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = windows.ranked_running(df, ["k"], ["v desc", "i"], {"s": ("sum", "x"), "m": ("max", "x"), "a": ("avg", "x")},
+                                     max_group_rows=0).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    by_value = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
+    by_row = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("*", F.sum("x").over(by_row).alias("s"), F.max("x").over(by_row).alias("m"), F.avg("x").over(by_row).alias("a"),
+                     F.rank().over(by_value).alias("rank"), F.dense_rank().over(by_value).alias("dense_rank")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+    assert got[0].__fields__ == ["k", "v", "i", "x", "s", "m", "a", "rank", "dense_rank"]
+
+
+def test_ranked_running_plain_and_without_keys(spark):
+    df = spark.createDataFrame([(i % 3, i // 4, i) for i in range(200)], "k long, v long, i long")
+    plain = windows.ranked_running(df, ["k"], ["v", "i"], {"n": ("count", "i")})
+    split = windows.ranked_running(df, ["k"], ["v", "i"], {"n": ("count", "i")}, max_group_rows=0)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+    whole = windows.ranked_running(df, [], ["v", "i"], {}, dense_rank=None).collect()
+    assert {(r.v, r["rank"]) for r in whole} == {(v, 4 * v + 1) for v in range(50)}
+    assert windows.ranked_running(df.limit(0), ["k"], ["v"], {}, max_group_rows=0).collect() == []
