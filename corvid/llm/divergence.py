@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,8 @@ from corvid.llm.common import discard, materialise, text_portions
 MIN_DOCS, TOP = 30, 50
 #: Fixed values of the smoothed shares.
 SCALE, PRIOR = 1_000_000_000, 5
-#: A task hands on its stripes when they hold so many counts, or so many bytes of terms.
-HELD, HELD_BYTES = 400_000, 1 << 25
+#: A task hands on its stripes when they hold so many counts, or after so many characters.
+HELD, HELD_CHARS = 600_000, 1 << 26
 PORTION = 100_000
 #: Counts of terms by sources that a task turns into shares at a time.
 CELLS = 1 << 20
@@ -61,82 +62,135 @@ def terms(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, term, df, {source: n}) as batches of ``STRIPES``."""
-    for at in range(0, len(rows), 20_000):
-        langs, words, dfs, counts = zip(*rows[at: at + 20_000])
-        ends = np.cumsum([0] + [len(c) for c in counts], dtype=np.int32)
-        flat = pa.StructArray.from_arrays([pa.array([s for c in counts for s in c], pa.string()),
-                                           pa.array([n for c in counts for n in c.values()], pa.int64())],
-                                          names=["source", "n"])
-        words = pa.array(words, pa.binary()).cast(pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), words, pa.array(dfs, pa.int64()),
-                                          pa.ListArray.from_arrays(pa.array(ends), flat)], names=STRIPES.names)
+class Stripes:
+    """In-mapper stripes of one task: per language the document frequency of every term, and its
+    counts by source."""
+
+    def __init__(self):
+        self.df: dict[str, Counter] = {}
+        self.counts: dict[str, dict[str, Counter]] = {}
+        self.room = 0
+
+    def add(self, lang: str, source: str, words: list[bytes]) -> None:
+        """Fold a whole document."""
+        if not words:
+            return
+        if lang not in self.df:
+            self.df[lang], self.counts[lang] = Counter(), {}
+        counts = self.counts[lang].setdefault(source, Counter())
+        before = len(counts)
+        counts.update(words)
+        self.df[lang].update(set(words))
+        self.room += len(counts) - before
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for lang, df in self.df.items():
+            place = dict(zip(df, range(len(df))))
+            sources = list(self.counts[lang])
+            held = [self.counts[lang][s] for s in sources]
+            at = np.concatenate([np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in held])
+            n = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in held])
+            source = np.repeat(np.arange(len(held)), [len(c) for c in held])
+            order = np.argsort(at, kind="stable")
+            names = pa.array(sources, pa.string()).take(pa.array(source[order]))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(df)))]).astype(np.int32)
+            counts = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([names, pa.array(n[order])],
+                                                                                         names=["source", "n"]))
+            words = pa.array(list(df), pa.binary()).cast(pa.string())
+            columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(df), np.int64))), words,
+                       pa.array(np.fromiter(df.values(), np.int64, len(df))), counts]
+            yield from pa.Table.from_arrays(columns, names=STRIPES.names).to_batches(max_chunksize=20_000)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In-mapper stripes of whole documents (lang, source, text)."""
-    held: dict[str, dict[bytes, list]] = {}
-    size = weight = 0
+    """Stripes of whole documents (lang, source, text)."""
+    held, chars = Stripes(), 0
     for batch in batches:
         langs, sources = (batch.column(i).to_pylist() for i in (0, 1))
         at = 0
         for part in text_portions(batch.column(2)):
             for lang, source, text in zip(langs[at:], sources[at:], part):
-                stripes = held.setdefault(lang, {})
-                for term, n in Counter(terms(text)).items():
-                    stripe = stripes.get(term)
-                    if stripe is None:
-                        stripes[term] = [1, {source: n}]
-                        size, weight = size + 1, weight + len(term)
-                        continue
-                    stripe[0] += 1
-                    counts = stripe[1]
-                    if source in counts:
-                        counts[source] += n
-                    else:
-                        counts[source] = n
-                        size += 1
-                if size > HELD or weight > HELD_BYTES:
-                    yield from _batches([(lg, t, *s) for lg, own in held.items() for t, s in own.items()])
-                    held, size, weight = {}, 0, 0
+                held.add(lang, source, terms(text))
+                chars += len(text)
+                if held.room > HELD or chars > HELD_CHARS:
+                    yield from held.rows()
+                    held, chars = Stripes(), 0
             at += len(part)
-    yield from _batches([(lg, t, *s) for lg, own in held.items() for t, s in own.items()])
+    yield from held.rows()
+
+
+class Merged:
+    """Merged stripes of the terms that are kept, on their way out."""
+
+    def __init__(self):
+        self.out: list[tuple] = []
+        self.size = 0
+
+    def add(self, lang: str, term: str, df: int, counts: dict[str, int]) -> None:
+        self.out.append((lang, term, df, counts))
+        self.size += len(counts)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.out:
+            langs, words, dfs, counts = zip(*self.out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(dfs, pa.int64()),
+                 pa.array([[{"source": s, "n": n} for s, n in c.items()] for c in counts],
+                          pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())])))], names=STRIPES.names)
+        self.out, self.size = [], 0
+
+
+def _add(counts: dict[str, int], stripes: pa.Array) -> None:
+    flat = stripes.flatten()
+    for source, n in zip(flat.field(0).to_pylist(), flat.field(1).to_pylist()):
+        counts[source] = counts.get(source, 0) + n
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes that arrive sorted by (lang, term), merged by key."""
-    key, df, counts, out, size = None, 0, {}, [], 0
+def _merged(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Stripes that arrive sorted by (lang, term), merged by key; those of terms in fewer than
+    ``min_docs`` documents end here. Keys that lie within a batch are summed as arrays, and only the
+    kept ones are looked at one by one; a key that goes on from batch to batch adds up."""
+    out, key, df, counts = Merged(), None, 0, {}
     for batch in batches:
-        langs, words, dfs = (batch.column(i) for i in range(3))
-        lists = batch.column(3)
-        flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-        sources, ns = flat.field(0).to_pylist(), flat.field(1).to_pylist()
-        start = 0
-        words = words.cast(pa.binary()).to_pylist()
-        for lang, term, n, end in zip(langs.to_pylist(), words, dfs.to_pylist(), ends.tolist()):
-            if (lang, term) != key:
-                if key:
-                    out.append((*key, df, counts))
-                    size += len(counts)
-                    if size > HELD // 4:
-                        yield from _batches(out)
-                        out, size = [], 0
-                key, df, counts = (lang, term), 0, {}
-            df += n
-            for i in range(start, end):
-                counts[sources[i]] = counts.get(sources[i], 0) + ns[i]
-            start = end
-    if key:
-        out.append((*key, df, counts))
-    yield from _batches(out)
-
-
-def stripes(docs: DataFrame) -> DataFrame:
-    """``lang``, ``term``, ``df``, ``counts``: documents that hold the term, occurrences by source.
-    ``docs`` has lang, source and text, the first two without nulls."""
+        if not batch.num_rows:
+            continue
+        lang, term, dfs, stripes = batch.columns
+        new = np.ones(batch.num_rows, dtype=bool)
+        new[0] = (lang[0].as_py(), term[0].as_py()) != key
+        changes = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1]))
+        new[1:] = changes.to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new)
+        dfs = dfs.to_numpy()
+        if not len(starts) or starts[0] > 0:  # the open key goes on
+            end = int(starts[0]) if len(starts) else batch.num_rows
+            df += int(dfs[:end].sum())
+            _add(counts, stripes.slice(0, end))
+        if len(starts):
+            if key and df >= min_docs:
+                out.add(*key, df, counts)
+            ends = np.append(starts[1:], batch.num_rows)
+            sums = np.add.reduceat(dfs, starts)
+            for j in np.flatnonzero(sums[:-1] >= min_docs).tolist():
+                start, found = int(starts[j]), {}
+                _add(found, stripes.slice(start, int(ends[j]) - start))
+                out.add(lang[start].as_py(), term[start].as_py(), int(sums[j]), found)
+            start = int(starts[-1])
+            key, df, counts = (lang[start].as_py(), term[start].as_py()), int(sums[-1]), {}
+            _add(counts, stripes.slice(start))
+        if out.size > HELD // 4:
+            yield from out.rows()
+    if key and df >= min_docs:
+        out.add(*key, df, counts)
+    yield from out.rows()
+
+
+def stripes(docs: DataFrame, min_docs: int = 1) -> DataFrame:
+    """``lang``, ``term``, ``df``, ``counts`` of the terms in at least ``min_docs`` documents: documents that
+    hold the term, occurrences by source. ``docs`` has lang, source and text, the first two without
+    nulls."""
     folded = docs.select("lang", "source", "text").mapInArrow(_fold, STRIPES)
-    return folded.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(_merge, STRIPES)
+    return (folded.repartition("lang", "term").sortWithinPartitions("lang", "term")
+            .mapInArrow(lambda batches: _merged(batches, min_docs), STRIPES))
 
 
 def shares(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -238,7 +292,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     other source of the language (part ``pair``), and its ``TOP`` most telling terms (``term``)."""
     spark = docs.sparkSession
     read = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    kept = materialise(stripes(read).where(F.col("df") >= min_docs), "stripes")
+    kept = materialise(stripes(read, min_docs), "stripes")
     totals = (kept.select("lang", F.explode("counts").alias("c")).groupBy("lang", F.col("c.source").alias("source"))
               .agg(F.sum("c.n").alias("total")))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))

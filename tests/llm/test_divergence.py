@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -76,3 +77,30 @@ def test_shares_are_exact():
     counts = np.array([5, 7, 123_456_789_012, 999_999_999_999, 1_000_000_000_007], dtype=np.int64)
     total = np.array(1_000_000_000_007, dtype=np.int64)
     assert divergence.shares(counts, total).tolist() == [1 + 10**9 * int(c) // int(total) for c in counts]
+
+
+@pytest.mark.parametrize("rows", [1, 2, 5, 1000])
+def test_merge_goes_on_over_batches(rows):
+    """A key's stripes over many batches, in one batch, and at the borders; rare terms end there."""
+    texts = [("en", f"s{i % 3}", "often often " + "now " * (i % 2) + f"rare{chr(97 + i % 26)}") for i in range(60)]
+    texts += [("de", "s0", "often nie"), ("de", "s1", "often")]
+    stripes = []
+    for i in range(0, len(texts), 4):
+        held = divergence.Stripes()
+        for lang, source, text in texts[i: i + 4]:
+            held.add(lang, source, divergence.terms(text))
+        stripes += [r for batch in held.rows() for r in batch.to_pylist()]
+    stripes.sort(key=lambda r: (r["lang"], r["term"]))
+    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()),
+                        ("counts", pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())])))])
+    batches = [pa.RecordBatch.from_pylist(stripes[i: i + rows], schema) for i in range(0, len(stripes), rows)]
+    got = [r for b in divergence._merged(iter(batches), 2) for r in b.to_pylist()]
+    want = {}
+    for lang, source, text in texts:
+        for term, n in Counter(text.lower().split()).items():
+            df, counts = want.setdefault((lang, term), (set(), Counter()))
+            df.add((lang, source, text, len(df)))
+            counts[source] += n
+    want = {k: (len(df), dict(c)) for k, (df, c) in want.items() if len(df) >= 2}
+    assert {(r["lang"], r["term"]): (r["df"], {c["source"]: c["n"] for c in r["counts"]}) for r in got} == want
+    assert len(got) == len(want)
