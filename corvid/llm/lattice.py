@@ -12,18 +12,23 @@ Verified pairs leave a block as spanning edges only; once components are known,
 within each are counted by products of blocks of its vectors. So a pair is linked when it is
 in a component, whichever table found it.
 
-Defined results: null, empty, zero or non-finite vectors link with nothing. Vectors of other
-lengths than ``dims`` (by default the commonest length) are taken as not comparable and link with
-nothing. Rows with equal ids are rows of their own. Null ids come last.
+Vectors of different lengths have no cosine; each length has projections and cells of its own, in
+the same pass, so vectors of every length link with their like.
+
+Defined results: null, empty, zero or non-finite vectors link with nothing. Rows with equal ids
+are rows of their own. Null ids come last.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,7 +76,7 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 def projections(dims: int, seed: int = SEED) -> np.ndarray:
     """TABLES x PARTS random projections to eight dimensions, with orthonormal rows per table where
     the dimensions allow it; scaled so that coordinates don't depend on ``dims``."""
-    rng = np.random.default_rng(seed)
+    rng = np.random.default_rng([seed, dims])
     out = np.zeros((TABLES, PARTS, 8, dims))
     for t in range(TABLES):
         rows = rng.standard_normal((dims, 8 * PARTS))
@@ -80,6 +85,12 @@ def projections(dims: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=16)
+def _projections(dims: int) -> np.ndarray:
+    """This worker's projections of the lengths it met last."""
+    return projections(dims)
+
+
 def cells(unit: np.ndarray, tables: np.ndarray) -> np.ndarray:
     """64-bit keys, vectors x (TABLES * (1 + PROBES)): per table the own cell, then those probed."""
     keys = []
@@ -107,7 +118,7 @@ def cells(unit: np.ndarray, tables: np.ndarray) -> np.ndarray:
             options.append(moved)
         for option in options:
             whole = np.rint(2 * option).astype(np.int64).astype(np.uint64)
-            key = np.full(len(unit), t + 1, dtype=np.uint64)
+            key = np.full(len(unit), (unit.shape[1] << 8) + t + 1, dtype=np.uint64)
             for c in range(whole.shape[1]):
                 key = (key ^ whole[:, c]) * np.uint64(0x9E3779B97F4A7C15)
                 key ^= key >> np.uint64(29)
@@ -115,39 +126,55 @@ def cells(unit: np.ndarray, tables: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
-def _unit(column) -> np.ndarray:
-    x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+def _by_length(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every length of the lists of doubles: the rows that have it, and their values as a matrix
+    (NaN for nulls)."""
+    length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    start = np.cumsum(length) - length
+    for n in np.unique(length[length > 0]).tolist():
+        rows = np.flatnonzero(length == n)
+        yield rows, values[start[rows][:, None] + np.arange(n)]
+
+
+def _units(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every length of the stored vectors: the rows that have it, and these scaled to length 1."""
+    raw = column.to_pylist()
+    length = np.array([len(v) for v in raw])
+    for n in np.unique(length).tolist():
+        rows = np.flatnonzero(length == n)
+        x = np.frombuffer(b"".join(raw[i] for i in rows.tolist()), dtype=np.float64).reshape(len(rows), -1)
+        yield rows, x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _classes(rows: DataFrame, dims: int) -> DataFrame:
+def _classes(rows: DataFrame) -> DataFrame:
     """``rows`` (id, embedding) with ``node``, a key of the exact vector, and ``vec``, its doubles;
     both null where the vector can't be compared."""
     schema = T.StructType([rows.schema["id"], T.StructField("node", T.BinaryType()), T.StructField("vec", T.BinaryType())])
 
     def keyed(batches):
         for batch in batches:
-            nodes, vectors = [], []
-            for values in batch.column(1).to_pylist():
-                x = np.array([np.nan if v is None else v for v in values or []], dtype=np.float64)
-                good = len(x) == dims and dims > 0 and np.isfinite(x).all() and x.any()
-                x = x / np.abs(x).max() + 0.0 if good else x  # keeps squares finite, and -0.0 is 0.0
-                nodes.append(blake2b(x.tobytes(), digest_size=16).digest() if good else None)
-                vectors.append(x.tobytes() if good else None)
+            nodes, vectors = [None] * batch.num_rows, [None] * batch.num_rows
+            for at, x in _by_length(batch.column(1)):
+                good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+                x = x[good] / np.abs(x[good]).max(axis=1, keepdims=True) + 0.0  # keeps squares finite, and -0.0 is 0.0
+                for i, vector in zip(at[good].tolist(), x):
+                    vectors[i] = vector.tobytes()
+                    nodes[i] = blake2b(vectors[i], digest_size=16).digest()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(vectors, pa.binary())],
                                              names=["id", "node", "vec"])
 
     return rows.mapInArrow(keyed, schema)
 
 
-def _cell_rows(classes: DataFrame, tables: np.ndarray) -> DataFrame:
+def _cell_rows(classes: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("cell", T.LongType()), T.StructField("node", T.BinaryType())])
 
     def probed(batches):
         for batch in batches:
-            if batch.num_rows:
-                keys = cells(_unit(batch.column(1)), tables)
-                at = np.repeat(np.arange(batch.num_rows), keys.shape[1])
+            for rows, unit in _units(batch.column(1)):
+                keys = cells(unit, _projections(unit.shape[1]))
+                at = np.repeat(rows, keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column(0).take(pa.array(at))],
                                                  names=["cell", "node"])
 
@@ -156,9 +183,11 @@ def _cell_rows(classes: DataFrame, tables: np.ndarray) -> DataFrame:
 
 def _linked(group: pa.Table, cosine: float) -> np.ndarray:
     """Which pairs of a block are linked: above the diagonal, and off it only across chunks."""
-    unit = _unit(group["vec"])
     own = group["_c"].to_numpy()
-    near = np.triu(unit @ unit.T >= cosine, 1)
+    near = np.zeros((group.num_rows, group.num_rows), dtype=bool)
+    for rows, unit in _units(group["vec"]):
+        near[np.ix_(rows, rows)] = unit @ unit.T >= cosine
+    near = np.triu(near, 1)
     if group["_i"][0].as_py() != group["_j"][0].as_py():
         near &= own[:, None] != own[None, :]
     return near
@@ -189,18 +218,14 @@ def _counts(cosine: float):
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    cosine: float = COSINE, dims: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per vector: ``id_col``, ``n_links``, ``component_id`` (smallest id reachable), ``kept``."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    if dims is None:
-        common = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("d")).count()
-        first = common.orderBy(F.desc("count"), "d").first()
-        dims = first["d"] if first else 0
-    keyed = materialise(_classes(rows, dims), "vectors")
+    keyed = materialise(_classes(rows), "vectors")
     valid = keyed.where("node IS NOT NULL")
     classes = materialise(valid.groupBy("node").agg(F.first("vec").alias("vec"), F.count("*").alias("copies")), "classes")
 
-    found = materialise(_cell_rows(classes, projections(max(dims, 1))), "cells")
+    found = materialise(_cell_rows(classes), "cells")
     members = [F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("x2")]
     shared = found.groupBy("cell").agg(F.count("*").alias("n"), *members).where("n > 1")
     shared = materialise(shared.groupBy("n", "x1", "x2").agg(F.min("cell").alias("cell")).select("cell"), "shared")
