@@ -4,7 +4,7 @@ Targets: the sources share ``sum(size)`` words by weight; a target stops at ``ma
 times its source's size and the excess is shared anew by weight until none is above.
 
 Every source is dealt into shards of about ``shard_words`` words by a seeded hash of its
-documents. A shard's documents, in seeded order, lie end to end and are cut into blocks of
+documents and, for rows that are equal, their number, so copies of a row don't share a shard. A shard's documents, in seeded order, lie end to end and are cut into blocks of
 equally many words (about ``block_words``). The blocks to take are apportioned to (source,
 shard) cells by highest quotients ``v / (2 q + 1)``, v being the cell's blocks times its
 source's target over its size. A cell with quota q over n blocks takes every block
@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import SPACE, SPACE_CLASS, WORD_CLASS, fresh, kth_largest, materialise
+from corvid.llm.common import SPACE, SPACE_CLASS, WORD_CLASS, discard, fresh, kth_largest, materialise
+from corvid.operators.windows import dense_index, running
 
 #: The weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -35,27 +36,23 @@ def n_words(text: Column) -> Column:
 
 
 def _targets(sources: DataFrame, max_repeat: int) -> DataFrame:
-    """``sources`` (source, source_size, weight) with ``target``.
+    """``sources`` (a stored table: source, rank, source_size, weight) with ``target``.
 
     A source is full when its size over its weight is at most c, where c solves
     sum(min(max_repeat * size, weight * level)) = sum(size); level is found by running sums over
-    the sources in order of ``max_repeat * size / weight``. One row per source.
+    the sources in order of ``max_repeat * size / weight``, spread over tasks however many sources
+    there are.
     """
-    up = Window.orderBy("cap_level", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(0))
+    all_size, all_weight = sources.agg(F.sum("source_size"), F.sum("weight")).first()
     cap = F.col("source_size") * F.lit(float(max_repeat))
-    found = (sources.withColumn("cap", cap).withColumn("cap_level", F.col("cap") / F.col("weight"))
-             .withColumn("full_before", F.coalesce(F.sum("cap").over(up), F.lit(0.0)))
-             .withColumn("weight_before", F.coalesce(F.sum("weight").over(up), F.lit(0)))
-             .withColumn("all_weight", F.sum("weight").over(everything))
-             .withColumn("all_size", F.sum("source_size").over(everything))
-             .withColumn("level", (F.col("all_size") - F.col("full_before"))
-                         / (F.col("all_weight") - F.col("weight_before"))))
+    found = sources.withColumn("cap", cap).withColumn("cap_level", F.col("cap") / F.col("weight"))
+    found = running(found, [], ["cap_level", "rank"], {"cap_upto": ("sum", "cap"), "weight_upto": ("sum", "weight")})
+    found = found.withColumn("level", (F.lit(all_size) - F.col("cap_upto") + F.col("cap"))
+                             / (F.lit(all_weight) - F.col("weight_upto") + F.col("weight")))
     # the first source in order that isn't filled fixes the level of all behind it
-    unfilled = F.when(F.col("cap_level") >= F.col("level"), F.struct("cap_level", "rank", "level"))
-    level = F.min(unfilled).over(everything)["level"]
-    target = F.least("cap", F.col("weight") * F.coalesce(level, "cap_level"))
-    return found.withColumn("target", target.cast("double"))
+    first = found.where("cap_level >= level").agg(F.min(F.struct("cap_level", "rank", "level")).alias("f")).first()["f"]
+    level = F.col("cap_level") if first is None else F.lit(first["level"])
+    return found.withColumn("target", F.least("cap", F.col("weight") * level).cast("double"))
 
 
 def _quotas(cells: DataFrame, max_repeat: int, seed: int) -> DataFrame:
@@ -93,15 +90,17 @@ def _plan(rows: DataFrame, weights, max_repeat: int, block_words: int, shard_wor
     """Rows with the figures of their sources, and pieces: runs of words of a row, with the
     number of ``times`` that they are taken."""
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
-    sources = _targets(per_source.withColumn("rank", F.row_number().over(ordered)).withColumn("weight", weight),
-                       max_repeat)
-    sources = materialise(sources.select(
+    ranked = dense_index(per_source, [F.col("source").asc_nulls_last()], "rank", start=1)
+    ranked = materialise(ranked.withColumn("rank", F.col("rank").cast("int")).withColumn("weight", weight), "ranked")
+    sources = materialise(_targets(ranked, max_repeat).select(
         "source", "rank", "source_size", "target",
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long").alias("shards")), "sources")
+    discard(ranked)
     full = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    full = materialise(full.withColumn("shard", F.pmod(F.col("draw"), F.col("shards"))), "rows")
+    # copies of a row (equal in id, source and text) are dealt apart by their number
+    full = running(full, ["rank", "draw"], ["row"], {"copy": ("count", "row")})
+    full = materialise(full.withColumn("shard", F.pmod(F.xxhash64("draw", "copy"), F.col("shards"))).drop("copy"), "rows")
 
     with_words = full.where("size > 0")
     laid = Window.partitionBy("rank", "shard").orderBy("draw2", "row").rowsBetween(Window.unboundedPreceding, 0)

@@ -96,3 +96,25 @@ def test_odd_rows(odd, empty):
 def test_no_python_in_the_plan(documents):
     plan = mixing.mix(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_copies_of_a_row_are_dealt_apart(spark):
+    """One row 20,000 times, beside others: its copies spread evenly, and reruns agree."""
+    text = "ten words that are all the same in every copy"
+    rows = [(1, text, "a")] * 20_000 + [(i, f"w{i} " * 10, "b") for i in range(2, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    kw = {"shard_words": 5000, "block_words": 50}
+    held = mixing.materialise(mixing._rows(docs, "doc_id", "text", "source", mixing.F.monotonically_increasing_id(), 31), "t")
+    full, _ = mixing._plan(held, mixing.WEIGHTS, 3, 50, 5000, 31)
+    per_shard = [r["count"] for r in full.where("source = 'a'").groupBy("shard").count().collect()]
+    assert len(per_shard) == 40 and max(per_shard) < 1.5 * 20_000 / 40
+    a, b = (sorted((r.doc_id, r.taken) for r in mixing.mix_report(d, **kw).collect()) for d in (docs, docs.repartition(3)))
+    assert a == b
+
+
+def test_many_sources(spark):
+    """A source for each document: ranks and targets by spread scans, equal to water filling."""
+    rows = [(i, "w " * (i % 50 + 1), f"s{i:04d}" if i else None) for i in range(600)]
+    got = mixing.mix_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    target = brute_targets(ordered([(r[2], r[0] % 50 + 1) for r in rows]))
+    assert all(r.target == pytest.approx(float(target[rows[r.doc_id][2]])) for r in got) and len(got) == 600
