@@ -45,6 +45,7 @@ _AT = {
     "private": re.compile("-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\\s]+)-----END \\1-----", re.A),
     "wallet": re.compile("5[HJK][1-9A-HJ-NP-Za-km-z]{49}(?![1-9A-HJ-NP-Za-km-z])"),
 }
+_RUN = re.compile("[A-Za-z0-9_-]+")
 _HEX = re.compile("(?<![0-9a-f])[0-9a-f]{32,}")
 _DIGITS62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _DIGITS58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -111,11 +112,16 @@ def scan(text: str, keywords: ahocorasick.Automaton) -> list[tuple[int, int, str
     for kind, places in starts.items():
         beyond = 0
         for start in sorted(places):
+            if start < beyond:
+                continue
             # leftmost, non-overlapping: a match that fails validation still takes its text
-            if start >= beyond and (m := _AT[kind].match(text, start)):
+            if m := _AT[kind].match(text, start):
                 beyond = m.end()
                 if _VALID[kind](m):
                     spans.append((start, beyond, kind))
+            elif kind == "signed":
+                # a part ends where its run ends, so what failed here fails from all places in the run
+                beyond = _RUN.match(text, start).end()
     spans += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
