@@ -20,7 +20,7 @@ positions strings the tokens' bytes together.
 
 Work is bounded per task: texts are taken in portions, new pieces in batches, and the memory
 of known pieces is emptied by half when it holds ``KNOWN`` pieces. DuckDB runs in the task's
-process on one thread, in memory.
+process on one thread, in memory only: it has no folder to spill to.
 
 Defined results: null and empty texts have no ids and decode to no bytes. Repeated rows are
 encoded each. Lone surrogates can't occur in Spark strings. Ids without a token raise an error
@@ -108,8 +108,8 @@ WITH RECURSIVE step(n, w, g, p, t) AS (
 SELECT w, g, n, p, t FROM step JOIN (SELECT w, g, max(n) AS n FROM step GROUP BY w, g) USING (w, g, n)
 """
 DECODE_SQL = """
-SELECT d, string_agg(s, '') AS s, count(s) AS n
-FROM (SELECT d, p, s FROM tokens LEFT JOIN vocabulary USING (id) ORDER BY d, p) GROUP BY d
+SELECT d, string_agg(s, '' ORDER BY p) AS s, count(s) AS n
+FROM tokens LEFT JOIN vocabulary USING (id) GROUP BY d
 """
 
 
@@ -142,7 +142,7 @@ class Codec:
     def duck(self) -> duckdb.DuckDBPyConnection:
         """A database in memory with the merge table and the vocabulary, until ``rest``."""
         if self.connection is None:
-            self.connection = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+            self.connection = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
             for name, table in self.tables.items():
                 self.connection.register("given", table)
                 self.connection.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
