@@ -12,7 +12,7 @@ maximal runs of non-space characters. Three kinds of potentials score a labellin
 Loopy sum-product message passing runs over each document's graph, so the evidence at one
 mention reaches the others. Tokens whose label is likelier than ``SURE`` become spans unless a
 base span covers them. The potentials are fitted piecewise (each kind for itself) on base spans
-of a sample of ``MAX_FIT`` documents at most.
+of a sample of ``MAX_FIT`` texts at most, chosen alike at every size of the table.
 
 Defined results: null and empty texts have no spans. Spans count code points, end exclusive.
 Rows are labelled each by itself; repeated rows get equal spans. A group of tokens that
@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import add_columns, fresh, texts_of
+from corvid.llm.common import add_columns, discard, fresh, kth_largest, materialise, text_portions, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 MAX_FIT = 5_000
-#: Characters of candidate tokens that a document of the fitting sample holds at most.
-MAX_FIT_CHARS = 16_384
+#: Candidate tokens, and characters in them, that a text of the fitting sample holds at most: the
+#: driver fits on 640,000 tokens of 20 figures, about 100 MB.
+MAX_FIT_TOKENS, MAX_FIT_CHARS = 128, 4_096
 SUFFIX = 7
 SURE = 0.9
 ROUNDS = 12
@@ -262,18 +263,23 @@ def compact(text: str) -> str:
 
 
 def fit_sample(docs: DataFrame, text_col: str = "text", max_fit: int = MAX_FIT) -> Field:
-    """Field fitted on the texts of ``max_fit`` documents at most, chosen by hash; equal texts count
-    once, and documents with more than ``MAX_FIT_CHARS`` characters of candidates are passed over."""
-    every = max(1, docs.count() // max_fit)
-    held = docs.select(F.col(text_col).alias("t")).where(F.pmod(F.xxhash64(F.lit(9), "t"), F.lit(every)) == 0)
-
+    """Field fitted on ``max_fit`` texts at most: of the texts that have candidates, and no more than
+    ``MAX_FIT_TOKENS`` of them with ``MAX_FIT_CHARS`` characters, those of the smallest hashes, equal
+    ones once. Texts without candidates make no difference, however many there are."""
     def compacted(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([compact(t) for t in texts_of(batch.column(0))], pa.string())],
-                                             names=["t"])
-
-    texts = held.mapInArrow(compacted, "t string").where(F.length("t").between(1, MAX_FIT_CHARS)).distinct()
-    return fit(sorted(r.t for r in texts.orderBy(F.xxhash64("t"), "t").limit(max_fit).collect()))
+            for part in text_portions(batch.column(0)):
+                held = [compact(t) for t in part if 0 < len(candidates(t)) <= MAX_FIT_TOKENS]
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["t"])
+
+    texts = docs.select(text_col).mapInArrow(compacted, "t string").where(F.length("t") <= MAX_FIT_CHARS).distinct()
+    texts = materialise(texts.withColumn("order", F.bitwise_not(F.xxhash64(F.lit(9), "t"))), "fit-texts")
+    cut = kth_largest(texts, "order", max_fit)
+    chosen = texts if cut is None else texts.where(F.col("order") >= F.lit(cut))
+    # rows whose hashes tie with the last are few; the limit makes the bound certain
+    found = [r.t for r in chosen.orderBy(F.desc("order"), "t").limit(max_fit).toLocalIterator()]
+    discard(texts)
+    return fit(sorted(found))
 
 
 def find_personal_data(docs: DataFrame, field: Field | None = None, text_col: str = "text") -> DataFrame:

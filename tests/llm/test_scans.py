@@ -187,3 +187,42 @@ def test_odd_rows(odd, empty):
         assert out.columns[:5] == odd.columns and out.count() == 12
         assert {r.spans for r in out.where("text IS NULL OR text = ''").collect()} == {""}
         assert fn(empty).count() == 0
+
+
+def test_every_keyword_is_linear():
+    """A keyword over and over, with and without what could follow it."""
+    keywords = secrets.automaton()
+    for word in secrets.KEYWORDS:
+        for unit in (word, word.upper(), word + "=", word + " " * 50, word + "-", word + "."):
+            secrets.scan(unit * (200_000 // len(unit)), keywords)
+    secrets.scan("eyJ" * 66_000 + ".eyJ" + "eyJ" * 66_000, keywords)
+    secrets.scan("eyJa.eyJb " * 20_000, keywords)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["eyJ", "eyJhIjoxfQ", "a", ".", "..", " ", "-", "eyJ7", "eyJhIjoxfQ.eyJhIjoxfQ."]), max_size=25))
+def test_signed_tokens_against_plain_expressions(parts):
+    text, want = "".join(parts), []
+    for m in re.finditer(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*", text):
+        if secrets._json_part(m[1]) and secrets._json_part(m[2]):
+            want.append((m.start(), m.end(), "signed"))
+    assert [s for s in secrets.scan(text, secrets.automaton()) if s[2] == "signed"] == want
+
+
+def test_fit_does_not_depend_on_texts_without_candidates(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    plain = spark.range(5000).selectExpr("-id as doc_id", "concat('no such thing here ', repeat('word ', id % 50)) as text")
+    a, b = pii.fit_sample(docs, max_fit=40), pii.fit_sample(docs.unionByName(plain).unionByName(docs), max_fit=40)
+    assert (a.node == b.node).all() and (a.chain == b.chain).all() and (a.skip == b.skip).all() and a.node.any()
+
+
+def test_fit_is_bounded_by_tokens(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda texts: seen.extend(texts))
+    rows = [(" ".join(f"{i}a{k}" for k in range(n)),) for i, n in enumerate([1, 5, 128, 129, 4000, 128])]
+    docs = spark.createDataFrame(rows + [("9" * 5000,), (None,), ("",)], "text string")
+    pii.fit_sample(docs)
+    assert sorted(len(pii.candidates(t)) for t in seen) == [1, 5, 128, 128]
+    seen.clear()
+    pii.fit_sample(docs, max_fit=2)
+    assert len(seen) == 2
