@@ -53,22 +53,22 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def kth_largest(values: DataFrame, col: str, k: int, bins: int = 4096) -> int | None:
-    """Exact k-th largest value of a long column: histograms of ``bins`` bins over an interval
-    that shrinks to a single value. None if there are fewer than k rows."""
+    """Exact k-th largest value of a long column: histograms of about ``bins`` bins over an interval
+    that shrinks to a single value. None if there are fewer than k rows. Bins are the values without
+    their last binary digits, so any range of longs will do."""
     low, high, n = values.agg(F.min(col), F.max(col), F.count(col)).first()
     if k < 1 or n < k:
         return None
     left = k
     while low < high:
-        width = (high - low) // bins + 1
+        digits = max(0, (high - low).bit_length() - (bins.bit_length() - 1))
         hist = dict(values.where(F.col(col).between(low, high))
-                    .groupBy(F.floor((F.col(col) - F.lit(low)) / F.lit(width)).cast("int").alias("bin")).count()
-                    .collect())
+                    .groupBy(F.shiftright(F.col(col), digits).alias("bin")).count().collect())
         for b in sorted(hist, reverse=True):
             if hist[b] >= left:
                 break
             left -= hist[b]
-        low, high = low + b * width, min(low + (b + 1) * width - 1, high)
+        low, high = max(low, b << digits), min(high, ((b + 1) << digits) - 1)
     return low
 
 

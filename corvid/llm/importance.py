@@ -12,7 +12,8 @@ tokens, pairs (an immediate repetition is one n-gram of its own) and triples of
 Defined results: null and empty texts have no n-grams, so log weight 0. Rows whose keys tie
 with the k-th are all taken. Repeated rows get the same key and stay or go together. Without
 usable labels nothing is rejected. Labels with null ids or null quality are left out; a
-document labelled several times is good only if all its labels say so.
+document labelled several times is good only if all its labels say so. Of the rows that share a
+labelled id the one with the smallest hash of its text stands for the id in the fit.
 """
 
 from __future__ import annotations
@@ -157,9 +158,10 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = materialise(labelled_sample(labels, max_labelled), "labels")
     # a sample of few rows is sent to the texts; beyond, the texts are shuffled
     few = F.broadcast(sample) if max_labelled <= MAX_LABELLED else sample.hint("merge")
-    known = materialise(
-        docs.select(F.col(id_col).alias("_label_id"), F.col(text_col).alias("_text"))
-        .join(few, "_label_id").select("_label_id", "_text", "_good", "_fit"), "labelled")
+    # one text for each labelled id, however many rows have that id
+    held = (docs.select(F.col(id_col).alias("_label_id"), F.col(text_col).alias("_text")).join(few, "_label_id")
+            .groupBy("_label_id", "_good", "_fit").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text")))
+    known = materialise(held, "labelled")
     raw = _vector(ngram_counts(docs, text_col))
     target = _vector(ngram_counts(known.where("_fit AND _good"), "_text"))
     ratios = log_ratios(raw, target) if target.sum() else np.zeros(BUCKETS)

@@ -2,7 +2,9 @@
 
 import numpy as np
 
-from corvid.llm import importance
+from conftest import SF
+
+from corvid.llm import importance, queries
 from corvid.llm.common import kth_largest
 from corvid.llm.tokens import tokenise, windows
 
@@ -54,3 +56,54 @@ def test_odd_rows(odd, empty, labels):
     assert (got[got.text.isna() | (got.text == "")].log_weight == 0).all()
     assert importance.resample(empty, labels).count() == 0
     assert importance.resample(odd, labels.limit(0)).where("_kept").count() == 12
+
+
+def test_kth_largest_of_the_whole_range(spark):
+    values = [-(1 << 63), (1 << 63) - 1, 0, -1, 1, 1 << 62, -(1 << 62), 12345]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for k in range(1, len(values) + 1):
+        assert kth_largest(df, "v", k, bins=16) == sorted(values, reverse=True)[k - 1]
+
+
+def test_copies_of_a_labelled_row_weigh_nothing(documents, labels):
+    """The cut and the verdict of the labelled rows stay when one of them is there a thousand times."""
+    some = labels.where("quality = 0").limit(1)
+    again = documents.join(some.select("doc_id"), "doc_id").select(documents.columns)
+    more = documents
+    for _ in range(5):
+        again = again.unionByName(again)
+    more = documents.unionByName(again)
+    sample = importance.labelled_sample(labels)
+    held = more.join(sample, more.doc_id == sample._label_id)
+    assert held.count() > sample.join(documents, documents.doc_id == sample._label_id).count()
+    a = importance.resample(documents, labels).select("doc_id", "kept").toPandas().drop_duplicates()
+    b = importance.resample(more, labels).select("doc_id", "kept").toPandas().drop_duplicates()
+    assert len(a) == len(b) and (a.set_index("doc_id").kept == b.set_index("doc_id").kept).mean() > 0.97
+
+
+def test_query_against_brute_force(spark, documents, labels):
+    """Weights, keys, cut and verdict worked out text by text."""
+    docs, quality = documents.collect(), {}
+    for r in labels.collect():
+        quality[r.doc_id] = min(quality.get(r.doc_id, 1), r.quality)
+    ids = spark.createDataFrame([(i,) for i in quality], "i long")
+    draw = {r.i: r.d for r in ids.selectExpr("i", "xxhash64(5, i) as d").collect()}
+    noise = {r.doc_id: r.g for r in documents.select("doc_id", importance.gumbel(documents.doc_id).alias("g")).collect()}
+    buckets = {r.doc_id: importance.ngram_buckets([r.text or ""])[0] for r in docs}
+    raw, target = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    for i, b in buckets.items():
+        np.add.at(raw, b, 1)
+        if quality.get(i) and draw[i] % 2 == 0:
+            np.add.at(target, b, 1)
+    ratio = np.log((target + 32) / (raw * target.sum() / raw.sum() + 32))
+    weight = {i: ratio[b].sum() for i, b in buckets.items()}
+    key = {i: w + noise[i] for i, w in weight.items()}
+    held = sorted((key[i], bool(q)) for i, q in quality.items() if draw[i] % 2 and i in key)
+    cuts = [(sum(2 if g else 0 for _, g in held[:n]) + sum(not g for _, g in held[n:]), n) for n in range(len(held) + 1)]
+    n = min(cuts)[1]
+    cut = -np.inf if n == 0 else (held[n - 1][0] + held[min(n, len(held) - 1)][0]) / 2
+    got = queries.QUERIES["op1_importance"](spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert abs(r.log_weight - weight[r.doc_id]) < 1e-6 and abs(r.gumbel_key - key[r.doc_id]) < 1e-6
+        assert r.kept == (key[r.doc_id] >= cut) or abs(key[r.doc_id] - cut) < 1e-5
