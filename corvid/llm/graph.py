@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import map_groups, materialise
+from corvid.llm.common import discard, map_groups, materialise
 
 EDGES = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
 
@@ -74,14 +74,16 @@ def _contract(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").mapInArrow(forests, EDGES)
 
 
-def _star(edges: DataFrame, at: Column, other: Column, keep: Column, extra: bool, name: str) -> DataFrame:
+def _star(edges: DataFrame, at: Column, other: Column, keep: Column, extra: bool,
+          name: str) -> tuple[DataFrame, DataFrame]:
+    """The new edges, and a stored table that they read."""
     near = edges.select(at.alias("u"), other.alias("v"))
-    low = materialise(near.groupBy("u").agg(F.min("v").alias("m")), f"{name}-min")
-    low = low.select("u", F.least("u", "m").alias("m"))
+    stored = materialise(near.groupBy("u").agg(F.min("v").alias("m")), f"{name}-min")
+    low = stored.select("u", F.least("u", "m").alias("m"))
     out = near.join(low, "u").where(keep).select(F.col("v").alias("a"), F.col("m").alias("b"))
     if extra:
         out = out.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.where(F.col("a") != F.col("b")).distinct()
+    return out.where(F.col("a") != F.col("b")).distinct(), stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -94,14 +96,19 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialise(_contract(edges.where(F.col("a") != F.col("b"))), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = materialise(_star(both, F.col("a"), F.col("b"), F.col("v") > F.col("u"), False, "large"), "large")
-        edges = materialise(_star(large, F.greatest("a", "b"), F.least("a", "b"), F.lit(True), True, "small"), "small")
+        star, low = _star(both, F.col("a"), F.col("b"), F.col("v") > F.col("u"), False, "large")
+        large = materialise(star, "large")
+        star, lower = _star(large, F.greatest("a", "b"), F.least("a", "b"), F.lit(True), True, "small")
+        small = materialise(star, "small")
+        discard(edges, low, large, lower)
+        edges = small
         roots = edges.select(F.col("b").alias("a")).distinct()
         if edges.join(roots, "a", "left_semi").isEmpty() and edges.groupBy("a").count().where("count > 1").isEmpty():
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return materialise(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots),
-                       "components")
+    out = materialise(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots), "components")
+    discard(edges)
+    return out
 
 
 def smallest_ids(rows: DataFrame, node: str, id_col: str, comps: DataFrame, out: str) -> DataFrame:
