@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read back as the
 next one's documents.
+
+Defined results: null and empty texts have no n-grams, no repeated lines and no near copies, so they
+pass the first three stages; the mix takes no word of them, so they end there. Null ids are ids of
+their own in every stage; rows that are equal are near copies, of which one stays. Further columns
+go along until the last stage, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.llm import bpe, importance, jaccard, line_dedup, mixing
-from corvid.llm.common import WORD_CLASS, materialise
+from corvid.llm.common import WORD_CLASS, discard, materialise
 from corvid.sources.tables import load
 
 #: SQL can express neither the sampled stages nor the tokens; tests compare brute force.
@@ -54,8 +59,11 @@ STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram Jacca
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's table goes once the next one's is stored."""
+    docs, last = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if last is not None:
+            discard(last)
+        last = docs
     return docs
