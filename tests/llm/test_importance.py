@@ -3,6 +3,7 @@
 import numpy as np
 
 from conftest import SF
+from pyspark.sql import functions as F
 
 from corvid.llm import importance, queries
 from corvid.llm.common import kth_largest
@@ -81,29 +82,46 @@ def test_copies_of_a_labelled_row_weigh_nothing(documents, labels):
     assert len(a) == len(b) and (a.set_index("doc_id").kept == b.set_index("doc_id").kept).mean() > 0.97
 
 
-def test_query_against_brute_force(spark, documents, labels):
-    """Weights, keys, cut and verdict worked out text by text."""
-    docs, quality = documents.collect(), {}
-    for r in labels.collect():
-        quality[r.doc_id] = min(quality.get(r.doc_id, 1), r.quality)
-    ids = spark.createDataFrame([(i,) for i in quality], "i long")
-    draw = {r.i: r.d for r in ids.selectExpr("i", "xxhash64(5, i) as d").collect()}
-    noise = {r.doc_id: r.g for r in documents.select("doc_id", importance.gumbel(documents.doc_id).alias("g")).collect()}
-    buckets = {r.doc_id: importance.ngram_buckets([r.text or ""])[0] for r in docs}
+def brute(spark, rows, labels):
+    """(log weight, key, kept) of every row (id, text), worked out text by text; labels: (id, quality)."""
+    quality = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            quality[i] = min(quality.get(i, 1), q)
+    places = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n long, id long, text string")
+    drawn = places.select("n", importance.gumbel(places.id).alias("g"), F.xxhash64(F.lit(5), "id").alias("d"),
+                          F.xxhash64("text").alias("h"))
+    drawn = {r.n: r for r in drawn.collect()}
+    buckets = [importance.ngram_buckets([text or ""])[0] for _, text in rows]
+    one = {}  # the row that stands for a labelled id
+    for n, (i, text) in enumerate(rows):
+        if i in quality:
+            one[i] = min(one.get(i, (drawn[n].h, text or "", n)), (drawn[n].h, text or "", n))
     raw, target = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
-    for i, b in buckets.items():
+    for b in buckets:
         np.add.at(raw, b, 1)
-        if quality.get(i) and draw[i] % 2 == 0:
-            np.add.at(target, b, 1)
+    for i, (_, _, n) in one.items():
+        if quality[i] and drawn[n].d % 2 == 0:
+            np.add.at(target, buckets[n], 1)
+    if not target.sum():
+        return [(0.0, drawn[n].g, True) for n in range(len(rows))]
     ratio = np.log((target + 32) / (raw * target.sum() / raw.sum() + 32))
-    weight = {i: ratio[b].sum() for i, b in buckets.items()}
-    key = {i: w + noise[i] for i, w in weight.items()}
-    held = sorted((key[i], bool(q)) for i, q in quality.items() if draw[i] % 2 and i in key)
-    cuts = [(sum(2 if g else 0 for _, g in held[:n]) + sum(not g for _, g in held[n:]), n) for n in range(len(held) + 1)]
-    n = min(cuts)[1]
-    cut = -np.inf if n == 0 else (held[n - 1][0] + held[min(n, len(held) - 1)][0]) / 2
+    weight = [ratio[b].sum() for b in buckets]
+    key = [w + drawn[n].g for n, w in enumerate(weight)]
+    held = sorted((key[n], bool(quality[i])) for i, (_, _, n) in one.items() if drawn[n].d % 2)
+    cut = -np.inf
+    if held and len({g for _, g in held}) == 2:
+        costs = [(sum(2 if g else 0 for _, g in held[:n]) + sum(not g for _, g in held[n:]), n) for n in range(len(held) + 1)]
+        n = min(costs)[1]
+        cut = -np.inf if n == 0 else (held[n - 1][0] + held[min(n, len(held) - 1)][0]) / 2
+    return [(weight[n], key[n], bool(key[n] >= cut)) for n in range(len(rows))]
+
+
+def test_query_against_brute_force(spark, documents, labels):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    want = {i: w for (i, _), w in zip(rows, brute(spark, rows, [(r.doc_id, r.quality) for r in labels.collect()]))}
     got = queries.QUERIES["op1_importance"](spark, SF).collect()
-    assert len(got) == len(docs)
+    assert len(got) == len(want)
     for r in got:
-        assert abs(r.log_weight - weight[r.doc_id]) < 1e-6 and abs(r.gumbel_key - key[r.doc_id]) < 1e-6
-        assert r.kept == (key[r.doc_id] >= cut) or abs(key[r.doc_id] - cut) < 1e-5
+        weight, key, kept = want[r.doc_id]
+        assert abs(r.log_weight - weight) < 1e-6 and abs(r.gumbel_key - key) < 1e-6 and r.kept == kept
