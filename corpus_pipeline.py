@@ -3,10 +3,11 @@
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read back as the
 next one's documents.
 
-Defined results: null and empty texts have no n-grams, no repeated lines and no near copies, so they
-pass the first three stages; the mix takes no word of them, so they end there. Null ids are ids of
-their own in every stage; rows that are equal are near copies, of which one stays. Further columns
-go along until the last stage, whatever their names. An empty table gives no rows.
+Defined results: null and empty texts have log weight 0 in the first stage, which keeps or rejects them
+by their key like others; they lose no lines and are nobody's near copies; the mix takes no word of
+them, so they end there. Null ids are ids of their own in every stage; rows that are equal are
+near copies, of which one stays. Further columns go along until the last stage. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
