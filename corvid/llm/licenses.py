@@ -7,7 +7,10 @@ a template that share ``GRAM + WINDOW - 1`` words in a row share a fingerprint.
 fingerprint names a template and a diagonal (place in the text less place in the template);
 diagonals within a band of each other are aligned once, at most a band off the diagonal. The
 band is a quarter of the template's words, ``BAND`` at most.
-Candidates that can't have enough words within their band are passed over first.
+Candidates that can't have enough words within their band are passed over first. In a full text
+words may be put in or left out: shared fingerprints whose diagonals lie up to ``CHAIN`` words apart,
+one after the other in template and text, are a chain, and its alignment is that of its
+stretches, each within a band of its own diagonal.
 A match must have the template's ``MARKS`` (names and versions that tell licenses apart) in their
 order and no others; of a full text, those of its title.
 A match reports the share of the template's words that are aligned (``coverage``) and the span from
@@ -33,6 +36,9 @@ from corvid.llm.tokens import Tokens, tokenise, windows
 
 GRAM, WINDOW, BAND = 3, 3, 8
 MIN_COVERAGE = 0.8
+#: Words put in or left out between two stretches of a full text, hits looked back at for the one
+#: before, and the share of a template's fingerprints that a chain has at least.
+CHAIN, LOOK, LEAST = 64, 48, 0.4
 
 #: Notices of public licenses.
 TEMPLATES = {
@@ -138,9 +144,9 @@ def same_marks(template: np.ndarray, matched: np.ndarray) -> bool:
             and set(marks(template[: 2 * TITLE], _NAMES)) == set(marks(matched[: 2 * TITLE], _NAMES)))
 
 
-def within_band(template: np.ndarray, text: np.ndarray, diagonal: int) -> int:
+def within_band(template: np.ndarray, text: np.ndarray, diagonal: int, off: int | None = None) -> int:
     """Template words that the text has at most a band off the diagonal: no alignment has more."""
-    off, found = band(template), np.zeros(len(template), dtype=bool)
+    off, found = band(template) if off is None else off, np.zeros(len(template), dtype=bool)
     for shift in range(diagonal - off, diagonal + off + 1):
         lo, hi = max(0, -shift), min(len(template), len(text) - shift)
         if lo < hi:
@@ -153,13 +159,15 @@ class Index:
 
     def __init__(self, templates: dict[str, str] = TEMPLATES):
         self.names = sorted(templates)
-        self.words = []
+        self.words, self.count = [], []
         entries = []
         for number, name in enumerate(self.names):
             words = tokenise([_lower(templates[name])], _CLASSES).hash
             self.words.append(words)
             grams = windows(words, min(GRAM, len(words)))
-            entries += [(int(grams[at]), number, int(at)) for at in fingerprints(grams)]
+            chosen = fingerprints(grams)
+            self.count.append(len(chosen))
+            entries += [(int(grams[at]), number, int(at)) for at in chosen]
         entries.sort()
         self.keys = np.array([e[0] for e in entries], dtype=np.uint64)
         self.found = [(e[1], e[2]) for e in entries]
@@ -171,22 +179,79 @@ class Index:
         known = self.keys[np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)] == grams
         if not known.any():
             return []
-        chosen = fingerprints(grams)
-        pairs = []
-        for at in chosen[known[chosen]].tolist():
-            lo, hi = np.searchsorted(self.keys, grams[at], side="left"), np.searchsorted(self.keys, grams[at], side="right")
-            pairs += [(number, at - place) for number, place in self.found[lo:hi]]
         out: list[tuple[int, int]] = []
-        for number, diagonal in sorted(set(pairs)):
+        for number, diagonal in sorted({(number, at - place) for number, place, at in self._shared(grams, known)}):
             if not out or out[-1][0] != number or diagonal - out[-1][1] > band(self.words[number]):
                 out.append((number, diagonal))
         return out
 
+    def _shared(self, grams: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, place in it, place in the text) of the shared fingerprints."""
+        chosen, out = fingerprints(grams), []
+        for at in chosen[known[chosen]].tolist():
+            lo, hi = np.searchsorted(self.keys, grams[at], side="left"), np.searchsorted(self.keys, grams[at], side="right")
+            out += [(number, place, at) for number, place in self.found[lo:hi]]
+        return out
+
+    def chains(self, grams: np.ndarray) -> list[tuple[int, list[tuple[int, int]]]]:
+        """(template, stretches) of the full texts that a text holds in several stretches; a stretch is its
+        first place in the template and its diagonal."""
+        if not len(grams) or not len(self.keys):
+            return []
+        known = self.keys[np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)] == grams
+        if not known.any():
+            return []
+        held: dict[int, list[tuple[int, int]]] = {}
+        for number, place, at in self._shared(grams, known):
+            if len(self.words[number]) >= FULL:
+                held.setdefault(number, []).append((at, place))
+        out = []
+        for number, hits in held.items():
+            least, off = LEAST * self.count[number], band(self.words[number]) // 2
+            hits.sort()
+            for chain in _chains(hits, off, least):
+                stretches = [(0, chain[0][0] - chain[0][1])]
+                for at, place in chain:
+                    if abs(at - place - stretches[-1][1]) > off:
+                        stretches.append((place, at - place))
+                if len(stretches) > 1:
+                    out.append((number, stretches))
+        return out
+
+
+def _chains(hits: list[tuple[int, int]], off: int, least: float) -> list[list[tuple[int, int]]]:
+    """Chains of (place in the text, place in the template) that rise together, a change of the diagonal
+    beyond ``off`` costing two hits: the longest first, without hits of longer ones, as long as they
+    have ``least`` hits. ``hits`` are in order."""
+    score, back = [1.0] * len(hits), [-1] * len(hits)
+    for i, (at, place) in enumerate(hits):
+        for j in range(i - 1, max(-1, i - LOOK - 1), -1):
+            then, before = hits[j]
+            if at - then > 4 * CHAIN:
+                break
+            shift = abs((at - place) - (then - before))
+            if before < place and then < at and shift <= CHAIN:
+                got = score[j] + (1.0 if shift <= off else -1.0)
+                if got > score[i]:
+                    score[i], back[i] = got, j
+    used, out = [False] * len(hits), []
+    for i in sorted(range(len(hits)), key=lambda i: -score[i]):
+        if score[i] < least / 2:
+            break
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(hits[i])
+            i = back[i]
+        if len(chain) >= least:
+            out.append(chain[::-1])
+    return out
+
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+def align(template: np.ndarray, text: np.ndarray, diagonal: int, off: int | None = None) -> tuple[int, int, int]:
     """(aligned words, first, last place in the text) of the best banded alignment: a longest
     common subsequence at most a band off the diagonal, of least extent among the longest."""
-    off = band(template)
+    off = band(template) if off is None else off
     width = 2 * off + 1
     # state per offset in the band: (aligned, -extent, first, last)
     none = (0, 0, -1, -1)
@@ -208,16 +273,48 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, i
     return best[0], best[2], best[3]
 
 
+def _parts(template: np.ndarray, stretches: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first place, end, diagonal) of each stretch in the template."""
+    ends = [place for place, _ in stretches[1:]] + [len(template)]
+    return [(place, end, diagonal) for (place, diagonal), end in zip(stretches, ends)]
+
+
+def within_chain(template: np.ndarray, text: np.ndarray, stretches: list[tuple[int, int]]) -> int:
+    """``within_band`` of a chain: no alignment of its stretches has more."""
+    off = band(template)
+    return sum(within_band(template[place:end], text, place + diagonal, off)
+               for place, end, diagonal in _parts(template, stretches))
+
+
+def align_chain(template: np.ndarray, text: np.ndarray, stretches: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """``align`` of a chain: its stretches one after the other, each with the text behind the last."""
+    off, total, first, last = band(template), 0, -1, -1
+    for place, end, diagonal in _parts(template, stretches):
+        n, a, b = align(template[place:end], text[last + 1:], place + diagonal - last - 1, off)
+        if n:
+            first = last + 1 + a if first < 0 else first
+            total, last = total + n, last + 1 + b
+    return total, first, last
+
+
 def scan(words: np.ndarray, index: Index) -> list[tuple[str, int, int, float]]:
     """(template, first word, last word, coverage) of the matches in a text's word hashes."""
     found = []
-    for number, diagonal in index.hits(windows(words, GRAM)):
+    grams = windows(words, GRAM)
+    for number, diagonal in index.hits(grams):
         template = index.words[number]
         if len(words) < MIN_COVERAGE * len(template) or within_band(template, words, diagonal) < MIN_COVERAGE * len(template):
             continue
         aligned, first, last = align(template, words, diagonal)
         if aligned >= MIN_COVERAGE * len(template) and same_marks(template, words[first: last + 1]):
             found.append((-aligned, first, index.names[number], last, aligned / len(template)))
+    for number, stretches in index.chains(grams):
+        template = index.words[number]
+        if len(words) < MIN_COVERAGE * len(template) or within_chain(template, words, stretches) < MIN_COVERAGE * len(template):
+            continue
+        aligned, first, last = align_chain(template, words, stretches)
+        if aligned >= MIN_COVERAGE * len(template) and same_marks(template, words[first: last + 1]):
+            found.append((-aligned, first, index.names[number], last, aligned / len(template)))
     out: list[tuple[str, int, int, float]] = []  # disjoint, in text order
     for _, first, name, last, coverage in sorted(found):
         at = bisect_left(out, first, key=lambda m: m[1])

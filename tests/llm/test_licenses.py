@@ -68,3 +68,42 @@ def test_full_texts():
         text = "Words before it.\n" + x.TEMPLATES[name]
         best = max(x._matches([text], x._index(x.TEMPLATES))[0], key=lambda m: m[2] - m[1])
         assert best[0] == name and best[3] == 1 and best[2] >= len(text.rstrip()) - 4
+
+
+def _changed(words, kind, k, draw):
+    """``words`` with k words put in, left out or replaced in the middle third."""
+    at = draw.randrange(len(words) // 3, 2 * len(words) // 3)
+    junk = [f"zq{draw.randrange(9999)}" for _ in range(k)]
+    return words[:at] + (junk if kind != "delete" else []) + words[at + (k if kind != "insert" else 0):]
+
+
+@pytest.mark.parametrize("kind,k", [("insert", 8), ("insert", 12), ("insert", 50), ("delete", 12), ("delete", 40), ("replace", 12),
+                                    ("replace", 40)])
+def test_recall_of_changed_full_texts(kind, k):
+    """Full texts with one change in the middle; those that keep less than MIN_COVERAGE are not meant."""
+    draw, found, tried, index = random.Random(k), 0, 0, x._index(x.TEMPLATES)
+    for name in (n for n in x.TEMPLATES if n.endswith("-text")):
+        words = x.TEMPLATES[name].split()
+        if kind != "insert" and k > 0.18 * len(words):
+            continue
+        text = "Words before. " + " ".join(_changed(words, kind, k, draw)) + " Words behind."
+        tried += 1
+        found += any(m[0] == name for m in x._matches([text], index)[0])
+    assert tried >= 12 and found >= 0.9 * tried, (found, tried)
+
+
+def test_two_changed_copies_in_one_text():
+    draw = random.Random(2)
+    words = x.TEMPLATES["mit-text"].split()
+    text = " ".join(_changed(words, "insert", 20, draw) + ["and", "again"] + _changed(words, "insert", 30, draw))
+    assert names(text) == ["mit-text", "mit-text"]
+
+
+def test_absent_clause_is_not_another_license():
+    index = x._index(x.TEMPLATES)
+    for name in ("bsd-2-clause-text", "bsd-3-clause-text", "isc-text"):
+        assert [m[0] for m in x._matches(["Words before.\n" + x.TEMPLATES[name]], index)[0]] == [name]
+
+
+def test_many_copies_in_one_text():
+    assert names((x.TEMPLATES["mit-text"] + "\n") * 150) == ["mit-text"] * 150
