@@ -13,9 +13,9 @@ directly give the divergences: each task adds up, for every two sources, how far
 them from the distance of two absent terms, and keeps its best terms of every group. What is
 shuffled then is a row per pair or best term and task.
 
-Group totals are broadcast, a portion of the languages at a time, so that a portion holds about
-``PORTION`` groups; one language's sources are never split, as the result has a row for every two
-of them.
+Group totals are broadcast a portion at a time: languages in order, one with many sources in blocks of
+them, so that a task's sums of every two sources and its totals take about ``PORTION`` numbers. The
+result itself has a row for every two sources of a language.
 
 Defined results: null text, lang and source read as ''. Terms are maximal runs of bytes of
 A-Z, a-z and non-ASCII characters, with A-Z lower-cased. Repeated rows and ids count each as a
@@ -36,14 +36,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import discard, materialise, text_portions
+from corvid.llm.common import discard, materialise, remove, text_portions
+from corvid.session import scratch_path
 
 MIN_DOCS, TOP = 30, 50
 #: Fixed values of the smoothed shares.
 SCALE, PRIOR = 1_000_000_000, 5
 #: A task hands on its stripes when they hold so many counts, or after so many characters.
 HELD, HELD_CHARS = 600_000, 1 << 26
-PORTION = 100_000
+#: Numbers of a portion: block sources by all sources, and SOURCE for each source.
+PORTION, SOURCE = 4_000_000, 64
 #: Counts of terms by sources that a task turns into shares at a time.
 CELLS = 1 << 20
 
@@ -204,17 +206,17 @@ def shares(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 class Lang:
-    """The sources of one language and what a task has found about them."""
+    """The sources of one language, and what a task has found about those of a block, ``own``."""
 
-    def __init__(self, sources: list[str], totals: list[int], v: int):
-        self.sources = sources
+    def __init__(self, sources: list[str], totals: list[int], v: int, own: range):
+        self.sources, self.own = sources, own
         self.at = {s: i for i, s in enumerate(sources)}
         self.total = np.array(totals, dtype=np.int64) + PRIOR * v
         self.all = np.array(sum(totals) + PRIOR * v, dtype=np.int64)
         self.absent = shares(np.full(len(sources), PRIOR, dtype=np.int64), self.total)
-        self.moved = np.zeros((len(sources), len(sources)), dtype=np.int64)
+        self.moved = np.zeros((len(own), len(sources)), dtype=np.int64)
         self.shared = np.zeros_like(self.moved)
-        self.best: list[list[tuple[int, bytes]]] = [[] for _ in sources]
+        self.best: list[list[tuple[int, bytes]]] = [[] for _ in own]
         self.words: list[bytes] = []
         self.places: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
@@ -235,30 +237,62 @@ class Lang:
             np.concatenate(self.counts)
         p = shares(held + PRIOR, self.total)
         q = shares(held.sum(axis=1) + PRIOR, self.all)
-        for i in range(len(self.sources)):
+        for k, i in enumerate(self.own):
             own = np.flatnonzero(held[:, i])
             if not len(own):
                 continue
             # how far the terms of source i move it from each other source, beside two absent terms
             gap = np.abs(p[own] - p[own, i:i + 1]) - np.abs(self.absent - self.absent[i])
-            self.moved[i] += gap.sum(axis=0)
-            self.shared[i] += np.where(held[own] > 0, gap, 0).sum(axis=0)
+            self.moved[k] += gap.sum(axis=0)
+            self.shared[k] += np.where(held[own] > 0, gap, 0).sum(axis=0)
             above = p[own, i] - q[own]
             found = [(-int(above[j]), self.words[own[j]]) for j in np.flatnonzero(above > 0)]
-            self.best[i] = heapq.nsmallest(TOP, self.best[i] + found)
+            self.best[k] = heapq.nsmallest(TOP, self.best[k] + found)
         self.words, self.places, self.counts = [], [], []
 
     def rows(self, lang: str) -> Iterator[tuple]:
         self.close()
-        for i, source in enumerate(self.sources):
-            for j in np.flatnonzero((self.moved[i] != 0) | (self.shared[i] != 0)).tolist():
-                yield lang, source, self.sources[j], False, int(self.moved[i, j]), int(self.shared[i, j])
-            for below, word in self.best[i]:
+        for k, i in enumerate(self.own):
+            source = self.sources[i]
+            for j in np.flatnonzero((self.moved[k] != 0) | (self.shared[k] != 0)).tolist():
+                yield lang, source, self.sources[j], False, int(self.moved[k, j]), int(self.shared[k, j])
+            for below, word in self.best[k]:
                 yield lang, source, word.decode("utf-8", "surrogatepass"), True, -below, 0
 
 
+def _portions(groups: DataFrame) -> Iterator[dict[str, tuple[list[str], list[int], int, range]]]:
+    """The groups of languages with kept terms, some languages or a block of one at a time."""
+    def blocks(sources, totals, v):
+        rows = max(1, (PORTION - SOURCE * len(sources)) // len(sources))
+        for first in range(0, len(sources), rows):
+            own = range(first, min(first + rows, len(sources)))
+            yield (SOURCE + len(own)) * len(sources), (sources, totals, v, own)
+
+    def languages():
+        lang, sources, totals, v = None, [], [], 0
+        for r in groups.where("v > 0").orderBy("lang", "source").toLocalIterator():
+            if r.lang != lang and sources:
+                yield lang, sources, totals, v
+                sources, totals = [], []
+            lang, v = r.lang, r.v
+            sources.append(r.source)
+            totals.append(r.total)
+        if sources:
+            yield lang, sources, totals, v
+
+    held, size = {}, 0
+    for lang, *about in languages():
+        for cost, block in blocks(*about):
+            if held and (lang in held or size + cost > PORTION):
+                yield held
+                held, size = {}, 0
+            held[lang], size = block, size + cost
+    if held:
+        yield held
+
+
 def _emit(kept: DataFrame, groups) -> DataFrame:
-    """What each task finds in the kept stripes of the languages in ``groups``."""
+    """What each task finds in the kept stripes about the groups of a portion."""
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {lang: Lang(*about) for lang, about in groups.value.items()}
         for batch in batches:
@@ -268,7 +302,8 @@ def _emit(kept: DataFrame, groups) -> DataFrame:
             words = batch.column(1).cast(pa.binary()).to_pylist()
             for lang, word, n in zip(batch.column(0).to_pylist(), words, lists.value_lengths().to_pylist()):
                 start, end = end, end + n
-                known[lang].add(word, sources[start:end], ns[start:end])
+                if lang in known:
+                    known[lang].add(word, sources[start:end], ns[start:end])
         rows = (row for lang, about in known.items() for row in about.rows(lang))
         part: list[tuple] = []
         for row in rows:
@@ -301,18 +336,12 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("v", F.lit(0)).alias("v")),
         "groups")
 
-    portions = -(-groups.count() // PORTION) or 1
-    of = F.pmod(F.xxhash64("lang"), F.lit(portions))
-    found = None
-    for i in range(portions):
-        here: dict[str, tuple[list, list, int]] = {}
-        for r in groups.where((of == i) & (F.col("v") > 0)).orderBy("lang", "source").toLocalIterator():
-            own = here.setdefault(r.lang, ([], [], r.v))
-            own[0].append(r.source)
-            own[1].append(r.total)
-        part = _emit(kept.where(of == i), spark.sparkContext.broadcast(here))
-        found = part if found is None else found.unionByName(part)
-    found = materialise(found, "divergences")
+    path = scratch_path(spark, "divergences")
+    _emit(kept.limit(0), spark.sparkContext.broadcast({})).write.parquet(path)
+    for portion in _portions(groups):
+        some = kept.where(F.col("lang").between(min(portion), max(portion)))
+        _emit(some, spark.sparkContext.broadcast(portion)).write.mode("append").parquet(path)
+    found = spark.read.schema(_FOUND).parquet(path)
 
     term = (found.where("term").select("lang", "source", F.lit("term").alias("part"), "item",
                                        F.col("moved").alias("value")))
@@ -335,5 +364,6 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # a task's best terms are at most TOP per group; a group has as many pairs as its language has sources
     out = materialise(pair.unionByName(term).withColumn("rank", F.row_number().over(order))
                       .where((F.col("part") == "pair") | (F.col("rank") <= TOP)), "audit")
-    discard(kept, groups, found)
+    discard(kept, groups)
+    remove(spark, path)
     return out

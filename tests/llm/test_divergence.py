@@ -53,7 +53,7 @@ def test_query(spark, documents):
     assert got == sorted(duck_connect(SF).execute(queries.ORACLES["op13_source_divergence"]).fetchall())
 
 
-@pytest.mark.parametrize("held,cells,portion", [(400_000, 1 << 20, 100_000), (50, 8, 1)])
+@pytest.mark.parametrize("held,cells,portion", [(400_000, 1 << 20, 4_000_000), (50, 8, 1500), (5000, 64, 3000)])
 def test_spills_and_portions(documents, monkeypatch, held, cells, portion):
     monkeypatch.setattr(divergence, "HELD", held)
     monkeypatch.setattr(divergence, "CELLS", cells)
