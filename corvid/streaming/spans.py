@@ -56,10 +56,11 @@ class Spans(StatefulProcessor):
     def _timers(self, spans) -> None:
         """One timer, for the span that ends first: in milliseconds, rounded up."""
         wanted = -(-(min(s[1] for s in spans) + self.idle) // 1000) if spans else None
-        for at in list(self.handle.listTimers()):
+        held = list(self.handle.listTimers())
+        for at in held:
             if at != wanted:
                 self.handle.deleteTimer(at)
-        if wanted is not None:
+        if wanted is not None and wanted not in held:
             self.handle.registerTimer(wanted)
 
     def _keep(self, spans) -> None:

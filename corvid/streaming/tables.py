@@ -78,7 +78,8 @@ class UpsertTable(_Table):
     Rows lie in ``buckets`` by a hash of their key. A batch adds a delta to each bucket that its keys
     fall in and touches no other one. A bucket with more than ``max_deltas`` deltas is compacted: its
     snapshot and deltas become a new snapshot. So a batch costs its own rows, and now and then
-    the buckets it has filled up, however large the table.
+    the buckets it has filled up, however large the table. A bucket is written by one task: take
+    so many ``buckets`` that one's rows fit a task.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64, max_deltas: int = 4):

@@ -93,9 +93,9 @@ def test_spans_restart_from_their_state(spark):
         df = spans.activity_spans(df, "k", "ts", "3 hours", "1 hour")
         run.await_done(run.start(df, "append", f"{base}/_ck", fmt="parquet", path=f"{base}/out"))
 
-    spark.createDataFrame([(1, at(0)), (2, at(0))], SCHEMA).write.parquet(f"{base}/in/b000")
+    spark.createDataFrame([(1, at(0)), (2, at(0))], SCHEMA).coalesce(1).write.parquet(f"{base}/in/b000")
     once()
-    spark.createDataFrame([(1, at(1)), (3, at(30))], SCHEMA).write.parquet(f"{base}/in/b001")
+    spark.createDataFrame([(1, at(1)), (3, at(30))], SCHEMA).coalesce(1).write.parquet(f"{base}/in/b001")
     once()
     got = sorted((r.k, r.first, r.last, r.n) for r in spark.read.parquet(f"{base}/out").collect())
     assert got == [(1, at(0), at(1), 2), (2, at(0), at(0), 1)]
