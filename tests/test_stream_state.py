@@ -271,7 +271,7 @@ def test_progress_of_a_fixed_interval(spark):
     got = progress.read_progress(spark, f"{base}/progress").where("input_rows > 0").orderBy("batch_id").collect()
     assert [r.batch_id for r in got] == [0, 1, 2] and all(r.input_rows == 1 for r in got)
     # batches after the first begin at whole multiples of the interval
-    assert all(r["at"].timestamp() % 2 < 0.6 for r in got[1:]), got
+    assert all(r["at"].timestamp() % 2 < 0.9 for r in got[1:]), got
 
 
 def test_archive_and_rest_are_the_input(spark):
