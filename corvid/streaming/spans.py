@@ -1,7 +1,7 @@
 """Keyed state with event-time timers (STR-36): activity spans of a key.
 
 A span is a run of a key's rows whose event times lie less than ``idle`` apart. The state of a key
-is its open spans only, in a list in the state store: new rows are merged into them, also out
+is its open spans only, in order of time in the state store: new rows are merged into them, also out
 of order; when the watermark has passed a span's end by ``idle`` a timer closes it and it leaves
 the state. A key without open spans keeps no state.
 
@@ -16,14 +16,18 @@ aggregations do. Rows without an event time are left out; a NULL key is a key.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_SPAN = "first BIGINT, last BIGINT, n BIGINT"
-_OUT = "name STRING, first TIMESTAMP, last TIMESTAMP, n BIGINT"
+#: A key's open spans are one value: Spark hands over a list state element by element.
+_OPEN = "first ARRAY<BIGINT>, last ARRAY<BIGINT>, n ARRAY<BIGINT>"
+_OUT = "name STRING, first BIGINT, last BIGINT, n BIGINT"
+_ROW = Row("name", "first", "last", "n")
+#: Rows of a key that are merged into its spans at a time.
+_ROWS = 10_000
 
 
 def merge_spans(spans: list[tuple[int, int, int]], idle: int) -> list[tuple[int, int, int]]:
@@ -46,55 +50,52 @@ class Spans(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", _SPAN)
-
-    def _rows(self, key, spans) -> pd.DataFrame:
-        firsts, lasts, ns = ([s[i] for s in spans] for i in range(3))
-        return pd.DataFrame({"name": [key[0]] * len(spans), "first": pd.to_datetime(firsts, unit="us"),
-                             "last": pd.to_datetime(lasts, unit="us"), "n": ns})
-
-    def _timers(self, spans) -> None:
-        """One timer, for the span that ends first: in milliseconds, rounded up."""
-        wanted = -(-(min(s[1] for s in spans) + self.idle) // 1000) if spans else None
-        held = list(self.handle.listTimers())
-        for at in held:
-            if at != wanted:
-                self.handle.deleteTimer(at)
-        if wanted is not None and wanted not in held:
-            self.handle.registerTimer(wanted)
+        self.open = handle.getValueState("open", _OPEN)
+
+    def _timer(self, spans) -> int | None:
+        """When the span that ends first is over: in milliseconds, rounded up."""
+        return -(-(min(s[1] for s in spans) + self.idle) // 1000) if spans else None
+
+    def _held(self) -> list[tuple[int, int, int]]:
+        held = self.open.get()
+        return list(zip(*held)) if held else []
 
     def _keep(self, spans) -> None:
         if spans:
-            self.open.put([tuple(s) for s in spans])
+            self.open.update(tuple(map(list, zip(*spans))))
         else:
             self.open.clear()
-        self._timers(spans)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        before = [tuple(s) for s in self.open.get()]
-        spans = list(before)
-        for batch in rows:
-            at = batch["at"][batch["at"] >= watermark].sort_values()
-            if len(at):  # rows of a batch close together are one span before they meet the others
-                group = (at.diff() >= self.idle).cumsum()
-                runs = at.groupby(group.to_numpy()).agg(["min", "max", "count"])
-                spans = merge_spans(spans + list(map(tuple, runs.to_numpy().tolist())), self.idle)
+        before = self._held()
+        spans = before
+        for times in iter(lambda: [row.at for row in islice(rows, _ROWS)], []):
+            spans = merge_spans(spans + [(at, at, 1) for at in times if at >= watermark], self.idle)
         if spans == before:
             return
         self._keep(spans)
+        # the open spans tell which timer the key has: the one that they were kept with
+        held, wanted = self._timer(before), self._timer(spans)
+        if held != wanted:
+            if held is not None:
+                self.handle.deleteTimer(held)
+            self.handle.registerTimer(wanted)
         if self.mode == "update":
             known, firsts = set(before), {s[0] for s in spans}
             gone = [(first, last, 0) for first, last, _ in before if first not in firsts]
-            yield self._rows(key, gone + [s for s in spans if s not in known])
+            yield from (_ROW(key[0], *s) for s in gone + [s for s in spans if s not in known])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Spark deletes the timer that has expired itself, afterwards."""
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        spans = sorted(tuple(s) for s in self.open.get())
-        closed = [s for s in spans if s[1] + self.idle <= watermark]
-        self._keep([s for s in spans if s not in closed])
-        if self.mode == "append" and closed:
-            yield self._rows(key, closed)
+        spans = self._held()
+        left = [s for s in spans if s[1] + self.idle > watermark]
+        self._keep(left)
+        if left:
+            self.handle.registerTimer(self._timer(left))
+        if self.mode == "append":
+            yield from (_ROW(key[0], *s) for s in spans if s[1] + self.idle <= watermark)
 
     def close(self) -> None:
         pass
@@ -107,10 +108,10 @@ def activity_spans(df: DataFrame, key: str, ts: str, idle: str, watermark: str,
         raise ValueError(f"spans are given in append or update mode, not {mode!r}")
     since_0 = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {idle}"))
     idle_us = df.sparkSession.range(1).select(since_0).first()[0]
-    # keys travel as text that is never NULL: pandas would turn whole numbers beside a NULL into fractions
+    # keys travel as text that is never NULL
     name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
     rows = (df.withWatermark(ts, watermark).where(F.col(ts).isNotNull())
             .select(name.alias("name"), ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("at")))
-    out = rows.groupBy("name").transformWithStateInPandas(Spans(idle_us, mode), _OUT, mode, "eventTime")
+    out = rows.groupBy("name").transformWithState(Spans(idle_us, mode), _OUT, mode, "eventTime")
     value = F.when(F.col("name") != "", F.substring("name", F.lit(2), F.length("name"))).cast(df.schema[key].dataType)
-    return out.select(value.alias(key), "first", "last", "n")
+    return out.select(value.alias(key), *[F.timestamp_micros(c).alias(c) for c in ("first", "last")], "n")

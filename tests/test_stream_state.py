@@ -5,6 +5,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from corvid.operators.sessions import sessions
@@ -101,6 +102,64 @@ def test_spans_restart_from_their_state(spark):
     assert got == [(1, at(0), at(1), 2), (2, at(0), at(0), 1)]
 
 
+class _State:
+    """A key's state and timers, and the calls that went to the store."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def __getattr__(self, name):
+        def called(*args):
+            self.calls += 1
+            if name in ("getValueState", "getListState"):
+                return self
+            if name in ("update", "put"):
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+            elif name == "registerTimer":
+                self.timers.add(args[0])
+            elif name == "deleteTimer":
+                self.timers.remove(args[0])
+            return self.value if name == "get" else iter(sorted(self.timers)) if name == "listTimers" else None
+        return called
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = lambda: ms
+
+
+def test_a_key_costs_few_calls_to_its_state(spark):
+    """However many spans it has: a call each to read and to store them, and to move the timer."""
+    state, key = _State(), ("=1",)
+    keyed = spans.Spans(1_000_000, "update")
+    keyed.init(state)
+    for batch in range(3):
+        state.calls, watermark = 0, _Watermark(max(0, batch * 1000 - 1) * 5000)
+        out = list(keyed.handleInputRows(key, iter([Row(at=at * 5_000_000) for at in range(batch * 1000, batch * 1000 + 1000)]), watermark))
+        assert len(out) == 1000 and {r.n for r in out} == {1} and state.calls <= 4
+        assert state.timers == {min(state.value[1]) // 1000 + 1000} and len(state.value[0]) == 1000 + bool(batch)
+        state.calls, over = 0, _Watermark((batch * 1000 + 999) * 5000)
+        fired = [at for at in state.timers if at <= over.getCurrentWatermarkInMs()]
+        for at in fired:
+            assert list(keyed.handleExpiredTimer(key, over, None)) == []
+            state.timers.remove(at)  # as Spark does
+        assert state.calls <= 3 and len(state.value[0]) == len(state.timers) == 1
+
+
+def test_rows_of_a_key_come_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(spans, "_ROWS", 7)
+    rng = random.Random(5)
+    times = [rng.randrange(0, 3000) for _ in range(500)]
+    state = _State()
+    keyed = spans.Spans(4, "update")
+    keyed.init(state)
+    # the first portions hold late rows only
+    out = list(keyed.handleInputRows(("=1",), iter([Row(at=at) for at in [0] * 30 + [at + 1000 for at in times]]), _Watermark(1)))
+    assert [tuple(r)[1:] for r in out] == spans.merge_spans([(at + 1000, at + 1000, 1) for at in times], 4)
+
+
 def test_spans_refuse_other_modes(spark):
     with pytest.raises(ValueError, match="append or update"):
         spans.activity_spans(sources.rate_stream(spark), "value", "timestamp", "1 hour", "1 hour", "complete")
