@@ -104,9 +104,10 @@ def doc_weather(spark, d):
 def doc_weather_slice(spark, d):
     """One city and a week of what a stream of payloads has committed to its sink so far."""
     base = scratch_path(spark, "weather")
-    path = sources.replay_files(_weather_payload(Tables(spark, d).events), f"{base}/in", "ts", 4)
+    events = Tables(spark, d).events
+    path, each = sources.replay_batches(_weather_payload(events), f"{base}/in", "ts", 4, inputs=[events])
     raw = sources.file_stream(stream_session(spark), path, "parquet",
-                              "event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ, json STRING", max_files_per_trigger=1)
+                              "event_id BIGINT, event_type STRING, ts TIMESTAMP_NTZ, json STRING", max_files_per_trigger=each)
     sink.run_weather_sink(spark, docs.enrich_weather(raw, city=F.col("event_type")), f"{base}/out", f"{base}/_checkpoint")
     part = sink.weather_slice(spark, f"{base}/out", "click", "2024-01-05", "2024-01-12")
     hourly = (part.groupBy(F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour"))

@@ -26,8 +26,8 @@ WM = "(SELECT max(ts) FROM events)"
 
 def _events_stream(spark, d, name, n_files=4, fmt="parquet", extra=None):
     e = Tables(spark, d).events
-    path = sources.replay_files(e, scratch_path(spark, name), "ts", n_files, fmt=fmt, extra=extra)
-    s = sources.file_stream(stream_session(spark), path, fmt, EVENTS_SCHEMA, max_files_per_trigger=1)
+    path, each = sources.replay_batches(e, scratch_path(spark, name), "ts", n_files, fmt=fmt, extra=extra)
+    s = sources.file_stream(stream_session(spark), path, fmt, EVENTS_SCHEMA, max_files_per_trigger=each)
     return st.event_time(s, "ts")
 
 
@@ -52,8 +52,8 @@ def str_file_orc(spark, d):
 @query("str_file_text", sql="SELECT event_id, event_type FROM events")
 def str_file_text(spark, d):
     lines = Tables(spark, d).events.select("ts", F.concat_ws(" ", "event_id", "event_type").alias("value"))
-    path = sources.replay_files(lines, scratch_path(spark, "str-file-text"), "ts", 4, fmt="text", columns=["value"])
-    s = sources.file_stream(stream_session(spark), path, "text", "value STRING", max_files_per_trigger=1)
+    path, each = sources.replay_batches(lines, scratch_path(spark, "str-file-text"), "ts", 4, fmt="text", columns=["value"])
+    s = sources.file_stream(stream_session(spark), path, "text", "value STRING", max_files_per_trigger=each)
     fields = F.split("value", " ", 2)
     out = s.select(F.get(fields, 0).try_cast("bigint").alias("event_id"), F.get(fields, 1).alias("event_type"))
     return run.run_to_table(spark, out, "append", "str-file-text-out")
@@ -78,8 +78,8 @@ def str_count(spark, d):
 def str_wordcount(spark, d):
     """Counts of an open vocabulary in update mode: a batch changes the rows of its own words."""
     c = Tables(spark, d).conversations.select(F.col("conv_id").alias("ord"), F.col("text").alias("value"))
-    path = sources.replay_files(c, scratch_path(spark, "str-wc"), "ord", 3, fmt="parquet")
-    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
+    path, each = sources.replay_batches(c, scratch_path(spark, "str-wc"), "ord", 3, fmt="parquet")
+    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=each)
     return run.run_to_table(spark, st.word_counts(lines, "value"), "update", "str-wc-out", keys=["word"])
 
 
@@ -221,11 +221,11 @@ def str_avg_of_avg(spark, d):
     WHERE a.window_start + INTERVAL 1 DAY <= {WM} - INTERVAL 1 HOUR""")
 def str_join_windows(spark, d):
     e = Tables(spark, d).events
-    path = sources.replay_files(e, scratch_path(spark, "str-join"), "ts", 4)
+    path, each = sources.replay_batches(e, scratch_path(spark, "str-join"), "ts", 4)
     own = stream_session(spark)
 
     def side(kind):
-        s = st.event_time(sources.file_stream(own, path, "parquet", EVENTS_SCHEMA, max_files_per_trigger=1), "ts")
+        s = st.event_time(sources.file_stream(own, path, "parquet", EVENTS_SCHEMA, max_files_per_trigger=each), "ts")
         return s.where(F.col("event_type") == kind).withWatermark("ts", "1 hour")
 
     clicks = side("click").groupBy(F.window("ts", "1 day").alias("window")).agg(F.count("*").alias("clicks"))
@@ -234,14 +234,14 @@ def str_join_windows(spark, d):
     return out.select("window_start", "window_end", "clicks", F.round("purchases", 2).alias("purchases"))
 
 
-def _records(orders, name, spark):
-    """A stream of key/value records of ``orders`` (JSON), in order of date."""
+def _records(orders, name, spark, inputs):
+    """A stream of key/value records of ``orders`` (JSON), which are made of ``inputs``, in order of date."""
     value = F.to_json(F.struct(*[c for c in orders.columns if c != "o_orderdate"]))
     records = orders.select(F.col("o_orderkey").cast("string").cast("binary").alias("key"),
                             value.cast("binary").alias("value"), F.col("o_orderdate").cast("timestamp").alias("timestamp"))
-    path = sources.replay_files(records, scratch_path(spark, name), "timestamp", 3)
+    path, each = sources.replay_batches(records, scratch_path(spark, name), "timestamp", 3, inputs=inputs)
     return sources.file_stream(stream_session(spark), path, "parquet", "key BINARY, value BINARY, timestamp TIMESTAMP",
-                               max_files_per_trigger=1)
+                               max_files_per_trigger=each)
 
 
 def _order_records(spark, d, name):
@@ -253,13 +253,14 @@ def _order_records(spark, d, name):
     lines = F.transform("items", lambda i: F.struct(i["l_partkey"], i["l_quantity"], i["l_extendedprice"],
                                                     (i["l_extendedprice"] * (1 - i["l_discount"])).alias("charged")))
     orders = docs.select("o_orderkey", "block", "o_custkey", "nation", "o_totalprice", lines.alias("lines"), "o_orderdate")
-    return _records(orders, name, spark)
+    return _records(orders, name, spark, [t.orders, t.lineitem])
 
 
 def _header_records(spark, d, name):
     """Records of the orders' own fields, for queries that don't look into the lines."""
-    orders = order_headers(Tables(spark, d).orders).withColumn("block", F.lit(0))
-    return _records(orders.select("o_orderkey", "block", "o_custkey", "o_totalprice", "o_orderdate"), name, spark)
+    headers = order_headers(Tables(spark, d).orders)
+    orders = headers.withColumn("block", F.lit(0)).select("o_orderkey", "block", "o_custkey", "o_totalprice", "o_orderdate")
+    return _records(orders, name, spark, [headers])
 
 
 @query("str_invoices", sql="""
@@ -289,8 +290,8 @@ def str_loyalty(spark, d):
 def str_encode(spark, d):
     """Word counts as key/value records, the newest per key in an upsert table."""
     c = Tables(spark, d).conversations.select(F.col("conv_id").alias("ord"), F.col("text").alias("value"))
-    path = sources.replay_files(c, scratch_path(spark, "str-enc"), "ord", 2)
-    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=1)
+    path, each = sources.replay_batches(c, scratch_path(spark, "str-enc"), "ord", 2)
+    lines = sources.file_stream(stream_session(spark), path, "parquet", "ord BIGINT, value STRING", max_files_per_trigger=each)
     enc = sinks.encode_record(st.word_counts(lines, "value"), "word", value="n")
     return run.run_to_table(spark, enc, "update", "str-enc-out", keys=["key"])
 
@@ -438,9 +439,9 @@ def str_archive(spark, d):
     """Input files that are archived once their batch is committed: what the sink holds, and what
     the archive and the rest of the input hold together."""
     base = scratch_path(spark, "str-archive")
-    path = sources.replay_files(Tables(spark, d).events, f"{base}/in", "ts", 6)
+    path, each = sources.replay_batches(Tables(spark, d).events, f"{base}/in", "ts", 6)
     s = sources.archiving_stream(stream_session(spark), path, "parquet", EVENTS_SCHEMA, f"{base}/archive",
-                                 max_files_per_trigger=1)
+                                 max_files_per_trigger=each)
     out = run.run_to_table(spark, s.select("event_id", "event_type"), "append", "str-archive-out")
     kept = sources.read_archived(spark, path, "parquet", EVENTS_SCHEMA, f"{base}/archive")
     return (out.groupBy("event_type").agg(F.count("*").alias("n_out"))

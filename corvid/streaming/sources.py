@@ -19,6 +19,11 @@ from corvid.streaming.storage import Files
 FILE_OPTIONS = ("maxFilesPerTrigger", "latestFirst", "fileNameOnly", "maxFileAge", "cleanSource",
                 "sourceArchiveDir", "header", "sep", "mode", "timestampFormat", "timestampNTZFormat")
 
+#: Input, as it is stored (columnar and compressed), that goes to one replayed file.
+FILE_BYTES = 8 << 20
+#: Size estimates from here on are Spark's stand-in for an unknown size, or a product of several.
+NO_ESTIMATE = 1 << 60
+
 
 def file_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | str,
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
@@ -93,9 +98,30 @@ def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str
     are set a second apart. ``extra`` frames are appended afterwards as further files (late data). Rows
     without a time are in the first file; few rows make fewer files. ``columns`` are those written
     (all by default). Returns a glob path over the files' folders."""
+    return _replay(df, path, time_col, n_files, 1, fmt, extra, columns)[0]
+
+
+def replay_batches(df: DataFrame, path: str, time_col: str, n_batches: int, fmt: str = "parquet",
+                   extra: list[DataFrame] | None = None, columns: list[str] | None = None,
+                   inputs: list[DataFrame] | None = None) -> tuple[str, int]:
+    """``replay_files`` for ``n_batches`` batches of so many files each as the input needs, since a file
+    is written by one task: the path and the files of a batch, to be given as ``maxFilesPerTrigger``.
+    ``inputs`` are the tables ``df`` is made of, if it isn't one itself (a join's size estimate is far too
+    large). Without an estimate a batch has a file per core. Rows without a time come first."""
+    stored = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in inputs or [df]]
+    if max(stored) < NO_ESTIMATE:
+        per_batch = max(1, -(-sum(stored) // (n_batches * FILE_BYTES)))
+    else:
+        per_batch = df.sparkSession.sparkContext.defaultParallelism
+    return _replay(df, path, time_col, n_batches, per_batch, fmt, extra, columns)
+
+
+def _replay(df, path, time_col, n_batches, per_batch, fmt, extra, columns) -> tuple[str, int]:
     spark = df.sparkSession
-    ranged = df.repartitionByRange(n_files, F.col(time_col).asc_nulls_first()).select(*columns or df.columns)
-    ranged.write.mode("overwrite").format(fmt).save(f"{path}/b")
+    # rows of one time that are more than a file's go to several files
+    ties = [F.xxhash64(*df.columns)] if per_batch > 1 else []
+    ranged = df.repartitionByRange(n_batches * per_batch, F.col(time_col).asc_nulls_first(), *ties)
+    ranged.select(*columns or df.columns).write.mode("overwrite").format(fmt).save(f"{path}/b")
     files = Files(spark, path)
     parts = [n for n in files.names("b") if n.startswith("part-")]
     end = int(time.time() * 1000) - 1000
@@ -103,4 +129,4 @@ def replay_files(df: DataFrame, path: str, time_col: str, n_files: int, fmt: str
         files.set_time(f"b/{part}", end - 1000 * (len(parts) - i))
     for j, late in enumerate(extra or []):
         late.write.mode("overwrite").format(fmt).save(f"{path}/x{j:03d}")
-    return f"{path}/[bx]*"
+    return f"{path}/[bx]*", max(1, -(-len(parts) // n_batches))

@@ -367,3 +367,40 @@ def test_replay_orders_rows_by_time(spark):
         b.agg(F.min("ts"), F.max("ts"), F.count("*"), F.count_if(F.col("ts").isNull())).first())))
     assert sum(r[2] for r in seen) == 1000 and seen[0][3] == 100 and all(r[3] == 0 for r in seen[1:])
     assert all(a[1] <= b[0] for a, b in zip(seen, seen[1:]))
+
+
+def test_replayed_batches_of_several_files(spark, monkeypatch):
+    """As many batches as asked for and rows in order of time, whatever the number of files of a batch;
+    a file is written by one task, so their size is bounded, that of one time's rows too."""
+    monkeypatch.setattr(sources, "FILE_BYTES", 1 << 13)
+    base = scratch_path(spark, "replay-batches")
+    rows = [(i, None if i % 10 == 0 else at(i % 500) if i % 2 else at(77)) for i in range(20_000)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{base}/table")
+    table = spark.read.parquet(f"{base}/table")
+    path, each = sources.replay_batches(table.join(table.select("k"), "k"), f"{base}/in", "ts", 3, inputs=[table])
+    names = [n for n in storage.Files(spark, f"{base}/in").names("b") if n.startswith("part-")]
+    assert each > 1 and 2 * each < len(names) <= 3 * each
+    held = [r.n for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert max(held) < 2 * 20_000 / len(names)
+    seen = []
+    s = sources.file_stream(spark, path, "parquet", SCHEMA, each)
+    run.await_done(run.start(s, "append", f"{base}/_ck", foreach_batch=lambda b, i: seen.append(
+        b.agg(F.min("ts"), F.max("ts"), F.count("*"), F.count_if(F.col("ts").isNull())).first())))
+    assert len(seen) == 3 and sum(r[2] for r in seen) == 20_000 and [r[3] for r in seen] == [2000, 0, 0]
+    assert all(a[1] <= b[0] for a, b in zip(seen, seen[1:]))
+    few = spark.createDataFrame(rows[:50], SCHEMA)  # no size estimate
+    path, each = sources.replay_batches(few, f"{base}/few", "ts", 4)
+    assert spark.read.parquet(path).count() == 50 and 4 * each <= 4 * spark.sparkContext.defaultParallelism
+    assert sources.replay_batches(spark.range(50).selectExpr("id k", "timestamp_seconds(id) ts"), f"{base}/one", "ts", 4)[1] == 1
+
+
+def test_replaying_query_keeps_its_batches(spark, monkeypatch):
+    from corvid.plans.registry import all_queries
+    base = scratch_path(spark, "replay-query")
+    spark.range(5000).selectExpr("id event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id) ts", "id % 7 user_id",
+                                 "'view' event_type", "id / 3 value", "'{}' props").write.parquet(f"{base}/events.parquet")
+    monkeypatch.setattr(sources, "FILE_BYTES", 1 << 13)
+    asked, whole = [], sources.file_stream
+    monkeypatch.setattr(sources, "file_stream", lambda *a, **k: asked.append(k["max_files_per_trigger"]) or whole(*a, **k))
+    (got,) = all_queries()["str_progress"](spark, base).collect()
+    assert asked[0] > 1 and (got.input_rows, got.batches, got.last_batch) == (5000, 4, 3)
