@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Output lines handed on at a time, and bytes read at a time.
-BATCH_LINES, READ_BYTES = 10_000, 1 << 16
+#: Output lines handed on at a time, bytes read at a time, and bytes of rows held as Python objects
+#: at a time, in and out: Spark's Arrow batches go by rows first, which may be long.
+BATCH_LINES, READ_BYTES, PIECE_BYTES = 10_000, 1 << 16, 1 << 20
 
 
 def escaped(col: Column) -> Column:
@@ -50,6 +51,17 @@ def as_line(df: DataFrame, cols: list[str] | None = None, sep: str = "\t") -> Da
     return df.select(F.concat_ws(sep, *parts).alias("line"))
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch (no copies) of about ``PIECE_BYTES``."""
+    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _lines(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
+
+
 class _Child:
     """The command of one task. Lines are fed by a thread while the task reads."""
 
@@ -63,8 +75,9 @@ class _Child:
     def _feed(self, batches, lines_of) -> None:
         try:
             for batch in batches:
-                for line in lines_of(batch):
-                    self.run.stdin.write(line.encode("utf-8") + b"\n")
+                for piece in _pieces(batch):
+                    for line in lines_of(piece):
+                        self.run.stdin.write(line + b"\n")
                 self.run.stdin.flush()
         except BrokenPipeError:
             pass  # the command needs no more; its exit code tells whether that is an error
@@ -109,15 +122,17 @@ def pipe(df: DataFrame, command: list[str], cols: list[str] | None = None, sep:
     ``check=False`` takes the output of a command that fails, too. A partition without
     rows runs the command on no lines, unless Spark has optimised the empty plan away."""
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        child = _Child(command, batches, lambda b: b.column(0).to_pylist(), env)
+        child = _Child(command, batches, lambda b: _lines(b.column(0)), env)
         held: list[str] = []
+        size = 0
         try:
             try:
                 for part in child.lines():
                     held += part
-                    while len(held) >= BATCH_LINES:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[:BATCH_LINES], pa.string())], names=["line"])
-                        held = held[BATCH_LINES:]
+                    size += sum(map(len, part))
+                    if len(held) >= BATCH_LINES or size >= PIECE_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["line"])
+                        held, size = [], 0
             except RuntimeError:
                 if check or child.failure is not None:
                     raise
@@ -142,7 +157,7 @@ def pipe_column(df: DataFrame, command: list[str], col: str, out: str, env: dict
 
         def lines_of(batch):
             waiting.append(batch)
-            return batch.column(n).to_pylist()
+            return _lines(batch.column(n))
 
         def done(batch, values):
             return pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(values, pa.string())], names=schema.names)

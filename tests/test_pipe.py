@@ -1,5 +1,6 @@
 """Rows through an external command."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,18 @@ def test_errors_of_the_rows_surface(spark):
     bad = spark.range(10).select(F.raise_error(F.lit("bad row")).cast("string").alias("v"))
     with pytest.raises(Exception, match="bad row"):
         pipe.pipe(bad, ["cat"]).collect()
+
+
+@pytest.mark.parametrize("column", [False, True])
+def test_long_rows_pass_in_small_pieces(spark, monkeypatch, column):
+    """A batch of 10,000 long texts is held as Python objects, and given back, piece by piece."""
+    through = []
+    df = spark.range(1).select(F.lit("x").alias("text"))
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: through.append(f) or self.withColumn("out", F.lit("")))
+    pipe.pipe_column(df, ["cat"], "text", "out") if column else pipe.pipe(df, ["cat"])
+    texts = [f"{i} " + "é" * 2000 for i in range(10_000)] + ["", "long " * 500_000, "end"]
+    names = ["text", "out"] if column else ["line"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)] * len(names), names=names)
+    out = list(through[0](iter([batch, batch.slice(0, 0), batch.slice(10_000)])))
+    assert [v for b in out for v in b.column(len(names) - 1).to_pylist()] == texts + texts[10_000:]
+    assert max(b.nbytes for b in out) < 16 << 20
